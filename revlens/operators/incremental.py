@@ -1,0 +1,78 @@
+"""Late-data maintenance of the monthly report.
+
+The report is kept as its pre-window rows (one per month x segment plus one
+``ALL`` per month; small by construction). A run recomputes only the months
+it touches from the order state and re-runs the windows over the small
+table, because a change in month m moves cumulative revenue for every
+later month and rolling means for the next rows.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from revlens.functions.scalar import UNKNOWN
+from revlens.operators.enrich import guarded_unique, left_join
+from revlens.operators.report import finish_report, month_segment_rollup
+
+C = F.col
+
+
+def refresh_segment_tracked(state: DataFrame, customers: DataFrame, key: str = "customer_id",
+                            clear_segment: bool = False) -> DataFrame:
+    """Segment refresh (D4) that also flags rows whose segment changes.
+
+    One join gives both the refreshed state and ``_changed``, from which the
+    months touched by customer changes are read (HP-5: a new segment moves a
+    customer's *old* orders).
+    """
+    cur = guarded_unique(
+        customers.select(key, C("segment").alias("_new_segment"), F.lit(True).alias("_matched")), key, "customers"
+    )
+    joined = left_join(state, cur, key)
+    if clear_segment:
+        new = F.when(C("_matched"), F.coalesce(C("_new_segment"), F.lit(UNKNOWN))).otherwise(C("segment"))
+    else:
+        new = F.coalesce(C("_new_segment"), C("segment"))
+    return (
+        joined.withColumn("_changed", ~new.eqNullSafe(C("segment")))
+        .withColumn("segment", new)
+        .drop("_new_segment", "_matched")
+    )
+
+
+def touched_months(prior_state: DataFrame, new_versions: DataFrame, refreshed: DataFrame | None = None,
+                   key: str = "order_id", month: str = "order_month") -> DataFrame:
+    """Months whose report rows can change in this run (K3).
+
+    * months of the new versions;
+    * months of the versions they replace (an order moved to another month
+      touches both);
+    * months of state rows whose segment the customer refresh changed.
+    """
+    months = new_versions.select(month)
+    replaced = prior_state.join(new_versions.select(key), key, "left_semi").select(month)
+    months = months.unionByName(replaced)
+    if refreshed is not None:
+        months = months.unionByName(refreshed.where(C("_changed")).select(month))
+    return months.distinct()
+
+
+def merge_report_rows(prior_rows: DataFrame, state: DataFrame, touched: DataFrame,
+                      month: str = "order_month") -> DataFrame:
+    """Pre-window report rows after the run: untouched months from the prior
+    rows, touched months recomputed from the state (K3).
+
+    ``touched`` is a list of months (small); the semi join lets Spark prune
+    month partitions of a partitioned state table.
+    """
+    keep = prior_rows.join(touched, month, "left_anti")
+    fresh = month_segment_rollup(state.join(touched, month, "left_semi"))
+    return keep.unionByName(fresh.select(*prior_rows.columns))
+
+
+def incremental_report(prior_rows: DataFrame, state: DataFrame, touched: DataFrame) -> DataFrame:
+    """Report after a run: merged rows, windows recomputed over the small
+    month x segment table (K4, K5)."""
+    return finish_report(merge_report_rows(prior_rows, state, touched))
