@@ -8,10 +8,19 @@ import tempfile
 from pyspark.sql import SparkSession
 
 # Settings the library relies on: UTC for date handling, AQE for runtime
-# re-planning (broadcast conversion from measured sizes, skew splitting,
-# partition coalescing) and dynamic overwrite for month-partitioned state.
+# re-planning (skew splitting, partition coalescing) and dynamic overwrite for
+# month-partitioned state.
+#
+# Broadcast joins: the static planner sizes a join subtree as the *product*
+# of its inputs' sizes (no column statistics on raw Parquet), so it can
+# pick a pruned fact scan as the "small" side. Static broadcast is therefore
+# off; AQE broadcasts a join side only after its shuffle stage has run and
+# its measured size is below the adaptive threshold. Every broadcast is thus
+# bounded by a measured size, and larger sides stay sort-merge joins.
 DEFAULT_CONF = {
     "spark.sql.session.timeZone": "UTC",
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "64MB",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",

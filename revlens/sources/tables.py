@@ -19,6 +19,24 @@ TABLE_NAMES = (
 )
 
 
+_READS: dict[tuple[str, str], DataFrame] = {}
+
+
+def read_table(spark: SparkSession, path: str) -> DataFrame:
+    """``spark.read.parquet(path)``, resolved once per application.
+
+    Resolving a Parquet source reads its footers (a small job); the lazy
+    DataFrame handle is reused so repeated queries skip that step. No data is
+    cached: every action still scans the files.
+    """
+    key = (spark.sparkContext.applicationId, path)
+    df = _READS.get(key)
+    if df is None:
+        df = spark.read.parquet(path)
+        _READS[key] = df
+    return df
+
+
 class Tables:
     """Lazy handles on ``<sf_dir>/<name>.parquet``.
 
@@ -31,7 +49,7 @@ class Tables:
         self.sf_dir = sf_dir
 
     def read(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(os.path.join(self.sf_dir, f"{name}.parquet"))
+        return read_table(self.spark, os.path.join(self.sf_dir, f"{name}.parquet"))
 
     @cached_property
     def region(self) -> DataFrame:
