@@ -90,10 +90,13 @@ def long_row_guard(columns: list[str]) -> F.Column:
     probe = ", ".join(f"`f{i}` string" for i in range(len(columns) + 1))
     extra = F.from_csv(F.col(CORRUPT), probe).getField(f"f{len(columns)}")
     too_long = F.col(CORRUPT).isNotNull() & extra.isNotNull()
+    # Spark refuses a CSV query that reads *only* the corrupt column (e.g. a
+    # bare count), so the pass branch also reads the first data column.
+    keep = F.length(F.coalesce(F.col(columns[0]), F.lit(""))) >= 0
     return F.when(
         too_long,
         F.raise_error(F.concat(F.lit("Failed to parse input file: too many fields in line: "), F.col(CORRUPT))),
-    ).otherwise(F.lit(True))
+    ).otherwise(keep)
 
 
 def reject_long_rows(raw: DataFrame, columns: list[str], markers=MISSING_MARKERS) -> DataFrame:
