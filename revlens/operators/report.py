@@ -71,7 +71,12 @@ def monthly_report_additive(enriched: DataFrame) -> DataFrame:
 def monthly_report_dense(enriched: DataFrame) -> DataFrame:
     """Calendar variant (G5): a segment absent in a month shows zeros from its
     first month on, so rolling means divide by calendar months."""
-    rows = month_segment_rollup(enriched)
+    return dense_report_from_rows(month_segment_rollup(enriched))
+
+
+def dense_report_from_rows(rows: DataFrame) -> DataFrame:
+    """G5 over pre-window report rows. ``rows`` is read several times (first
+    month, last month, the fill join), so callers pass a materialized table."""
     seg = dense_months(rows.where(~C("is_total")).drop("is_total")).withColumn("is_total", F.lit(False))
     tot = dense_months(rows.where(C("is_total")).drop("is_total")).withColumn("is_total", F.lit(True))
     return finish_report(seg.unionByName(tot))
@@ -80,17 +85,16 @@ def monthly_report_dense(enriched: DataFrame) -> DataFrame:
 def printable_report(report: DataFrame) -> DataFrame:
     """Presentation form (J2): a blank row after each month's ``ALL`` row.
 
-    Adds one all-NULL row per month with a sort rank after the totals;
-    ``_month`` and ``_rank`` are the sort keys for the sink.
+    One pass: every ``ALL`` row also emits an all-NULL row with a sort rank
+    after the totals; ``_month`` and ``_rank`` are the sort keys for the sink.
     """
-    rows = report.withColumns(
-        {"_month": C("order_month"), "_rank": F.when(C("is_total"), F.lit(1)).otherwise(F.lit(0))}
-    )
-    months = report.select(C("order_month").alias("_month")).distinct()
-    blanks = months.select(
-        *[F.lit(None).cast(dict(report.dtypes)[c]).alias(c) for c in report.columns], "_month", F.lit(2).alias("_rank")
-    )
-    return rows.unionByName(blanks)
+    cols = report.columns
+    row = F.struct(*[C(c) for c in cols], C("order_month").alias("_month"),
+                   F.when(C("is_total"), F.lit(1)).otherwise(F.lit(0)).alias("_rank"))
+    blank = F.struct(*[F.lit(None).cast(t).alias(c) for c, t in report.dtypes],
+                     C("order_month").alias("_month"), F.lit(2).alias("_rank"))
+    emitted = F.when(C("is_total"), F.array(row, blank)).otherwise(F.array(row))
+    return report.select(F.explode(emitted).alias("_r")).select("_r.*")
 
 
 def printable_order() -> list:

@@ -30,7 +30,7 @@ from revlens.operators.report import (
     finish_report,
     month_segment_rollup,
     monthly_report_additive,
-    monthly_report_dense,
+    dense_report_from_rows,
     monthly_segment_report,
     printable_order,
     printable_report,
@@ -320,8 +320,13 @@ def q_monthly_report_additive(spark, sf_dir):
 
 
 def q_monthly_segment_dense(spark, sf_dir):
-    """Calendar months with zeros."""
-    return monthly_report_dense(orders_enriched(Tables(spark, sf_dir)))
+    """Calendar months with zeros.
+
+    The month x segment rows feed the spine (first and last month) and the
+    fill join; they are materialized once with a reliable checkpoint."""
+    checkpoint_root(spark)
+    rows = month_segment_rollup(orders_enriched(Tables(spark, sf_dir))).checkpoint(eager=True)
+    return dense_report_from_rows(rows)
 
 
 def q_monthly_report_printable(spark, sf_dir):
