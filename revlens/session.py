@@ -65,7 +65,10 @@ def checkpoint_root(spark: SparkSession) -> str:
     if not root:
         root = tempfile.mkdtemp(prefix="revlens-ckpt-")
         spark.conf.set("spark.checkpoint.dir", root)
-    spark.sparkContext.setCheckpointDir(root)
+    try:
+        spark.sparkContext.setCheckpointDir(root)
+    except Exception:  # Spark Connect: the server reads spark.checkpoint.dir
+        pass
     return root
 
 

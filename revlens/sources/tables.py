@@ -29,7 +29,11 @@ def read_table(spark: SparkSession, path: str) -> DataFrame:
     DataFrame handle is reused so repeated queries skip that step. No data is
     cached: every action still scans the files.
     """
-    key = (spark.sparkContext.applicationId, path)
+    try:
+        app = spark.sparkContext.applicationId
+    except Exception:  # sessions without a driver-side context (Spark Connect)
+        app = str(id(spark))
+    key = (app, path)
     df = _READS.get(key)
     if df is None:
         df = spark.read.parquet(path)

@@ -214,3 +214,21 @@ def test_dq_counters_cascade(spark):
     out = dq_counters(rows).collect()[0].asDict()
     assert out == {"rows_in": 5, "missing_segment": 1, "non_numeric": 1, "non_positive_quantity": 1,
                    "negative_price": 1, "bad_date": 1, "duplicate_ids": 1, "rows_out": 1}
+
+
+def test_observe_rows_without_extra_job(spark):
+    from revlens.operators.clean import observe_rows
+
+    df, obs = observe_rows(spark.range(7).withColumn("x", F.col("id") * 2), "step")
+    assert df.where("x > 4").count() == 4
+    assert obs.get["rows"] == 7
+
+
+def test_csv_sink_single_ordered_file(spark, tmp_path):
+    from revlens.sources.csv import write_csv
+
+    out = str(tmp_path / "out")
+    write_csv(spark.createDataFrame([(2, "b"), (1, "a")], "k int, v string"), out, order_by=["k"], single_file=True)
+    files = [p for p in (tmp_path / "out").iterdir() if p.name.endswith(".csv")]
+    assert len(files) == 1
+    assert files[0].read_text().splitlines() == ["k,v", "1,a", "2,b"]

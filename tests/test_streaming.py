@@ -55,6 +55,10 @@ def test_one_file_per_run_and_replay(spark, tmp_path):
     # nothing new: clean no-op, report unchanged
     assert not job.run()
     assert _report(job) == INCREMENTAL_REPORT_J6
+    # the same file offered again is not processed twice
+    _drop(layout, ["orders-2024-03-15-0000.csv"])
+    assert not job.run()
+    assert _report(job) == INCREMENTAL_REPORT_J6
 
 
 def test_any_arrival_order(spark, tmp_path):
