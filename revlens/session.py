@@ -12,14 +12,15 @@ from pyspark.sql import SparkSession
 # month-partitioned state.
 #
 # Broadcast joins: the static planner sizes a join subtree as the *product*
-# of its inputs' sizes (no column statistics on raw Parquet), so it can
-# pick a pruned fact scan as the "small" side. Static broadcast is therefore
-# off; AQE broadcasts a join side only after its shuffle stage has run and
-# its measured size is below the adaptive threshold. Every broadcast is thus
-# bounded by a measured size, and larger sides stay sort-merge joins.
+# of its inputs' sizes (no column statistics on raw Parquet), and a pruned
+# fact scan under the default 10MB threshold can be picked as the build side.
+# So the static threshold is kept small (1MB of estimated file size: lookup
+# tables such as nation/region, broadcast without shuffling the big side),
+# and everything else is decided by AQE from *measured* shuffle sizes under
+# the adaptive threshold. Larger sides stay sort-merge joins.
 DEFAULT_CONF = {
     "spark.sql.session.timeZone": "UTC",
-    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.autoBroadcastJoinThreshold": "1MB",
     "spark.sql.adaptive.autoBroadcastJoinThreshold": "64MB",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
