@@ -75,8 +75,9 @@ class SnapshotTable:
         """Typed empty frame."""
         return self.spark.createDataFrame([], self.schema)
 
-    def read(self, before: int | None = None) -> DataFrame:
-        """Current table as of versions ``< before`` (all committed when None)."""
+    def read(self, before: int | None = None, parts: list[str] | None = None) -> DataFrame:
+        """Current table as of versions ``< before`` (all committed when None);
+        ``parts`` reads only those parts of a partitioned table."""
         entries = self._manifest(before)
         if not entries:
             return self.empty()
@@ -86,8 +87,11 @@ class SnapshotTable:
         current: dict[str, tuple[int, bool]] = {}
         for r in sorted(entries, key=lambda r: r.version):
             current[r.part] = (r.version, r.has_rows)
+        wanted = set(parts) if parts is not None else None
         paths = [
-            os.path.join(self.version_path(v), f"snapshot_part={part}") for part, (v, has_rows) in current.items() if has_rows
+            os.path.join(self.version_path(v), f"snapshot_part={part}")
+            for part, (v, has_rows) in current.items()
+            if has_rows and (wanted is None or part in wanted)
         ]
         if not paths:
             return self.empty()

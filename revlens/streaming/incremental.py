@@ -30,6 +30,7 @@ import logging
 import os
 from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -140,6 +141,31 @@ class Layout:
         return self._p("_checkpoints/orders")
 
 
+# Largest key set of one micro-batch that is broadcast to look up state rows
+# (about 8 bytes a key plus overhead: well under the broadcast limits).
+# Above it the lookup is a shuffled semi join.
+BROADCAST_KEYS_MAX = 2_000_000
+
+
+def _lookup_keys(df: DataFrame, key: str) -> DataFrame:
+    """Distinct keys of a batch, broadcast only after counting them (a proven
+    bound), so the large state side is scanned without being shuffled."""
+    keys = df.select(key).where(F.col(key).isNotNull()).distinct()
+    return F.broadcast(keys) if keys.count() <= BROADCAST_KEYS_MAX else keys
+
+
+def _has_parquet(spark: SparkSession, path: str) -> bool:
+    """Whether ``path`` holds Parquet data, using Spark's file listing (works
+    on any file system Spark can read)."""
+    try:
+        spark.read.parquet(path)
+        return True
+    except AnalysisException as exc:
+        if "PATH_NOT_FOUND" in str(exc) or "UNABLE_TO_INFER_SCHEMA" in str(exc):
+            return False
+        raise
+
+
 def _read_optional_csv(spark: SparkSession, path: str, required) -> DataFrame | None:
     try:
         return scan_csv(spark, path, required=required)
@@ -175,10 +201,10 @@ class IncrementalReport:
             raise FileNotFoundError(
                 f"Customers metadata is missing: provide {self.layout.customers_csv} or {self.layout.customer_updates}"
             )
-        has_archive = os.path.isdir(self.layout.archive) if "://" not in self.layout.archive else True
+        has_archive = _has_parquet(self.spark, self.layout.archive)
         if self.state.exists() and not has_archive:
             log.warning("Order state exists but the raw archive is missing; restore it from backup.")
-        if has_archive and not self.state.exists() and os.listdir(self.layout.archive):
+        if has_archive and not self.state.exists():
             raise FileNotFoundError(
                 "Order state is missing while raw archive exists; move the archived files back to the drop folder."
             )
@@ -221,13 +247,16 @@ class IncrementalReport:
         new = add_order_metrics(latest).select(*STATE_COLUMNS)
 
         # 3. touched months (K3)
+        # Months of replaced versions: a lookup of this batch's order ids in
+        # the state (two columns read; the ids are broadcast when few).
+        new_ids = _lookup_keys(new, "order_id")
         months = new.select("order_month").unionByName(
-            prior.join(new.select("order_id"), "order_id", "left_semi").select("order_month")
+            prior.select("order_id", "order_month").join(new_ids, "order_id", "left_semi").select("order_month")
         )
         refreshed_rows = None
         if changed_customers is not None:
             hit = left_join(
-                prior.join(changed_customers.select("customer_id"), "customer_id", "left_semi"),
+                prior.join(_lookup_keys(changed_customers, "customer_id"), "customer_id", "left_semi"),
                 guarded_unique(changed_customers, "customer_id", "customers"),
                 "customer_id",
             )
@@ -241,7 +270,8 @@ class IncrementalReport:
         touched = sorted(r[0] for r in months.distinct().collect())
         if touched:
             touched_df = spark.createDataFrame([(m,) for m in touched], "order_month string")
-            prior_t = prior.join(touched_df, "order_month", "left_semi")
+            # Only the touched month folders of the state are read for the upsert.
+            prior_t = self.state.read(before=batch_id, parts=touched)
             if refreshed_rows is not None:
                 fixes = refreshed_rows.select("order_id", C("_seg").alias("_seg"))
                 prior_t = left_join(prior_t, fixes, "order_id").withColumn(

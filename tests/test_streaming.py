@@ -110,3 +110,10 @@ def test_missing_customers_is_an_error(spark, tmp_path):
     os.makedirs(layout.drop)
     with pytest.raises(FileNotFoundError):
         IncrementalReport(spark, layout).run()
+
+
+def test_archive_without_state_is_an_error(spark, tmp_path):
+    layout = _layout(tmp_path, "gate")
+    spark.range(1).write.parquet(layout.archive)
+    with pytest.raises(FileNotFoundError, match="state is missing"):
+        IncrementalReport(spark, layout).check_preconditions()
