@@ -6,11 +6,16 @@ Zero padding makes lexical order equal arrival order.
 
 from __future__ import annotations
 
+import csv
+import io
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+C = F.col
+
 from revlens.functions.scalar import normalize_missing
-from revlens.sources.csv import long_row_guard, read_header, string_schema
+from revlens.sources.csv import MissingColumnsError
 
 # Batch file name pattern (glob and exact form).
 BATCH_GLOB = "orders-????-??-??-????.csv"
@@ -50,47 +55,84 @@ def archive_dir(file_name: Column) -> Column:
     return F.concat_ws("/", F.slice(F.split(file_name, "-"), 2, 3))
 
 
-def read_batches(spark: SparkSession, paths: list[str]) -> DataFrame:
-    """Read many batch files, columns matched by *name* (A6, HP-2).
+def read_lines(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """Batch files as text lines with file name, split start and ordinal."""
+    raw = spark.read.text(paths).select("value", "_metadata.file_name", "_metadata.file_block_start")
+    return with_ordinal(raw)
+
+
+def with_ordinal(raw: DataFrame) -> DataFrame:
+    """Ordinal of each line (A5): taken right after the scan, before any
+    shuffle, so it follows the line order within each file split."""
+    return raw.withColumn("pos", F.monotonically_increasing_id())
+
+
+def _header_columns(line: str) -> list[str]:
+    return [c.strip() for c in next(csv.reader(io.StringIO(line)))]
+
+
+def parse_lines(lines: DataFrame, required=None) -> DataFrame:
+    """Text lines of CSV files -> rows with columns matched by *name* (A6, HP-2).
 
-    Files are grouped by header line; each group is one multi-path scan and
-    the groups are stacked with ``unionByName``. Adds ``file_name`` and
-    ``ingestion_date`` (from the name) and ``line`` (A5, position in the file:
-    the parser reads a file's lines in order within a split, and
-    ``file_block_start`` orders the splits).
+    Each file's first line is its header. Only the distinct headers are
+    collected (bounded by the number of files). Each header group is parsed
+    with ``from_csv`` and the groups are stacked with ``unionByName``, so
+    files with columns in another order line up. Short lines are padded with
+    NULL, a line with more fields than its header fails the job, and
+    missing-value markers become NULL. Adds ``file_name``,
+    ``ingestion_date`` (from the name) and ``line`` (the ordinal).
     """
-    groups: dict[tuple, list[str]] = {}
-    for p in paths:
-        groups.setdefault(tuple(read_header(spark, p)), []).append(p)
+    lines = lines.where(F.length(F.trim(C("value"))) > 0)
+    first = (
+        lines.where(C("file_block_start") == 0)
+        .groupBy("file_name")
+        .agg(F.min_by("value", "pos").alias("header"), F.min("pos").alias("header_pos"))
+    )
+    headers = [r[0] for r in first.select("header").distinct().collect()]
     frames = []
-    for header, group in groups.items():
-        raw = (
-            spark.read.schema(string_schema(list(header)))
-            .option("header", True)
-            .option("mode", "PERMISSIVE")
-            .option("columnNameOfCorruptRecord", "_corrupt")
-            .csv(group)
-            .select("*", "_metadata.file_name", "_metadata.file_block_start")
+    for header in headers:
+        columns = _header_columns(header)
+        if required is not None:
+            missing = sorted(set(required) - set(columns))
+            if missing:
+                raise MissingColumnsError(f"Missing columns: {missing}")
+        files = first.where(C("header") == F.lit(header)).select("file_name", "header_pos")
+        body = lines.join(files, "file_name").where(
+            ~((C("file_block_start") == 0) & (C("pos") == C("header_pos")))
+        )
+        probe = ", ".join(f"`f{i}` string" for i in range(len(columns) + 1))
+        parsed = body.withColumn("_f", F.from_csv(C("value"), probe))
+        too_long = C(f"_f.f{len(columns)}").isNotNull()
+        checked = parsed.where(
+            F.when(
+                too_long,
+                F.raise_error(F.concat(F.lit("Failed to parse input file: too many fields in line: "), C("value"))),
+            ).otherwise(F.lit(True))
+        )
+        frames.append(
+            checked.select(
+                *[normalize_missing(C(f"_f.f{i}")).alias(c) for i, c in enumerate(columns)],
+                "file_name",
+                batch_version(C("file_name")).alias("ingestion_date"),
+                F.struct(C("file_block_start").alias("block"), C("pos").alias("pos")).alias("line"),
+            )
+        )
+    if not frames:
+        schema = ", ".join(f"`{c}` string" for c in (required or []))
+        empty = lines.sparkSession.createDataFrame([], schema or "file_name string")
+        return empty.select(
+            *[C(c) for c in (required or [])],
+            F.lit(None).cast("string").alias("file_name"),
+            F.lit(None).cast("string").alias("ingestion_date"),
+            F.lit(None).cast("struct<block:bigint,pos:bigint>").alias("line"),
         )
-        frames.append(with_file_columns(raw, list(header)))
     out = frames[0]
     for f in frames[1:]:
         out = out.unionByName(f, allowMissingColumns=True)
     return out
 
 
-def with_file_columns(raw: DataFrame, header: list[str]) -> DataFrame:
-    """Add version and in-file ordinal to a raw scan that exposes
-    ``file_name`` / ``file_block_start`` (used by batch and streaming reads).
-
-    Must run right after the scan, before any shuffle, so that the ordinal
-    follows the line order of each file split.
-    """
-    fname, block = F.col("file_name"), F.col("file_block_start")
-    checked = raw.where(long_row_guard(header))
-    return checked.select(
-        *[normalize_missing(F.col(c)).alias(c) for c in header],
-        fname.alias("file_name"),
-        batch_version(fname).alias("ingestion_date"),
-        F.struct(block.alias("block"), F.monotonically_increasing_id().alias("pos")).alias("line"),
-    )
+def read_batches(spark: SparkSession, paths: list[str], required=None) -> DataFrame:
+    """Read many batch files, columns matched by *name* (A6, HP-2): one text
+    scan over all files, headers found per file, no per-file jobs."""
+    return parse_lines(read_lines(spark, paths), required)

@@ -45,8 +45,8 @@ from revlens.operators.report import (
     month_segment_rollup,
 )
 from revlens.operators.versions import customer_upsert, latest_by, upsert
-from revlens.sources.csv import scan_csv, string_schema, write_csv
-from revlens.sources.files import BATCH_GLOB, batch_day, with_file_columns
+from revlens.sources.csv import scan_csv, write_csv
+from revlens.sources.files import BATCH_GLOB, batch_day, parse_lines, with_ordinal
 from revlens.sources.snapshots import SnapshotTable
 
 C = F.col
@@ -221,7 +221,7 @@ class IncrementalReport:
 
     def process_batch(self, batch: DataFrame, batch_id: int) -> None:
         spark = self.spark
-        raw = with_file_columns(batch, ORDER_COLUMNS)
+        raw = parse_lines(with_ordinal(batch), required=ORDER_COLUMNS)
         quarantined = raw.where(C("ingestion_date").isNull())
         good = raw.where(C("ingestion_date").isNotNull())
         quarantined.write.mode("overwrite").parquet(os.path.join(self.layout.quarantine, f"batch={batch_id}"))
@@ -326,14 +326,13 @@ class IncrementalReport:
             # A customer update is applied once per run, in its first batch.
             self._pending_updates = None
 
+        # Text source: each micro-batch parses its files by their own header
+        # (a CSV source would map columns by position).
         stream = (
-            self.spark.readStream.schema(string_schema(list(ORDER_COLUMNS)))
-            .option("header", True)
-            .option("mode", "PERMISSIVE")
-            .option("columnNameOfCorruptRecord", "_corrupt")
+            self.spark.readStream.format("text")
             .option("pathGlobFilter", BATCH_GLOB)
-            .csv(self.layout.drop)
-            .select("*", "_metadata.file_name", "_metadata.file_block_start")
+            .load(self.layout.drop)
+            .select("value", "_metadata.file_name", "_metadata.file_block_start")
         )
         query = (
             stream.writeStream.foreachBatch(each)

@@ -117,3 +117,19 @@ def test_archive_without_state_is_an_error(spark, tmp_path):
     spark.range(1).write.parquet(layout.archive)
     with pytest.raises(FileNotFoundError, match="state is missing"):
         IncrementalReport(spark, layout).check_preconditions()
+
+
+def test_file_with_columns_in_other_order(spark, tmp_path):
+    layout = _layout(tmp_path, "swapped")
+    swapped = {}
+    for name, text in ORDER_BATCHES.items():
+        rows = [line.split(",") for line in text.strip().splitlines()]
+        if name == "orders-2024-02-05-0000.csv":  # same data, columns reversed
+            rows = [list(reversed(r)) for r in rows]
+        swapped[name] = "\n".join(",".join(r) for r in rows) + "\n"
+    for name, text in swapped.items():
+        with open(os.path.join(layout.drop, name), "w") as f:
+            f.write(text)
+    job = IncrementalReport(spark, layout, publish_csv=False)
+    job.run()
+    assert _report(job) == INCREMENTAL_REPORT_J6
