@@ -177,8 +177,9 @@ class IncrementalReport:
     """The incremental job over one :class:`Layout`."""
 
     def __init__(self, spark: SparkSession, layout: Layout, publish_csv: bool = True,
-                 clear_segment: bool = False):
+                 clear_segment: bool = False, max_files_per_trigger: int | None = None):
         self.spark = spark
+        self.max_files_per_trigger = max_files_per_trigger
         self.layout = layout
         self.publish_csv = publish_csv
         self.clear_segment = clear_segment
@@ -328,12 +329,11 @@ class IncrementalReport:
 
         # Text source: each micro-batch parses its files by their own header
         # (a CSV source would map columns by position).
-        stream = (
-            self.spark.readStream.format("text")
-            .option("pathGlobFilter", BATCH_GLOB)
-            .load(self.layout.drop)
-            .select("value", "_metadata.file_name", "_metadata.file_block_start")
-        )
+        reader = self.spark.readStream.format("text").option("pathGlobFilter", BATCH_GLOB)
+        if self.max_files_per_trigger:
+            # bounds one micro-batch; availableNow still drains every file
+            reader = reader.option("maxFilesPerTrigger", self.max_files_per_trigger)
+        stream = reader.load(self.layout.drop).select("value", "_metadata.file_name", "_metadata.file_block_start")
         query = (
             stream.writeStream.foreachBatch(each)
             .option("checkpointLocation", self.layout.checkpoint)

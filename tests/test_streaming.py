@@ -133,3 +133,12 @@ def test_file_with_columns_in_other_order(spark, tmp_path):
     job = IncrementalReport(spark, layout, publish_csv=False)
     job.run()
     assert _report(job) == INCREMENTAL_REPORT_J6
+
+
+def test_one_run_in_several_micro_batches(spark, tmp_path):
+    layout = _layout(tmp_path, "multi")
+    _drop(layout, ORDER_BATCHES)
+    job = IncrementalReport(spark, layout, publish_csv=False, max_files_per_trigger=2)
+    assert job.run()
+    assert _report(job) == INCREMENTAL_REPORT_J6
+    assert job.state.latest_version() >= 2  # three micro-batches: ids 0, 1, 2
