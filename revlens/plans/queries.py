@@ -23,7 +23,7 @@ from revlens.operators.enrich import (
     left_join,
     refresh_segment,
 )
-from revlens.operators.incremental import merge_report_rows, refresh_segment_tracked, touched_months
+from revlens.operators.incremental import merge_report_rows, refresh_segment_tracked
 from revlens.operators.pivot import pivot_sum, pivot_with_totals
 from revlens.operators.report import (
     add_order_metrics,

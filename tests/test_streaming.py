@@ -1,9 +1,7 @@
 """Incremental job on the streaming file source (K1-K7) with the J6 golden files."""
 
-import itertools
 import os
 import random
-import shutil
 
 import pytest
 
