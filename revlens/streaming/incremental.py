@@ -28,9 +28,12 @@ from __future__ import annotations
 
 import logging
 import os
+import time
+from contextlib import contextmanager
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -132,6 +135,11 @@ class Layout:
     def quarantine(self) -> str:
         return self._p("quarantine")
 
+    @property
+    def consumed(self) -> str:
+        """Raw files moved out of the drop folder by the file source."""
+        return self._p("consumed")
+
     @property
     def result_csv(self) -> str:
         return self._p("result")
@@ -154,6 +162,14 @@ def _lookup_keys(df: DataFrame, key: str) -> DataFrame:
     return F.broadcast(keys) if keys.count() <= BROADCAST_KEYS_MAX else keys
 
 
+@contextmanager
+def _step(name: str, batch_id: int):
+    """Wall time of one step of a micro-batch, logged at INFO."""
+    start = time.perf_counter()
+    yield
+    log.info("batch %s: %s took %.2fs", batch_id, name, time.perf_counter() - start)
+
+
 def _has_parquet(spark: SparkSession, path: str) -> bool:
     """Whether ``path`` holds Parquet data, using Spark's file listing (works
     on any file system Spark can read)."""
@@ -221,94 +237,120 @@ class IncrementalReport:
     # --------------------------------------------------------------- batch
 
     def process_batch(self, batch: DataFrame, batch_id: int) -> None:
+        """One micro-batch. The parsed rows and the batch's new versions are
+        used by several outputs, so they are persisted for the duration of the
+        batch (the pattern the Structured Streaming guide gives for
+        ``foreachBatch`` with several writes) and released at the end. Both
+        are bounded by the micro-batch size and recomputable from the source
+        files if an executor is lost."""
+        persisted: list[DataFrame] = []
+        try:
+            self._process_batch(batch, batch_id, persisted)
+        finally:
+            for df in persisted:
+                df.unpersist()
+
+    def _process_batch(self, batch: DataFrame, batch_id: int, persisted: list) -> None:
         spark = self.spark
-        raw = parse_lines(with_ordinal(batch), required=ORDER_COLUMNS)
-        quarantined = raw.where(C("ingestion_date").isNull())
-        good = raw.where(C("ingestion_date").isNotNull())
-        quarantined.write.mode("overwrite").parquet(os.path.join(self.layout.quarantine, f"batch={batch_id}"))
+        with _step("parse", batch_id):
+            raw = parse_lines(with_ordinal(batch), required=ORDER_COLUMNS).persist(StorageLevel.MEMORY_AND_DISK)
+            persisted.append(raw)
+            quarantined = raw.where(C("ingestion_date").isNull())
+            good = raw.where(C("ingestion_date").isNotNull())
+            quarantined.write.mode("overwrite").parquet(os.path.join(self.layout.quarantine, f"batch={batch_id}"))
 
         # 1. customers (H4) and the segment refresh of affected orders (D4, HP-5)
-        customers = self._current_customers(batch_id)
-        prior = self.state.read(before=batch_id)
-        updates = self._pending_updates
-        if updates is not None:
-            customers_now = customer_upsert(customers, updates, ordinal="_line")
-            self.customers.write(customers_now, batch_id)
-            customers_now = self.customers.read(before=batch_id + 1)
-            changed_customers = customers_now.join(
-                customers, ["customer_id", "segment"], "left_anti"
-            ).select("customer_id", C("segment").alias("_new_segment"))
-        else:
-            customers_now, changed_customers = customers, None
+        with _step("customers", batch_id):
+            customers = self._current_customers(batch_id)
+            prior = self.state.read(before=batch_id)
+            updates = self._pending_updates
+            if updates is not None:
+                customers_now = customer_upsert(customers, updates, ordinal="_line")
+                self.customers.write(customers_now, batch_id)
+                customers_now = self.customers.read(before=batch_id + 1)
+                changed_customers = customers_now.join(
+                    customers, ["customer_id", "segment"], "left_anti"
+                ).select("customer_id", C("segment").alias("_new_segment"))
+            else:
+                customers_now, changed_customers = customers, None
 
         # 2. new versions of this batch (H2)
-        enriched = join_customers(good.drop("file_name"), customers_now)
-        cleaned = clean_orders(enriched)
-        latest = latest_by(cleaned, "order_id", ["ingestion_date", "line"]).drop("line")
-        new = add_order_metrics(latest).select(*STATE_COLUMNS)
+        with _step("new versions", batch_id):
+            enriched = join_customers(good.drop("file_name"), customers_now)
+            cleaned = clean_orders(enriched)
+            latest = latest_by(cleaned, "order_id", ["ingestion_date", "line"]).drop("line")
+            new = add_order_metrics(latest).select(*STATE_COLUMNS).persist(StorageLevel.MEMORY_AND_DISK)
+            persisted.append(new)
 
         # 3. touched months (K3)
-        # Months of replaced versions: a lookup of this batch's order ids in
-        # the state (two columns read; the ids are broadcast when few).
-        new_ids = _lookup_keys(new, "order_id")
-        months = new.select("order_month").unionByName(
-            prior.select("order_id", "order_month").join(new_ids, "order_id", "left_semi").select("order_month")
-        )
-        refreshed_rows = None
-        if changed_customers is not None:
-            hit = left_join(
-                prior.join(_lookup_keys(changed_customers, "customer_id"), "customer_id", "left_semi"),
-                guarded_unique(changed_customers, "customer_id", "customers"),
-                "customer_id",
+        with _step("touched months", batch_id):
+            # Months of replaced versions: a lookup of this batch's order ids
+            # in the state (two columns read; the ids are broadcast when few).
+            new_ids = _lookup_keys(new, "order_id")
+            months = new.select("order_month").unionByName(
+                prior.select("order_id", "order_month").join(new_ids, "order_id", "left_semi").select("order_month")
             )
-            if self.clear_segment:
-                seg = F.coalesce(C("_new_segment"), F.lit("UNKNOWN"))
-            else:
-                seg = F.coalesce(C("_new_segment"), C("segment"))
-            refreshed_rows = hit.withColumn("_seg", seg).where(~C("_seg").eqNullSafe(C("segment")))
-            months = months.unionByName(refreshed_rows.select("order_month"))
-        # A bounded list: at most one entry per calendar month.
-        touched = sorted(r[0] for r in months.distinct().collect())
+            refreshed_rows = None
+            if changed_customers is not None:
+                hit = left_join(
+                    prior.join(_lookup_keys(changed_customers, "customer_id"), "customer_id", "left_semi"),
+                    guarded_unique(changed_customers, "customer_id", "customers"),
+                    "customer_id",
+                )
+                if self.clear_segment:
+                    seg = F.coalesce(C("_new_segment"), F.lit("UNKNOWN"))
+                else:
+                    seg = F.coalesce(C("_new_segment"), C("segment"))
+                refreshed_rows = hit.withColumn("_seg", seg).where(~C("_seg").eqNullSafe(C("segment")))
+                months = months.unionByName(refreshed_rows.select("order_month"))
+            # A bounded list: at most one entry per calendar month.
+            touched = sorted(r[0] for r in months.distinct().collect())
+
         if touched:
             touched_df = spark.createDataFrame([(m,) for m in touched], "order_month string")
-            # Only the touched month folders of the state are read for the upsert.
-            prior_t = self.state.read(before=batch_id, parts=touched)
-            if refreshed_rows is not None:
-                fixes = refreshed_rows.select("order_id", C("_seg").alias("_seg"))
-                prior_t = left_join(prior_t, fixes, "order_id").withColumn(
-                    "segment", F.coalesce(C("_seg"), C("segment"))
-                ).drop("_seg")
-            # 4. upsert the touched months (H3) and publish them
-            state_t = upsert(prior_t, new).select(*STATE_COLUMNS)
-            self.state.write(state_t, batch_id, parts=touched)
-            state_t = self.state.read(before=batch_id + 1).join(touched_df, "order_month", "left_semi")
+            # 4. upsert the touched months (H3) and publish them; only the
+            # touched month folders of the state are read.
+            with _step("state upsert", batch_id):
+                prior_t = self.state.read(before=batch_id, parts=touched)
+                if refreshed_rows is not None:
+                    fixes = refreshed_rows.select("order_id", C("_seg").alias("_seg"))
+                    prior_t = left_join(prior_t, fixes, "order_id").withColumn(
+                        "segment", F.coalesce(C("_seg"), C("segment"))
+                    ).drop("_seg")
+                state_t = upsert(prior_t, new).select(*STATE_COLUMNS)
+                self.state.write(state_t, batch_id, parts=touched)
+                state_t = self.state.read(before=batch_id + 1, parts=touched)
 
             # 5. report rows of touched months, windows over the small table (K4, K5)
-            prior_rows = self.rows.read(before=batch_id)
-            merged = prior_rows.join(touched_df, "order_month", "left_anti").unionByName(
-                month_segment_rollup(state_t).select(*[f.name for f in ROWS_SCHEMA.fields])
+            with _step("report", batch_id):
+                prior_rows = self.rows.read(before=batch_id)
+                merged = prior_rows.join(touched_df, "order_month", "left_anti").unionByName(
+                    month_segment_rollup(state_t).select(*[f.name for f in ROWS_SCHEMA.fields])
+                )
+                self.rows.write(merged, batch_id)
+                report = finish_report(self.rows.read(before=batch_id + 1))
+                self.report.write(report, batch_id)
+                if self.publish_csv:
+                    write_csv(self.report.read(before=batch_id + 1), self.layout.result_csv,
+                              order_by=REPORT_ORDER, single_file=True)
+
+        # 6. raw archive by batch day (A9): <archive>/batch=<id>/year=/month=/day=,
+        # file name kept as a column. A replayed batch overwrites only its own
+        # folder; one task per day writes one file per day partition.
+        with _step("archive", batch_id):
+            day = batch_day(C("ingestion_date"))
+            (
+                good.select(*ORDER_COLUMNS, "file_name", "ingestion_date")
+                .withColumns({
+                    "year": F.date_format(day, "yyyy"),
+                    "month": F.date_format(day, "MM"),
+                    "day": F.date_format(day, "dd"),
+                })
+                .repartition("year", "month", "day")
+                .write.mode("overwrite")
+                .partitionBy("year", "month", "day")
+                .parquet(os.path.join(self.layout.archive, f"batch={batch_id}"))
             )
-            self.rows.write(merged, batch_id)
-            report = finish_report(self.rows.read(before=batch_id + 1))
-            self.report.write(report, batch_id)
-            if self.publish_csv:
-                write_csv(self.report.read(before=batch_id + 1), self.layout.result_csv,
-                          order_by=REPORT_ORDER, single_file=True)
-
-        # 6. raw archive by batch day (A9); re-running a batch rewrites the same partitions
-        day = batch_day(C("ingestion_date"))
-        (
-            good.select(*ORDER_COLUMNS, "file_name", "ingestion_date")
-            .withColumns({
-                "year": F.date_format(day, "yyyy"),
-                "month": F.date_format(day, "MM"),
-                "day": F.date_format(day, "dd"),
-            })
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy("year", "month", "day", "file_name")
-            .parquet(self.layout.archive)
-        )
 
     # ----------------------------------------------------------------- run
 
@@ -329,7 +371,14 @@ class IncrementalReport:
 
         # Text source: each micro-batch parses its files by their own header
         # (a CSV source would map columns by position).
-        reader = self.spark.readStream.format("text").option("pathGlobFilter", BATCH_GLOB)
+        # Consumed files are moved out of the drop folder by the source itself
+        # (kept verbatim under ``consumed``), so listings stay small.
+        reader = (
+            self.spark.readStream.format("text")
+            .option("pathGlobFilter", BATCH_GLOB)
+            .option("cleanSource", "archive")
+            .option("sourceArchiveDir", self.layout.consumed)
+        )
         if self.max_files_per_trigger:
             # bounds one micro-batch; availableNow still drains every file
             reader = reader.option("maxFilesPerTrigger", self.max_files_per_trigger)
