@@ -77,8 +77,9 @@ def monthly_report_dense(enriched: DataFrame) -> DataFrame:
 def dense_report_from_rows(rows: DataFrame) -> DataFrame:
     """G5 over pre-window report rows. ``rows`` is read several times (first
     month, last month, the fill join), so callers pass a materialized table."""
-    seg = dense_months(rows.where(~C("is_total")).drop("is_total")).withColumn("is_total", F.lit(False))
-    tot = dense_months(rows.where(C("is_total")).drop("is_total")).withColumn("is_total", F.lit(True))
+    last = rows.agg(F.max("order_month")).first()[0]  # one value: the spine's end
+    seg = dense_months(rows.where(~C("is_total")).drop("is_total"), last=last).withColumn("is_total", F.lit(False))
+    tot = dense_months(rows.where(C("is_total")).drop("is_total"), last=last).withColumn("is_total", F.lit(True))
     return finish_report(seg.unionByName(tot))
 
 

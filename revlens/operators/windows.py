@@ -32,28 +32,33 @@ def add_running_metrics(
     )
 
 
-def month_spine(df: DataFrame, first: str, last: str, out: str = "order_month") -> DataFrame:
-    """One row per calendar month between two month-label columns of each row."""
+def month_spine(df: DataFrame, first: str, last, out: str = "order_month") -> DataFrame:
+    """One row per calendar month from the month label in column ``first``
+    to ``last`` (a month label column or a literal month label)."""
     start = F.to_date(F.concat(C(first), F.lit("-01")))
-    stop = F.to_date(F.concat(C(last), F.lit("-01")))
+    end_label = F.lit(last) if isinstance(last, str) and last not in df.columns else C(last)
+    stop = F.to_date(F.concat(end_label, F.lit("-01")))
     keep = [c for c in df.columns if c not in (first, last)]
     exploded = df.select(*keep, F.explode(F.sequence(start, stop, F.expr("INTERVAL 1 MONTH"))).alias("_m"))
     return exploded.select(*keep, month_label(C("_m")).alias(out))
 
 
 def dense_months(
-    base: DataFrame, key: str = "segment", month: str = "order_month", fill=("orders_count", "customers_count", "total_revenue")
+    base: DataFrame, key: str = "segment", month: str = "order_month",
+    fill=("orders_count", "customers_count", "total_revenue"), last: str | None = None,
 ) -> DataFrame:
     """Calendar variant (G5): each key gets every month from its first month to
     the last month of the whole table; absent months get zeros.
 
-    The spine is built per key with ``sequence`` + ``explode`` (no cross
-    join); the global last month is a one-row aggregate attached by an
-    equi-join on a constant, so what is broadcast is one row by construction.
+    The spine is built per key with ``sequence`` + ``explode``. The end of the
+    spine is one value: passed in, or read with a one-row aggregate (no join,
+    no cross product).
     """
+    if last is None:
+        last = base.agg(F.max(month)).first()[0]
+    if last is None:  # empty input
+        return base
     first = base.groupBy(key).agg(F.min(month).alias("_first"))
-    last = base.agg(F.max(month).alias("_last")).withColumn("_one", F.lit(1))
-    ranges = first.withColumn("_one", F.lit(1)).join(F.broadcast(last), "_one").drop("_one")
-    spine = month_spine(ranges, "_first", "_last", month)
+    spine = month_spine(first, "_first", last, month)
     dense = spine.join(base, [key, month], "left")
     return dense.withColumns({c: F.coalesce(C(c), F.lit(0)).cast(dict(base.dtypes)[c]) for c in fill})

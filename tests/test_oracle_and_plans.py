@@ -53,6 +53,9 @@ def test_no_python_udf_in_plan(spark, name):
     plan = _plan(E.queries()[name](spark, SF))
     for node in ("BatchEvalPython", "ArrowEvalPython", "PythonUDF", "FlatMapGroupsInPandas", "MapInPandas"):
         assert node not in plan
+    # no pairwise products anywhere
+    for node in ("CartesianProduct", "BroadcastNestedLoopJoin"):
+        assert node not in plan
 
 
 def test_filter_and_pruning_reach_the_scan(spark):
