@@ -43,7 +43,7 @@ from revlens.operators.versions import (
     upsert,
 )
 from revlens.operators.windows import add_running_metrics
-from revlens.session import checkpoint_root
+from revlens.session import materialize
 from revlens.sources import views as V
 from revlens.sources.files import archive_dir, batch_day, batch_seq, batch_version, matches_glob
 from revlens.sources.tables import Tables
@@ -323,9 +323,8 @@ def q_monthly_segment_dense(spark, sf_dir):
     """Calendar months with zeros.
 
     The month x segment rows feed the spine (first and last month) and the
-    fill join; they are materialized once with a reliable checkpoint."""
-    checkpoint_root(spark)
-    rows = month_segment_rollup(orders_enriched(Tables(spark, sf_dir))).checkpoint(eager=True)
+    fill join; they are written once to the shared checkpoint folder."""
+    rows = materialize(month_segment_rollup(orders_enriched(Tables(spark, sf_dir))), "month_segment_rows")
     return dense_report_from_rows(rows)
 
 
@@ -403,10 +402,9 @@ def q_incremental_report(spark, sf_dir):
     windows rerun; equals a full rebuild over the new state.
 
     The per-order version table feeds three branches that each prune it
-    differently, so it is materialized once with a reliable checkpoint in
-    the shared ``spark.checkpoint.dir`` (this also cuts its lineage)."""
-    checkpoint_root(spark)
-    versions = run_versions(Tables(spark, sf_dir)).checkpoint(eager=True)
+    differently, so it is written once as a table in the shared
+    ``spark.checkpoint.dir`` and read back (this also cuts its lineage)."""
+    versions = materialize(run_versions(Tables(spark, sf_dir)), "order_versions")
     prior_rows = month_segment_rollup(_version_rows(versions, "prior"))
     touched = run_touched_months(versions)
     return finish_report(merge_report_rows(prior_rows, _version_rows(versions, "kept"), touched))

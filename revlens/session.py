@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -76,3 +77,18 @@ def checkpoint_root(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A sub-folder of the shared checkpoint root for written intermediate tables."""
     return os.path.join(checkpoint_root(spark), name)
+
+
+def materialize(df, name: str):
+    """Write ``df`` once as Parquet under the shared checkpoint folder and
+    return a frame reading it back.
+
+    Cuts lineage like a reliable checkpoint, but computes the plan once (an
+    eager ``Dataset.checkpoint`` on an unpersisted plan computes it twice:
+    once to count, once to write). Executors may be lost afterwards: the data
+    is on shared storage, not in executor memory.
+    """
+    spark = df.sparkSession
+    path = os.path.join(checkpoint_root(spark), "tables", f"{name}-{uuid.uuid4().hex}")
+    df.write.parquet(path)
+    return spark.read.parquet(path)
