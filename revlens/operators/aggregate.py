@@ -109,12 +109,45 @@ def profit_total(df: DataFrame, keys=("region", "category"), digits: int = 2, in
     return _profit_finish(agg, digits, inf_margin).withColumn("is_total", F.lit(True))
 
 
-def profit_report(df: DataFrame, keys=("region", "category"), digits: int = 2, inf_margin: bool = False) -> DataFrame:
-    """Group rows plus the grand-total row (E6 + J1). ``is_total`` separates
-    the total from a real ``ALL`` label; sort with :func:`profit_report_order`."""
-    groups = profit_by_group(df, keys, digits=digits, inf_margin=inf_margin)
-    total = profit_total(df, keys, digits=digits, inf_margin=inf_margin)
-    return groups.unionByName(total)
+def profit_report(df: DataFrame, keys=("region", "category"), count_col: str = "order_id",
+                  digits: int = 2, inf_margin: bool = False) -> DataFrame:
+    """Group rows plus the grand-total row (E6 + J1), in one pass over the lines.
+
+    ``GROUPING SETS ((keys), ())`` computes both levels together; groups with
+    a missing key are dropped while the total still counts their rows, as
+    in E4/E5. A one-row neutral total is merged in so that empty input still
+    yields the total row (grouping set ``()`` alone yields none). ``is_total``
+    separates the total from a real ``ALL`` label; sort with
+    :func:`profit_report_order`.
+    """
+    keys = list(keys)
+    g = df.groupingSets([keys, []], *keys).agg(
+        F.count(C(count_col)).alias("_ids"),
+        F.count(F.lit(1)).alias("_rows"),
+        F.sum("revenue").cast("double").alias("total_revenue"),
+        F.sum("cost").cast("double").alias("total_cost"),
+        F.sum("profit").cast("double").alias("total_profit"),
+        (F.grouping_id() > 0).alias("is_total"),
+    )
+    has_keys = reduce(lambda a, b: a & b, [C(k).isNotNull() for k in keys])
+    rows = g.where(C("is_total") | has_keys).select(
+        "is_total",
+        *[F.when(C("is_total"), F.lit(ALL)).otherwise(C(k)).alias(k) for k in keys],
+        F.when(C("is_total"), C("_rows")).otherwise(C("_ids")).alias("orders_count"),
+        "total_revenue", "total_cost", "total_profit",
+    )
+    neutral = df.sparkSession.range(1).select(
+        F.lit(True).alias("is_total"), *[F.lit(ALL).alias(k) for k in keys],
+        F.lit(0).cast("long").alias("orders_count"),
+        *[F.lit(None).cast("double").alias(c) for c in ("total_revenue", "total_cost", "total_profit")],
+    )
+    merged = rows.unionByName(neutral).groupBy("is_total", *keys).agg(
+        F.sum("orders_count").alias("orders_count"),
+        *[F.coalesce(F.sum(c), F.lit(0.0)).alias(c) for c in ("total_revenue", "total_cost", "total_profit")],
+    )
+    return _profit_finish(merged, digits, inf_margin).select(
+        *keys, "orders_count", "total_revenue", "total_cost", "total_profit", "profit_margin", "is_total"
+    )
 
 
 def profit_report_order(keys=("region", "category"), totals_last: bool = False) -> list:

@@ -232,3 +232,14 @@ def test_csv_sink_single_ordered_file(spark, tmp_path):
     files = [p for p in (tmp_path / "out").iterdir() if p.name.endswith(".csv")]
     assert len(files) == 1
     assert files[0].read_text().splitlines() == ["k,v", "1,a", "2,b"]
+
+
+def test_profit_report_single_pass_edges(spark):
+    schema = "order_id int, region string, category string, revenue double, cost double, profit double"
+    df = spark.createDataFrame([(1, None, "X", 10.0, 4.0, 6.0), (None, "EU", "X", 5.0, 1.0, 4.0)], schema)
+    rows = {(r["region"], r["is_total"]): tuple(r) for r in agg.profit_report(df).collect()}
+    assert rows[("EU", False)][2] == 0  # count of non-missing ids
+    assert rows[("ALL", True)][2:6] == (2, 15.0, 5.0, 10.0)  # total counts rows, null key included
+    assert len(rows) == 2
+    empty = [tuple(r) for r in agg.profit_report(df.where("false")).collect()]
+    assert empty == [("ALL", "ALL", 0, 0.0, 0.0, 0.0, 0.0, True)]
