@@ -71,8 +71,9 @@ def guarded_unique(dim: DataFrame, keys, what: str = "dimension") -> DataFrame:
 
     One aggregation by key (partial aggregation first, so a hot key costs one
     row per map task) carries every attribute; a repeated key raises when the
-    join runs, with no separate validation job. The result is hash
-    partitioned by the key, which a following sort-merge join reuses.
+    join runs, with no separate validation job. String attributes make this
+    a sort-based aggregate; its output is one row per key, which is what the
+    join then reads (broadcast when its measured size allows).
     """
     keys = [keys] if isinstance(keys, str) else list(keys)
     attrs = [c for c in dim.columns if c not in keys]

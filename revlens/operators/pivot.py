@@ -52,8 +52,8 @@ def with_total_column(pivoted: DataFrame, index: str = "region") -> DataFrame:
 def with_total_row(table: DataFrame, index: str = "region") -> DataFrame:
     """Append the column-sums row labelled ``ALL`` (E10 + F4 + J1).
 
-    The sums are one global aggregate over the (small) pivoted table; the
-    pivot's shuffle output is reused by both branches of the union.
+    The sums are one global aggregate over the (small) pivoted table, whose
+    size is regions x domain whatever the number of sales lines.
     ``is_total`` keeps the row apart from a real ``ALL`` label.
     """
     cols = [c for c in numeric_columns(table) if c != index]
