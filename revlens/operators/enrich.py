@@ -1,10 +1,11 @@
 """Dimension joins.
 
-Join strategy is left to the planner: a dimension is broadcast only when
-Spark's size estimate (file statistics at plan time, measured shuffle size
-under AQE) is below ``spark.sql.autoBroadcastJoinThreshold``; otherwise the
-join is a shuffled sort-merge join. No ``broadcast()`` hint is put on a
-table whose size grows with the data.
+Join strategy is left to the planner: a dimension is broadcast only when its
+estimated size at plan time is below ``spark.sql.autoBroadcastJoinThreshold``
+(kept small by ``revlens.session``) or its measured size under AQE is below
+``spark.sql.adaptive.autoBroadcastJoinThreshold``; otherwise the join is a
+shuffled sort-merge join, whose skewed fact partitions AQE can split. No
+``broadcast()`` hint is put on a table whose size grows with the data.
 """
 
 from __future__ import annotations
