@@ -140,3 +140,18 @@ def test_one_run_in_several_micro_batches(spark, tmp_path):
     assert job.run()
     assert _report(job) == INCREMENTAL_REPORT_J6
     assert job.state.latest_version() >= 2  # three micro-batches: ids 0, 1, 2
+
+
+def test_unparsable_file_name_goes_to_quarantine(spark, tmp_path):
+    layout = _layout(tmp_path, "quarantine")
+    _drop(layout, ["orders-2024-01-10-0000.csv"])
+    job = IncrementalReport(spark, layout, publish_csv=False)
+    job.run()
+    before = _report(job)
+    # passes the glob (? is any character) but has no valid version
+    with open(os.path.join(layout.drop, "orders-abcd-01-10-0000.csv"), "w") as f:
+        f.write("order_id,customer_id,order_date,quantity,unit_price\n9001,1,2024-01-05,2,100\n")
+    assert job.run()
+    assert _report(job) == before
+    q = spark.read.parquet(os.path.join(layout.quarantine, "batch=1"))
+    assert [r["order_id"] for r in q.collect()] == ["9001"]
