@@ -114,3 +114,24 @@ def test_j6_one_run_batch_form(spark, write_csv_file, tmp_path):
     state = add_order_metrics(latest_order_version(cleaned, version=("ingestion_date", "line")))
     out = monthly_segment_report(state).orderBy(*REPORT_ORDER).select(*REPORT_COLS).collect()
     assert [tuple(r) for r in out] == INCREMENTAL_REPORT_J6
+
+
+def test_j5_calendar_variant(spark, write_csv_file):
+    from revlens.operators.report import monthly_report_dense
+
+    out = monthly_report_dense(_j5_enriched(spark, write_csv_file)).orderBy(*REPORT_ORDER).select(*REPORT_COLS).collect()
+    got = [tuple(r) for r in out]
+    expected = [
+        ("2024-01", "Enterprise", 1, 1, 200.0, 200.0, 200.0),
+        ("2024-01", "SMB", 1, 1, 200.0, 200.0, 200.0),
+        ("2024-01", "ALL", 2, 2, 400.0, 400.0, 400.0),
+        ("2024-02", "Enterprise", 2, 2, 600.0, 800.0, 400.0),
+        ("2024-02", "SMB", 0, 0, 0.0, 200.0, 100.0),
+        ("2024-02", "UNKNOWN", 1, 1, 500.0, 500.0, 500.0),
+        ("2024-02", "ALL", 3, 3, 1100.0, 1500.0, 750.0),
+        ("2024-03", "Enterprise", 0, 0, 0.0, 800.0, 800.0 / 3),
+        ("2024-03", "SMB", 0, 0, 0.0, 200.0, 200.0 / 3),
+        ("2024-03", "UNKNOWN", 1, 1, 240.0, 740.0, 370.0),
+        ("2024-03", "ALL", 1, 1, 240.0, 1740.0, 580.0),
+    ]
+    assert got == expected
