@@ -135,3 +135,15 @@ def test_j5_calendar_variant(spark, write_csv_file):
         ("2024-03", "ALL", 1, 1, 240.0, 1740.0, 580.0),
     ]
     assert got == expected
+
+
+def test_j5_printable_form(spark, write_csv_file):
+    from revlens.operators.report import printable_order, printable_report
+
+    report = monthly_report_additive(_j5_enriched(spark, write_csv_file))
+    out = printable_report(report).orderBy(*printable_order()).select(*REPORT_COLS).collect()
+    got = [tuple(r) for r in out]
+    blank = (None,) * len(REPORT_COLS)
+    expected = (MONTHLY_REPORT_J5[0:3] + [blank] + MONTHLY_REPORT_J5[3:6] + [blank]
+                + MONTHLY_REPORT_J5[6:8] + [blank])
+    assert got == expected
