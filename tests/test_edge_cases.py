@@ -243,3 +243,28 @@ def test_profit_report_single_pass_edges(spark):
     assert len(rows) == 2
     empty = [tuple(r) for r in agg.profit_report(df.where("false")).collect()]
     assert empty == [("ALL", "ALL", 0, 0.0, 0.0, 0.0, 0.0, True)]
+
+
+def test_repeated_key_count_counts_null_keys_once(spark):
+    from revlens.operators.versions import repeated_key_count
+
+    df = spark.createDataFrame([("a",), ("a",), ("b",), (None,), (None,)], "order_id string")
+    assert repeated_key_count(df).collect()[0][0] == 2  # one repeat of 'a', one of NULL
+    assert repeated_key_count(df.where("false")).collect()[0][0] == 0
+
+
+def test_customer_upsert_last_line_of_update_file_wins(spark):
+    cur = spark.createDataFrame([("1", "SMB"), ("2", "SMB")], "customer_id string, segment string")
+    upd = spark.createDataFrame([("1", "Enterprise", 0), ("1", "Retail", 1)], "customer_id string, segment string, line long")
+    out = {r["customer_id"]: r["segment"] for r in customer_upsert(cur, upd, ordinal="line").collect()}
+    assert out == {"1": "Retail", "2": "SMB"}
+
+
+def test_pivot_other_column_and_totals_last(spark):
+    df = spark.createDataFrame([("EU", "Hardware", 2.0), ("EU", "Other", 5.0)], "region string, category string, revenue double")
+    row = pivot_sum(df, other="OTHER").collect()[0].asDict()
+    assert row == {"region": "EU", "Hardware": 2.0, "Services": 0.0, "Software": 0.0, "OTHER": 5.0}
+    lines = spark.createDataFrame([(1, "AAA", "X", 1.0, 0.0, 1.0)],
+                                  "order_id int, region string, category string, revenue double, cost double, profit double")
+    ordered = agg.profit_report(lines).orderBy(*agg.profit_report_order(totals_last=True)).collect()
+    assert [r["is_total"] for r in ordered] == [False, True]
