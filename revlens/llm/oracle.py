@@ -52,7 +52,7 @@ def _quality() -> str:
     listed = {k: list(v) for k, v in quality.COMMON_WORDS.items()}
     cases = " ".join(
         f"WHEN '{k}' THEN list_transform([{', '.join(_quoted(w) for w in v)}], "
-        "c -> len(list_filter(w, x -> x = c OR x = upper(c[1]) || c[2:] OR x = upper(c))))"
+        "lambda c: len(list_filter(w, lambda x: x = c OR x = upper(c[1]) || c[2:] OR x = upper(c))))"
         for k, v in listed.items()
     )
     n_classes, n_words = len(quality.CHAR_CLASSES) + 1, len(listed["en"]) + 1
@@ -66,13 +66,13 @@ def _quality() -> str:
             f"(SELECT unnest({p}) / list_sum({p})::DOUBLE AS a, unnest({q}) / list_sum({q})::DOUBLE AS b)))"
         )
 
-    shares = "list_transform({0}, x -> CAST(floor(x * 1000000 / list_sum({0})) AS BIGINT))"
+    shares = "list_transform({0}, lambda x: CAST(floor(x * 1000000 / list_sum({0})) AS BIGINT))"
     return f"""
 WITH d AS (
   SELECT doc_id, row_number() OVER () AS row_id, coalesce(text, '') AS t,
     CASE WHEN lang IN ({", ".join(_quoted(k) for k in listed)}) THEN lang ELSE '*' END AS ref
   FROM documents),
-w AS (SELECT *, list_filter(regexp_split_to_array(t, {_quoted(space)}), x -> x <> '') AS w FROM d),
+w AS (SELECT *, list_filter(regexp_split_to_array(t, {_quoted(space)}), lambda x: x <> '') AS w FROM d),
 tri AS (
   SELECT row_id, i, w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] AS k
   FROM (SELECT row_id, w, unnest(range(1, len(w) - 1)) AS i FROM w WHERE len(w) > 2)),
