@@ -37,6 +37,8 @@ ignored.
 from __future__ import annotations
 
 import struct
+import sys
+import types
 import zlib
 from collections.abc import Iterator
 
@@ -51,7 +53,7 @@ from .common import shared_path, tokenizer_path
 TOKENIZER = "byte_bpe_50k.json"
 END_ID = 0
 BLOCK_IDS = 1 << 17
-LANES = 256
+LANES = 512
 GROUP = 16
 #: Ids must be below this.
 MAX_ID = 1 << 16
@@ -73,8 +75,8 @@ class Tokens:
     characters and white space, and never merges across them. So a text can be
     cut before a blank between two other characters, around a single line
     break between such, and between a word and the punctuation behind it. Ids
-    of pieces met before are remembered (at most ``CACHE_PIECES``) and only new
-    words go to the library. Special-token strings in a text are ordinary text.
+    of pieces and words met before are remembered (some ``CACHE_PIECES`` each)
+    and only new words go to the library. Special-token strings in a text are ordinary text.
     """
 
     TAIL = ".,;:!?*$%&#|\"()"
@@ -85,7 +87,8 @@ class Tokens:
         self.library = Tokenizer.from_file(path)
         self.library.encode_special_tokens = True
         self.model = self.library.model
-        self.known: dict[str, bytes] = {}
+        self.known: dict[str, bytes] = {}  # pieces
+        self.words: dict[str, bytes] = {}
         # the printable stand-ins that byte-level BPE has for bytes
         plain = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
         others = [b for b in range(256) if b not in set(plain)]
@@ -93,9 +96,10 @@ class Tokens:
 
     @staticmethod
     def pieces(text: str) -> list[str]:
+        if " ".join(text.split()) == text.replace("\n", " ") and "\0" not in text:
+            # all white space is single and between words: cut at each blank
+            return text.replace(" ", "\0 ").split("\0")
         parts = text.split(" ")
-        if "" not in parts and not any(p[0].isspace() or p[-1].isspace() for p in parts if len(p) < 3 or p != p.strip()):
-            return parts[:1] + [" " + p for p in parts[1:]]
         out = [parts[0]]
         for p in parts[1:]:
             if p and out[-1] and not p[0].isspace() and not out[-1][-1].isspace():
@@ -107,32 +111,51 @@ class Tokens:
     @classmethod
     def finer(cls, piece: str) -> list[str]:
         """A piece cut around line breaks and before closing punctuation."""
-        lines = piece.split("\n")
-        if len(lines) > 1 and all(x and not x[-1].isspace() and (i == 0 or not x[0].isspace()) for i, x in enumerate(lines)):
+        lines = piece.split("\n") if "\n" in piece else ()
+        if lines and all(x and not x[-1].isspace() and (i == 0 or not x[0].isspace()) for i, x in enumerate(lines)):
             return [y for i, x in enumerate(lines) for y in (["\n"] if i else []) + cls.finer(x)]
         core = piece.rstrip(cls.TAIL)
         if core != piece and core and core[-1].isalpha():
             return [core, piece[len(core) :]]
         return [piece]
 
-    def encode(self, texts: list[str]) -> list[np.ndarray]:
-        cut = [self.pieces(t) for t in texts]
-        known = self.known
-        if len(known) > CACHE_PIECES:
-            known.clear()
-        new = {p: self.finer(p) for parts in cut for p in parts if p not in known}
-        words = list({w for parts in new.values() for w in parts if w not in known})
-        for w in words:
-            if (w[1:] if w[:1] == " " else w).isalpha():  # one stretch of letters: straight to the library's BPE model
-                stand_ins = w.encode().decode("latin-1").translate(self.stand_in)
-                known[w] = struct.pack(f"<{len(ids := [t.id for t in self.model.tokenize(stand_ins)])}H", *ids)
-        words = [w for w in words if w not in known]
-        for w, e in zip(words, self.library.encode_batch_fast(words, add_special_tokens=False), strict=True):
-            known[w] = struct.pack(f"<{len(e.ids)}H", *e.ids)
-        for p, parts in new.items():
-            if len(parts) > 1:
-                known[p] = b"".join([known[w] for w in parts])
-        return [np.frombuffer(b"".join([known[p] for p in parts]), "<u2") for parts in cut]
+    def word(self, word: str) -> bytes:
+        got = self.words.get(word)
+        if got is None:
+            if (word[1:] if word[:1] == " " else word).isalpha():  # one stretch of letters: straight to the BPE model
+                stand_ins = word.encode().decode("latin-1").translate(self.stand_in)
+                ids = [t.id for t in self.model.tokenize(stand_ins)]
+            else:
+                ids = self.library.encode(word, add_special_tokens=False).ids
+            got = struct.pack(f"<{len(ids)}H", *ids)
+            if len(self.words) >= CACHE_PIECES:
+                self.words.clear()
+            self.words[word] = got
+        return got
+
+    def encode(self, text: str) -> np.ndarray:
+        """Ids (uint16) of a whole text."""
+        parts = self.pieces(text)
+        got = list(map(self.known.get, parts))
+        if None in got:
+            if len(self.known) >= CACHE_PIECES:
+                self.known.clear()
+            for i, x in enumerate(got):
+                if x is None:
+                    finer = self.finer(parts[i])
+                    x = self.word(finer[0]) if len(finer) == 1 else b"".join(map(self.word, finer))
+                    self.known[parts[i]] = got[i] = x
+        return np.frombuffer(b"".join(got), "<u2")
+
+
+def worker_tokens(path: str) -> Tokens:
+    """The tokens of this Python worker, kept from task to task with the words
+    they have met. Functions are shipped by value, so a global of theirs would
+    begin anew with every task; a module entry of the process lasts."""
+    kept = sys.modules.setdefault("_revlens_worker", types.ModuleType("_revlens_worker"))
+    if getattr(kept, "path", None) != path:
+        kept.path, kept.tokens = path, Tokens(path)
+    return kept.tokens
 
 
 class Model:
@@ -432,7 +455,7 @@ def _encode_part(path: str, block_ids: int):
     blocks at a time."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokens = Tokens(path)
+        tokens = worker_tokens(path)
         schema = pa.schema(
             [
                 ("part", pa.int32()),
@@ -474,9 +497,8 @@ def _encode_part(path: str, block_ids: int):
             ids_of, texts = batch.column("doc_id").to_pylist(), batch.column("text")
             part = batch.column("part")[0].as_py() if batch.num_rows else part
             for a in range(0, batch.num_rows, 64):
-                encoded = tokens.encode([x or "" for x in texts.slice(a, 64).to_pylist()])
-                for doc, ids in zip(ids_of[a : a + 64], encoded, strict=True):
-                    ids = np.append(ids, np.uint16(END_ID))
+                for doc, words in zip(ids_of[a : a + 64], texts.slice(a, 64).to_pylist(), strict=True):
+                    ids = np.append(tokens.encode(words or ""), np.uint16(END_ID))
                     at = 0
                     while at < len(ids):
                         take = min(len(ids) - at, block_ids - filled)
@@ -534,7 +556,7 @@ DIGEST_SCHEMA = (
 )
 
 
-def read_ids(batches: Iterator[pa.RecordBatch], group: int = 8) -> Iterator[tuple[dict, np.ndarray]]:
+def read_ids(batches: Iterator[pa.RecordBatch], group: int = GROUP) -> Iterator[tuple[dict, np.ndarray]]:
     """(block row, ids) of block rows; checks both checksums."""
     for batch in batches:
         rows = batch.to_pylist()
