@@ -16,8 +16,8 @@ holds the nodes that agree in one band. Candidates are checked in three steps:
 2. a few rounds in which each component inside a bucket sends one member to
    the bucket's most numerous component, with other members each time;
 3. the members of buckets that still hold several components, all across
-   components, in blocks: tasks compare signatures of two blocks and pass on
-   only pairs whose estimate can reach the threshold. Large buckets are dealt
+   components, in blocks: tasks compare the signatures and then the shingles
+   of two blocks and pass on only pairs near the threshold. Large buckets are dealt
    out as many block pairs, so none lands in one task.
 
 Steps 1 and 2 are linear in the bucket's members; step 3 makes the search
@@ -120,7 +120,8 @@ def _sign_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 
 
 def _print_batches(columns: list[str], text: str, node: str, grams: str | None):
-    """Adds the fingerprint, and the sorted shingle set if asked for."""
+    """Adds the fingerprint, and if asked for the sorted shingle set, in full and
+    in 32 bits a shingle."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -137,10 +138,12 @@ def _print_batches(columns: list[str], text: str, node: str, grams: str | None):
                 names = [*columns, node]
                 if grams:
                     hashes, rows = shingles(words, word_rows, SHINGLE)
+                    sets = [np.unique(hashes[rows[i] : rows[i + 1]]) for i in range(b - a)]
+                    arrays.append(pa.array([x.tobytes() for x in sets], pa.binary()))
                     arrays.append(
-                        pa.array([np.unique(hashes[rows[i] : rows[i + 1]]).tobytes() for i in range(b - a)], pa.binary())
+                        pa.array([np.unique((x >> U(32)).astype(np.uint32)).tobytes() for x in sets], pa.binary())
                     )
-                    names.append(grams)
+                    names += [grams, "small"]
                 yield pa.RecordBatch.from_arrays(arrays, names)
 
     return run
@@ -255,6 +258,7 @@ def _block_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
     def pairs(rows: list) -> tuple[list, list]:
         sig = np.stack([np.frombuffer(r[3], np.uint32) for r in rows])
         band = np.array([r[6] for r in rows])
+        small = [np.frombuffer(r[7], np.uint32) for r in rows]
         label = np.unique(np.array([r[4] for r in rows], object), return_inverse=True)[1]
         block = np.array([r[2] for r in rows])
         one, other = rows[0][1]
@@ -265,7 +269,7 @@ def _block_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
             first = same.reshape(len(rows), BANDS, ROWS).all(axis=2).argmax(axis=1) == band
             near = (same.sum(axis=1) >= LEAST_AGREEING) & first & (label != label[i]) & (block == other)
             for j in np.flatnonzero(near):
-                if one != other or i < j:
+                if (one != other or i < j) and jaccard(small[i], small[j]) >= SIMILARITY - 0.02:
                     a, b = rows[i][5], rows[j][5]
                     us.append(max(a, b))
                     vs.append(min(a, b))
@@ -274,9 +278,9 @@ def _block_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
     def cells() -> Iterator[list]:
         held: list = []
         for batch in batches:
-            columns = [batch.column(c).to_pylist() for c in ("bucket", "one", "other", "block", "sig", "label", "node", "band")]
-            for bucket, one, other, block, sig, label, node, band in zip(*columns, strict=True):
-                row = (bucket, (one, other), block, sig, label, node, band)
+            columns = [batch.column(c).to_pylist() for c in ("bucket", "one", "other", "block", "sig", "label", "node", "band", "small")]
+            for bucket, one, other, block, sig, label, node, band, few in zip(*columns, strict=True):
+                row = (bucket, (one, other), block, sig, label, node, band, few)
                 if held and held[0][:2] != row[:2]:
                     yield held
                     held = []
@@ -291,8 +295,10 @@ def _block_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
                 yield pa.RecordBatch.from_arrays([pa.array(us, pa.binary()), pa.array(vs, pa.binary())], ["u", "v"])
 
 
-def _cross_pairs(members: DataFrame, labels: DataFrame, nodes: DataFrame) -> DataFrame:
-    """Well agreeing pairs of one bucket that lie in different components."""
+def _cross_pairs(members: DataFrame, labels: DataFrame, nodes: DataFrame, grams: DataFrame) -> DataFrame:
+    """Pairs of one bucket that lie in different components, agree well and
+    are near the threshold by their 32-bit shingles: few rows, however many
+    pairs a block compares."""
     labelled = _labelled(members, labels)
     several = (
         labelled.groupBy("bucket")
@@ -314,7 +320,7 @@ def _cross_pairs(members: DataFrame, labels: DataFrame, nodes: DataFrame) -> Dat
             "node",
             "band",
         )
-        .join(nodes.select("node", "sig"), "node")
+        .join(nodes.select("node", "sig").join(grams.select("node", "small"), "node"), "node")
     )
     parts = int(nodes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     cells = dealt.repartition(parts, "bucket", "one", "other").sortWithinPartitions("bucket", "one", "other")
@@ -340,7 +346,7 @@ def _grams_of(wanted: DataFrame, docs: DataFrame, doc_id: str, text: str) -> Dat
         "left_semi",
     )
     made = held.select("text").mapInArrow(
-        _print_batches([], "text", "node", "grams"), "node binary, grams binary"
+        _print_batches([], "text", "node", "grams"), "node binary, grams binary, small binary"
     )
     return made.join(wanted.select("node"), "node", "left_semi").dropDuplicates(["node"])
 
@@ -366,7 +372,7 @@ def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> tupl
     links = stored(verify(tried, grams), "links")
     labels = stored(components(links), "labels")
     for turn in range(ROUNDS + 1):
-        more = _round_pairs(members, labels, turn) if turn < ROUNDS else _cross_pairs(members, labels, shared)
+        more = _round_pairs(members, labels, turn) if turn < ROUNDS else _cross_pairs(members, labels, shared, grams)
         more = stored(more.join(tried, ["u", "v"], "left_anti"), "pairs")
         found = stored(verify(more, grams), "links")
         tried = tried.unionByName(more)
