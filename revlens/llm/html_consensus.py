@@ -94,7 +94,7 @@ def _attributes(text: str) -> tuple[str, bool]:
 
 def parse(html: str) -> list[tuple[str, int, Node]]:
     """Blocks of a page in order: (text, characters of it in links, element)."""
-    root = Node("", "", None, False)
+    root = Node("#page", "#page", None, False)
     stack = [root]
     blocks: list[tuple[str, int, Node]] = []
     pieces: list[str] = []
@@ -155,7 +155,7 @@ def parse(html: str) -> list[tuple[str, int, Node]]:
         # html and body carry classes of the whole page, which say nothing
         dull = tag in BOILERPLATE_TAGS or dull and tag not in ("html", "body", "article", "main")
         name = f"{tag}.{classes}" if classes else tag
-        stack.append(Node(tag, f"{up.path}>{name}" if up.path else name, up, up.dull or dull))
+        stack.append(Node(tag, f"{up.path}>{name}", up, up.dull or dull))
     flush()
     return blocks
 
@@ -174,7 +174,7 @@ def vote(blocks: list[tuple[str, int, Node]]) -> str | None:
             node = node.parent
     best = None
     for node in containers.values():
-        if node.tag and node.tag not in LEAF and total > 0 and node.score >= COVER * total:
+        if node.tag not in LEAF and total > 0 and node.score >= COVER * total:
             depth = node.path.count(">")
             if best is None or depth > best[0]:
                 best = (depth, node.path)
