@@ -165,26 +165,24 @@ def _feature_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBat
             )
 
 
-def training_sample(rows: DataFrame, label: Column, key: Column, per_label: int) -> DataFrame:
-    """About ``per_label`` rows of each label: those whose hashed key lies
-    below the label's share. Counts per label are one small row each; no sort,
-    no window."""
-    u = F.pmod(F.xxhash64(key, F.lit("sample")), F.lit(1_000_000)) / 1_000_000.0
-    keyed = rows.withColumn("__label", label).withColumn("__u", u)
-    share = keyed.groupBy("__label").agg((F.lit(float(per_label)) / F.count(F.lit(1))).alias("__share"))
-    return (
-        keyed.join(share, "__label")
-        .where(F.col("__u") < F.col("__share"))
-        .drop("__label", "__u", "__share")
-    )
+def training_sample(rows: DataFrame, label: str, key: str, per_label: int) -> DataFrame:
+    """About ``per_label`` (key, label) pairs of each label: those whose hashed
+    key lies below the label's share. Works on ids and labels only; counts per
+    label are one small row each; no sort, no window. The result is bounded by
+    ``per_label`` times the number of labels, so it may be broadcast."""
+    u = F.pmod(F.xxhash64(F.col(key), F.lit("sample")), F.lit(1_000_000)) / 1_000_000.0
+    keyed = rows.select(key, label).withColumn("__u", u)
+    share = keyed.groupBy(label).agg((F.lit(float(per_label)) / F.count(F.lit(1))).alias("__share"))
+    return keyed.join(share, label).where(F.col("__u") < F.col("__share")).select(key, label).distinct()
 
 
 def train(docs: DataFrame, per_language: int = PER_LANGUAGE) -> Model | None:
     """Learn from (doc_id, text, lang) rows, all of which may be learned from."""
     known = docs.where(F.col("lang").isNotNull() & F.col("doc_id").isNotNull())
-    sample = training_sample(known, F.col("lang"), F.col("doc_id"), per_language)
+    sample = training_sample(known, "lang", "doc_id", per_language)
     rows = (
-        sample.select("lang", F.col("text").cast("string").alias("text"), "doc_id")
+        known.select("doc_id", "lang", F.col("text").cast("string").alias("text"))
+        .join(F.broadcast(sample), ["doc_id", "lang"])
         .select("lang", "text")
         .mapInArrow(_feature_batches, "lang string, at binary, value binary")
         .collect()

@@ -20,7 +20,7 @@ driver. Scoring reads only the text.
 Defined results: NULL text counts as empty and scores as the bias; without
 labelled rows, or with one label only, every score is that label's share
 (0 if there is none); rows with NULL ids or labels are not learned from;
-documents with conflicting labels count once per label row; repeated rows get
+documents with conflicting labels count once per label; repeated rows get
 equal results; NULL ids are scored (held_out NULL); empty tables give empty
 results; other columns are ignored.
 """
@@ -154,10 +154,10 @@ def train(docs: DataFrame, labels: DataFrame, per_label: int = PER_LABEL) -> Mod
     known = labels.where(F.col("toxic").isin(0, 1) & F.col("doc_id").isNotNull()).select(
         "doc_id", F.col("toxic").cast("int").alias("toxic")
     )
-    chosen = training_sample(known, F.col("toxic"), F.col("doc_id"), per_label)
+    chosen = training_sample(known, "toxic", "doc_id", per_label)
     rows = (
         docs.select("doc_id", F.col("text").cast("string").alias("text"))
-        .join(chosen, "doc_id")
+        .join(F.broadcast(chosen), "doc_id")
         .select("toxic", "text")
         .mapInArrow(_set_batches, "toxic int, features binary")
         .collect()
