@@ -60,11 +60,11 @@ def coerce_numeric(c: Column | str) -> Column:
     ``try_cast`` to double accepts ``1e3``, `` 5 ``, ``+3``, ``inf`` and rejects
     ``1_000``, ``0x10``, ``12abc``, ``1,5``. Two Spark extras are removed so
     the result matches a strict float parse: a trailing ``d``/``f`` type
-    suffix (``5d``), and ``nan`` (Spark NaN, which would poison sums).
+    suffix (``5d``), hexadecimal floats (``0x1p3``), and ``nan`` (Spark NaN, which would poison sums).
     """
     c = _col(c)
     text = c.cast("string")
-    has_suffix = text.rlike(r"(?i)[df]\s*$") & ~text.rlike(r"(?i)inf\s*$")
+    has_suffix = (text.rlike(r"(?i)[df]\s*$") & ~text.rlike(r"(?i)inf\s*$")) | text.rlike("[xX]")
     value = F.when(has_suffix, F.lit(None).cast("double")).otherwise(text.try_cast("double"))
     return F.nanvl(value, F.lit(None).cast("double"))
 
@@ -74,7 +74,10 @@ def parse_date_strict(c: Column | str, lenient: bool = False) -> Column:
     compact form, impossible day) -> NULL (C2). ``lenient`` also takes
     single-digit month/day."""
     fmt = LENIENT_DATE_FORMAT if lenient else STRICT_DATE_FORMAT
-    return F.to_date(F.try_to_timestamp(_col(c).cast("string"), F.lit(fmt)))
+    text = _col(c).cast("string")
+    # the parser also takes signed years and years of more than four digits
+    plain_year = text.rlike(r"^\d{4}-")
+    return F.when(plain_year, F.to_date(F.try_to_timestamp(text, F.lit(fmt))))
 
 
 def fill_unknown(c: Column | str, label: str = UNKNOWN) -> Column:

@@ -60,11 +60,14 @@ def checkpoint_root(spark: SparkSession) -> str:
     """Shared folder for lineage cuts and streaming checkpoints.
 
     Reads ``spark.checkpoint.dir`` from the session (on a cluster this names a
-    shared file system). Only when it is unset, as in local tests, a scratch
-    folder is created and registered.
+    shared file system). Only when it is unset in a local session, as in
+    tests, a scratch folder is created and registered; a cluster session
+    raises, since executors would write to disks of their own.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        if spark.conf.get("spark.master", "local").split("[")[0] != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         root = tempfile.mkdtemp(prefix="revlens-ckpt-")
         spark.conf.set("spark.checkpoint.dir", root)
     try:

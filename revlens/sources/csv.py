@@ -75,6 +75,7 @@ def scan_csv(
         .option("header", True)
         .option("mode", "PERMISSIVE")
         .option("columnNameOfCorruptRecord", CORRUPT)
+        .option("escape", '"')
         .csv(path)
     )
     return reject_long_rows(raw, columns, markers)
@@ -88,14 +89,14 @@ def long_row_guard(columns: list[str]) -> F.Column:
     Used as a filter, which the optimizer cannot prune away.
     """
     probe = ", ".join(f"`f{i}` string" for i in range(len(columns) + 1))
-    extra = F.from_csv(F.col(CORRUPT), probe).getField(f"f{len(columns)}")
+    extra = F.from_csv(F.col(CORRUPT), probe, {"escape": '"'}).getField(f"f{len(columns)}")
     too_long = F.col(CORRUPT).isNotNull() & extra.isNotNull()
     # Spark refuses a CSV query that reads *only* the corrupt column (e.g. a
     # bare count), so the pass branch also reads the first data column.
     keep = F.length(F.coalesce(F.col(columns[0]), F.lit(""))) >= 0
     return F.when(
         too_long,
-        F.raise_error(F.concat(F.lit("Failed to parse input file: too many fields in line: "), F.col(CORRUPT))),
+        F.raise_error(F.concat(F.lit("A line has too many fields for its header: "), F.col(CORRUPT))),
     ).otherwise(keep)
 
 
@@ -117,4 +118,11 @@ def write_csv(df: DataFrame, path: str, order_by: list[str] | None = None, singl
         out = out.orderBy(*order_by)
     if single_file:
         out = out.coalesce(1)
-    out.write.option("header", True).mode("overwrite").csv(path)
+    (
+        out.write.option("header", True)
+        .option("escape", '"')
+        .option("ignoreLeadingWhiteSpace", False)
+        .option("ignoreTrailingWhiteSpace", False)
+        .mode("overwrite")
+        .csv(path)
+    )

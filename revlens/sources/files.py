@@ -101,12 +101,12 @@ def parse_lines(lines: DataFrame, required=None) -> DataFrame:
             ~((C("file_block_start") == 0) & (C("pos") == C("header_pos")))
         )
         probe = ", ".join(f"`f{i}` string" for i in range(len(columns) + 1))
-        parsed = body.withColumn("_f", F.from_csv(C("value"), probe))
+        parsed = body.withColumn("_f", F.from_csv(C("value"), probe, {"escape": '"'}))
         too_long = C(f"_f.f{len(columns)}").isNotNull()
         checked = parsed.where(
             F.when(
                 too_long,
-                F.raise_error(F.concat(F.lit("Failed to parse input file: too many fields in line: "), C("value"))),
+                F.raise_error(F.concat(F.lit("A line has too many fields for its header: "), C("value"))),
             ).otherwise(F.lit(True))
         )
         frames.append(

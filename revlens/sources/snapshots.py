@@ -106,12 +106,14 @@ class SnapshotTable:
         out = df.select(*[f.name for f in self.schema.fields])
         path = self.version_path(version)
         if self.part_col is None:
-            out.write.mode("overwrite").parquet(path)
+            out.write.option("partitionOverwriteMode", "static").mode("overwrite").parquet(path)
             rows = [(version, None, True)]
         else:
             # The part value is kept inside the files as well, so a part
             # folder can be read on its own.
-            out.withColumn("snapshot_part", F.col(self.part_col)).write.mode("overwrite").partitionBy("snapshot_part").parquet(path)
+            out.withColumn("snapshot_part", F.col(self.part_col)).write.option(
+                "partitionOverwriteMode", "static"
+            ).mode("overwrite").partitionBy("snapshot_part").parquet(path)
             # Parts present in what was just written (bounded: the parts of
             # one version); read back from the new folder, no recomputation.
             written = self.spark.read.schema(T.StructType(self.schema.fields + [T.StructField("snapshot_part", T.StringType())]))

@@ -19,26 +19,10 @@ TABLE_NAMES = (
 )
 
 
-_READS: dict[tuple[str, str], DataFrame] = {}
-
-
 def read_table(spark: SparkSession, path: str) -> DataFrame:
-    """``spark.read.parquet(path)``, resolved once per application.
-
-    Resolving a Parquet source reads its footers (a small job); the lazy
-    DataFrame handle is reused so repeated queries skip that step. No data is
-    cached: every action still scans the files.
-    """
-    try:
-        app = spark.sparkContext.applicationId
-    except Exception:  # sessions without a driver-side context (Spark Connect)
-        app = str(id(spark))
-    key = (app, path)
-    df = _READS.get(key)
-    if df is None:
-        df = spark.read.parquet(path)
-        _READS[key] = df
-    return df
+    """``spark.read.parquet(path)``: each call lists the files anew, so files
+    added to a table are read."""
+    return spark.read.parquet(path)
 
 
 class Tables:

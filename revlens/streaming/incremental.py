@@ -149,17 +149,11 @@ class Layout:
         return self._p("_checkpoints/orders")
 
 
-# Largest key set of one micro-batch that is broadcast to look up state rows
-# (about 8 bytes a key plus overhead: well under the broadcast limits).
-# Above it the lookup is a shuffled semi join.
-BROADCAST_KEYS_MAX = 2_000_000
-
-
-def _lookup_keys(df: DataFrame, key: str) -> DataFrame:
-    """Distinct keys of a batch, broadcast only after counting them (a proven
-    bound), so the large state side is scanned without being shuffled."""
-    keys = df.select(key).where(F.col(key).isNotNull()).distinct()
-    return F.broadcast(keys) if keys.count() <= BROADCAST_KEYS_MAX else keys
+def _having(state: DataFrame, df: DataFrame, key: str) -> DataFrame:
+    """Rows of ``state`` whose key occurs in ``df``; a NULL key counts as a
+    key. Adaptive execution picks the join from the measured size of the keys."""
+    keys = df.select(F.col(key).alias("_key")).distinct()
+    return state.join(keys, state[key].eqNullSafe(keys["_key"]), "left_semi")
 
 
 @contextmanager
@@ -268,8 +262,11 @@ class IncrementalReport:
                 customers_now = customer_upsert(customers, updates, ordinal="_line")
                 self.customers.write(customers_now, batch_id)
                 customers_now = self.customers.read(before=batch_id + 1)
+                before = customers.select(C("customer_id").alias("_id"), C("segment").alias("_old"))
                 changed_customers = customers_now.join(
-                    customers, ["customer_id", "segment"], "left_anti"
+                    before,
+                    C("customer_id").eqNullSafe(C("_id")) & C("segment").eqNullSafe(C("_old")),
+                    "left_anti",
                 ).select("customer_id", C("segment").alias("_new_segment"))
             else:
                 customers_now, changed_customers = customers, None
@@ -285,15 +282,14 @@ class IncrementalReport:
         # 3. touched months (K3)
         with _step("touched months", batch_id):
             # Months of replaced versions: a lookup of this batch's order ids
-            # in the state (two columns read; the ids are broadcast when few).
-            new_ids = _lookup_keys(new, "order_id")
+            # in the state (two columns read).
             months = new.select("order_month").unionByName(
-                prior.select("order_id", "order_month").join(new_ids, "order_id", "left_semi").select("order_month")
+                _having(prior.select("order_id", "order_month"), new, "order_id").select("order_month")
             )
             refreshed_rows = None
             if changed_customers is not None:
                 hit = left_join(
-                    prior.join(_lookup_keys(changed_customers, "customer_id"), "customer_id", "left_semi"),
+                    _having(prior, changed_customers, "customer_id"),
                     guarded_unique(changed_customers, "customer_id", "customers"),
                     "customer_id",
                 )
