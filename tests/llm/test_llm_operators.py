@@ -366,3 +366,18 @@ def test_word_hashes_match_words():
     assert rows.tolist() == [0, 3, 3, 5, 6]
     assert words[0] == words[5] and words[1] == words[3] and len(set(words.tolist())) == 4
     assert hashlib.md5(words.tobytes()).digest()
+
+
+@pytest.mark.parametrize("name", ["op1_secret_ledger", "op6_quality_divergence", "op9_poisson_mix"])
+def test_registered_query_matches_its_sql(spark, name):
+    import duckdb
+
+    import __spark_entry__ as entry
+
+    con = duckdb.connect()
+    con.execute(f"create view documents as select * from read_parquet('{SF}/documents.parquet')")
+    cur = con.execute(entry.oracle_sql()[name])
+    columns = [c[0] for c in cur.description]
+    df = entry.queries()[name](spark, SF)
+    assert sorted(df.columns) == sorted(columns)
+    assert sorted(map(str, (tuple(r) for r in df.select(*columns).collect()))) == sorted(map(str, cur.fetchall()))
