@@ -64,8 +64,9 @@ _HI, _LO = 1 << _HI_BITS, 1 << _LO_BITS
 _WORD = np.uint64(32)
 _LOW32 = np.uint64(0xFFFFFFFF)
 _TOP = np.uint64(1 << 32)
-#: Confidence after a miss (row 0) and after a hit (row 1).
-_NEXT_CONF = np.array([[0, 0, 1, 2, 3, 4, 5, 6], [1, 2, 3, 4, 5, 6, 7, 7]], np.uint8)
+#: A named id and its confidence share one integer: the id in the lower bits.
+_NAME, _ONE = np.uint32(0xFFFF), np.uint32(1 << 16)
+_MOST = np.uint32(7 << 16)
 
 
 class Tokens:
@@ -75,8 +76,11 @@ class Tokens:
     characters and white space, and never merges across them. So a text can be
     cut before a blank between two other characters, around a single line
     break between such, and between a word and the punctuation behind it. Ids
-    of pieces and words met before are remembered (some ``CACHE_PIECES`` each)
-    and only new words go to the library. Special-token strings in a text are ordinary text.
+    of pieces and words met before are remembered and only new words go to the
+    library. Each memory has two generations of ``CACHE_PIECES``: a full young
+    one becomes the old one, and what is met again moves back, so frequent
+    words outlast any number of rare ones. Special-token strings in a text are
+    ordinary text.
     """
 
     TAIL = ".,;:!?*$%&#|\"()"
@@ -88,7 +92,9 @@ class Tokens:
         self.library.encode_special_tokens = True
         self.model = self.library.model
         self.known: dict[str, bytes] = {}  # pieces
+        self.known_before: dict[str, bytes] = {}
         self.words: dict[str, bytes] = {}
+        self.words_before: dict[str, bytes] = {}
         # the printable stand-ins that byte-level BPE has for bytes
         plain = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
         others = [b for b in range(256) if b not in set(plain)]
@@ -121,6 +127,9 @@ class Tokens:
 
     def word(self, word: str) -> bytes:
         got = self.words.get(word)
+        if got is not None:
+            return got
+        got = self.words_before.get(word)
         if got is None:
             if (word[1:] if word[:1] == " " else word).isalpha():  # one stretch of letters: straight to the BPE model
                 stand_ins = word.encode().decode("latin-1").translate(self.stand_in)
@@ -128,9 +137,9 @@ class Tokens:
             else:
                 ids = self.library.encode(word, add_special_tokens=False).ids
             got = struct.pack(f"<{len(ids)}H", *ids)
-            if len(self.words) >= CACHE_PIECES:
-                self.words.clear()
-            self.words[word] = got
+        if len(self.words) >= CACHE_PIECES:
+            self.words_before, self.words = self.words, {}
+        self.words[word] = got
         return got
 
     def encode(self, text: str) -> np.ndarray:
@@ -139,11 +148,13 @@ class Tokens:
         got = list(map(self.known.get, parts))
         if None in got:
             if len(self.known) >= CACHE_PIECES:
-                self.known.clear()
+                self.known_before, self.known = self.known, {}
             for i, x in enumerate(got):
                 if x is None:
-                    finer = self.finer(parts[i])
-                    x = self.word(finer[0]) if len(finer) == 1 else b"".join(map(self.word, finer))
+                    x = self.known_before.get(parts[i])
+                    if x is None:
+                        finer = self.finer(parts[i])
+                        x = self.word(finer[0]) if len(finer) == 1 else b"".join(map(self.word, finer))
                     self.known[parts[i]] = got[i] = x
         return np.frombuffer(b"".join(got), "<u2")
 
@@ -163,25 +174,22 @@ class Model:
 
     def __init__(self, blocks: int):
         self.b = blocks
-        self.pred2 = np.zeros(blocks << 16, np.uint16)
-        self.conf2 = np.zeros(blocks << 16, np.uint8)
-        self.pred1 = np.zeros(blocks << 16, np.uint16)
-        self.conf1 = np.zeros(blocks << 16, np.uint8)
+        self.named2 = np.zeros(blocks << 16, np.uint32)
+        self.named1 = np.zeros(blocks << 16, np.uint32)
         # outcome counts by (block, same name?, confidence 2, confidence 1)
         self.hits = np.tile(np.array([[1, 1, 2]], np.int64), (blocks * 128, 1))
         self.weights()
         self.counts = np.zeros((blocks, MAX_ID), np.int64)
-        self.freq0 = np.zeros(blocks << 16, np.int32)
-        self.start0 = np.zeros(blocks << 16, np.int32)
+        self.share0 = np.zeros(blocks << 16, np.int64)  # frequency above 16 bits of start
         self.slot0 = np.zeros(blocks << 16, np.uint16)
-        self.novel = np.full(blocks, _LO, np.int32)  # slots of ids not seen yet
+        self.novel = np.full(blocks, _LO, np.int64)  # slots of ids not seen yet
 
     def weights(self) -> None:
         n = self.hits
         total = n.sum(axis=1)
         f2 = 1 + n[:, 0] * (_HI - 8) // total
         f1 = 1 + n[:, 1] * (_HI - 8) // total
-        self.f2, self.f1 = f2.astype(np.int32), f1.astype(np.int32)
+        self.f2, self.f1 = f2, f1
 
     def order0(self, block: int) -> None:
         """The order-0 distribution of the ids counted so far."""
@@ -193,8 +201,7 @@ class Model:
             freq = np.ones(len(ids), np.int64)
         starts = np.cumsum(freq) - freq
         base = block << 16
-        self.freq0[base + ids] = freq
-        self.start0[base + ids] = starts
+        self.share0[base + ids] = (freq << _LO_BITS) | starts
         used = int(freq.sum())
         self.slot0[base : base + used] = np.repeat(ids, freq)
         self.novel[block] = _LO - used
@@ -224,35 +231,49 @@ class _Run:
         self.p1 = np.zeros(len(lane_block), np.int64)
         self.p2 = np.zeros(len(lane_block), np.int64)
         self.base = lane_block.astype(np.int64) << 16
+        self.cell = lane_block.astype(np.int64) << 7
         self.steps = int(lane_len.max()) if len(lane_len) else 0
         self.rebuild = _rebuild_at(self.steps)
         self.pending: list[np.ndarray] = []
 
     def context(self, on):
-        m, base = self.model, self.base[on]
-        i2 = base + (((self.p2[on] * 40503) ^ (self.p1[on] * 30103)) & 0xFFFF)
-        i1 = base + self.p1[on]
-        n2, n1 = m.pred2[i2], m.pred1[i1]
-        c2, c1 = m.conf2[i2], m.conf1[i1]
+        m, base, p1 = self.model, self.base[on], self.p1[on]
+        i2 = base + (((self.p2[on] * 40503) ^ (p1 * 30103)) & 0xFFFF)
+        i1 = base + p1
+        e2, e1 = m.named2.take(i2), m.named1.take(i1)
+        n2, n1 = (e2 & _NAME).astype(np.int64), (e1 & _NAME).astype(np.int64)
         same = n2 == n1
-        cell = (self.block[on] << 7) + (same.astype(np.int64) << 6) + (c2.astype(np.int64) << 3) + c1
-        f2 = m.f2[cell]
-        f1 = np.where(same, 0, m.f1[cell])
-        return i2, i1, n2, n1, c2, c1, same, cell, f2, f1
+        cell = self.cell[on] + (same.astype(np.int64) << 6) + ((e2 >> 16 << 3) + (e1 >> 16))
+        f2 = m.f2.take(cell)
+        f1 = m.f1.take(cell) * ~same
+        return i2, i1, n2, n1, e2, e1, cell, f2, f1
+
+    def interval(self, on, ids, ctx, hit2, hit1, new=None):
+        """(start, size) of the ids' step, and which are new to order 0. A
+        decoder knows the latter from the slot."""
+        f2, f1 = ctx[7], ctx[8]
+        share = self.model.share0.take(self.base[on] + ids)
+        freq, begin = share >> _LO_BITS, share & (_LO - 1)
+        if new is None:
+            new = freq == 0
+        at = np.flatnonzero(new)
+        novel = self.model.novel.take(self.block[on][at])
+        freq[at], begin[at] = novel, _LO - novel
+        rest = _HI - f2 - f1
+        start = np.where(hit1, f2 << _LO_BITS, ((f2 + f1) << _LO_BITS) + rest * begin) * ~hit2
+        size = np.where(hit2, f2 << _LO_BITS, np.where(hit1, f1 << _LO_BITS, rest * freq))
+        return start.view(np.uint64), size.view(np.uint64), new
 
     def learn(self, t: int, on, ids, ctx, hit2, hit1) -> None:
         m = self.model
-        i2, i1, n2, n1, c2, c1, _, cell, _, _ = ctx
-        ids16 = ids.astype(np.uint16)
-        outcome = np.where(hit2, 0, np.where(hit1, 1, 2))
-        m.hits += np.bincount(cell * 3 + outcome, minlength=m.hits.size).reshape(m.hits.shape)
-        right1 = n1 == ids16
-        for i, name, conf, right, pred, confs in (
-            (i2, n2, c2, hit2, m.pred2, m.conf2),
-            (i1, n1, c1, right1, m.pred1, m.conf1),
-        ):
-            confs[i] = _NEXT_CONF[right.view(np.uint8), conf]
-            pred[i] = np.where(right | (conf > 0), name, ids16)
+        i2, i1, _, n1, e2, e1, cell, _, _ = ctx
+        outcome = cell * 3 + 2 - hit1 - (hit2.astype(np.int64) << 1)
+        m.hits += np.bincount(outcome, minlength=m.hits.size).reshape(m.hits.shape)
+        fresh = ids.astype(np.uint32)
+        for i, entry, right, named in ((i2, e2, hit2, m.named2), (i1, e1, n1 == ids, m.named1)):
+            # a miss lowers the confidence, and at none the name is replaced
+            missed = np.where(entry >= _ONE, entry - _ONE, fresh)
+            named[i] = np.where(right, entry + _ONE * (entry < _MOST), missed)
         self.p2[on] = self.p1[on]
         self.p1[on] = ids
         self.pending.append(self.base[on] + ids)
@@ -283,6 +304,18 @@ def _lanes(sizes: list[int]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return np.concatenate(block), np.concatenate(length), np.concatenate(first)
 
 
+def _settle(low: np.ndarray, rng: np.ndarray) -> np.ndarray:
+    """Lanes whose upper word is settled; ranges too small to go on are cut
+    to the end of their upper word first, which settles it."""
+    settled = (low ^ (low + rng)) < _TOP
+    small = rng < _TOP
+    if small.any():
+        cut = np.flatnonzero(small & ~settled)
+        rng[cut] = (~low[cut] & _LOW32) + np.uint64(1)
+        settled |= small
+    return np.flatnonzero(settled)
+
+
 class _Encoder:
     def __init__(self, lanes: int, room: int):
         self.low = np.zeros(lanes, np.uint64)
@@ -294,14 +327,12 @@ class _Encoder:
         r = self.range[on] >> np.uint64(bits)
         low = self.low[on] + r * start
         rng = r * size
-        settled = ((low ^ (low + rng)) >> _WORD) == 0
-        small = ~settled & (rng < _TOP)
-        rng = np.where(small, (~low & _LOW32) + np.uint64(1), rng)
-        out = np.flatnonzero(settled | small)
+        out = _settle(low, rng)
         if len(out):
-            lane = np.arange(len(self.low))[on][out] if isinstance(on, slice) else on[out]
-            self.words[lane, self.n[lane]] = (low[out] >> _WORD).astype(np.uint32)
-            self.n[lane] += 1
+            lane = out if isinstance(on, slice) else on[out]
+            n = self.n[lane]
+            self.words[lane, n] = (low[out] >> _WORD).astype(np.uint32)
+            self.n[lane] = n + 1
             low[out] <<= _WORD
             rng[out] <<= _WORD
         self.low[on], self.range[on] = low, rng
@@ -330,12 +361,9 @@ class _Decoder:
         r = self.range[on] >> np.uint64(bits)
         low = self.low[on] + r * start
         rng = r * size
-        settled = ((low ^ (low + rng)) >> _WORD) == 0
-        small = ~settled & (rng < _TOP)
-        rng = np.where(small, (~low & _LOW32) + np.uint64(1), rng)
-        out = np.flatnonzero(settled | small)
+        out = _settle(low, rng)
         if len(out):
-            lane = np.arange(len(self.low))[on][out] if isinstance(on, slice) else on[out]
+            lane = out if isinstance(on, slice) else on[out]
             low[out] <<= _WORD
             rng[out] <<= _WORD
             self.code[lane] = (self.code[lane] << _WORD) | self.words[np.minimum(self.at[lane], len(self.words) - 1)]
@@ -357,19 +385,11 @@ def encode_blocks(blocks: list[np.ndarray]) -> list[bytes]:
         on = slice(None) if t < shortest else np.flatnonzero(lane_len > t)
         ids = flat[lane_first[on] + t]
         ctx = run.context(on)
-        n2, n1, f2, f1 = ctx[2], ctx[3], ctx[8], ctx[9]
+        n2, n1 = ctx[2], ctx[3]
         hit2 = n2 == ids
         hit1 = ~hit2 & (n1 == ids)
-        key = run.base[on] + ids
-        rest = _HI - f2 - f1
-        freq, begin = model.freq0[key], model.start0[key]
-        new = freq == 0
-        novel = model.novel[run.block[on]]
-        freq = np.where(new, novel, freq)
-        begin = np.where(new, _LO - novel, begin)
-        start = np.where(hit2, 0, np.where(hit1, f2 << _LO_BITS, ((f2 + f1) << _LO_BITS) + rest * begin))
-        size = np.where(hit2, f2 << _LO_BITS, np.where(hit1, f1 << _LO_BITS, rest * freq))
-        coder.put(on, start.astype(np.uint64), size.astype(np.uint64), _HI_BITS + _LO_BITS)
+        start, size, new = run.interval(on, ids, ctx, hit2, hit1)
+        coder.put(on, start, size, _HI_BITS + _LO_BITS)
         extra = np.flatnonzero(new & ~hit2 & ~hit1)
         if len(extra):
             lanes = extra if isinstance(on, slice) else on[extra]
@@ -408,23 +428,20 @@ def decode_blocks(payloads: list[bytes], sizes: list[int]) -> list[np.ndarray]:
     for t in range(run.steps):
         on = slice(None) if t < shortest else np.flatnonzero(lane_len > t)
         ctx = run.context(on)
-        n2, n1, f2, f1 = ctx[2], ctx[3], ctx[8], ctx[9]
+        n2, n1, f2, f1 = ctx[2], ctx[3], ctx[7], ctx[8]
         v = coder.peek(on, _HI_BITS + _LO_BITS).astype(np.int64)
         hi = v >> _LO_BITS
         hit2 = hi < f2
         hit1 = ~hit2 & (hi < f2 + f1)
-        rest = _HI - f2 - f1
-        slot = np.minimum(np.maximum(v - ((f2 + f1).astype(np.int64) << _LO_BITS), 0) // rest, _LO - 1)
-        novel = model.novel[run.block[on]]
-        new = slot >= _LO - novel
-        guess = model.slot0[run.base[on] + slot].astype(np.int64)
-        ids = np.where(hit2, n2, np.where(hit1, n1, guess)).astype(np.int64)
-        key = run.base[on] + ids
-        freq = np.where(new, novel, model.freq0[key])
-        begin = np.where(new, _LO - novel, model.start0[key])
-        start = np.where(hit2, 0, np.where(hit1, f2 << _LO_BITS, ((f2 + f1) << _LO_BITS) + rest * begin))
-        size = np.where(hit2, f2 << _LO_BITS, np.where(hit1, f1 << _LO_BITS, rest * freq))
-        coder.take(on, start.astype(np.uint64), size.astype(np.uint64), _HI_BITS + _LO_BITS)
+        # below 2**28 by below 2**12: the float quotient's floor is exact
+        slot = (np.maximum(v - ((f2 + f1) << _LO_BITS), 0) / (_HI - f2 - f1)).astype(np.int64)
+        slot = np.minimum(slot, _LO - 1)
+        guess = model.slot0.take(run.base[on] + slot)
+        ids = np.where(hit2, n2, np.where(hit1, n1, guess))
+        # the slots at the end stand for ids not met yet: an id past all others
+        beyond = slot >= _LO - model.novel.take(run.block[on])
+        start, size, new = run.interval(on, ids, ctx, hit2, hit1, beyond)
+        coder.take(on, start, size, _HI_BITS + _LO_BITS)
         extra = np.flatnonzero(new & ~hit2 & ~hit1)
         if len(extra):
             lanes = extra if isinstance(on, slice) else on[extra]
