@@ -40,6 +40,7 @@ import struct
 import sys
 import types
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -57,7 +58,7 @@ LANES = 512
 GROUP = 16
 #: Ids must be below this.
 MAX_ID = 1 << 16
-CACHE_PIECES = 400_000
+CACHE_PIECES = 600_000
 
 _HI_BITS, _LO_BITS = 12, 16
 _HI, _LO = 1 << _HI_BITS, 1 << _LO_BITS
@@ -77,7 +78,7 @@ class Tokens:
     cut before a blank between two other characters, around a single line
     break between such, and between a word and the punctuation behind it. Ids
     of pieces and words met before are remembered and only new words go to the
-    library. Each memory has two generations of ``CACHE_PIECES``: a full young
+    library. The memory has two generations of ``CACHE_PIECES``: a full young
     one becomes the old one, and what is met again moves back, so frequent
     words outlast any number of rare ones. Special-token strings in a text are
     ordinary text.
@@ -91,13 +92,12 @@ class Tokens:
         self.library = Tokenizer.from_file(path)
         self.library.encode_special_tokens = True
         self.model = self.library.model
-        self.known: dict[str, bytes] = {}  # pieces
+        self.known: dict[str, bytes] = {}
         self.known_before: dict[str, bytes] = {}
-        self.words: dict[str, bytes] = {}
-        self.words_before: dict[str, bytes] = {}
         # the printable stand-ins that byte-level BPE has for bytes
         plain = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
         others = [b for b in range(256) if b not in set(plain)]
+        self.blank = chr(256 + others.index(0x20))
         self.stand_in = {**{b: b for b in plain}, **{b: 256 + i for i, b in enumerate(others)}}
 
     @staticmethod
@@ -125,21 +125,29 @@ class Tokens:
             return [core, piece[len(core) :]]
         return [piece]
 
-    def word(self, word: str) -> bytes:
-        got = self.words.get(word)
-        if got is not None:
-            return got
-        got = self.words_before.get(word)
-        if got is None:
-            if (word[1:] if word[:1] == " " else word).isalpha():  # one stretch of letters: straight to the BPE model
+    def fresh(self, word: str) -> bytes:
+        """Ids of a stretch that is not remembered."""
+        core = word[1:] if word[:1] == " " else word
+        if core.isalpha():  # one stretch of letters: straight to the BPE model
+            if core.isascii():
+                stand_ins = core if core is word else self.blank + core
+            else:
                 stand_ins = word.encode().decode("latin-1").translate(self.stand_in)
-                ids = [t.id for t in self.model.tokenize(stand_ins)]
+            ids = [t.id for t in self.model.tokenize(stand_ins)]
+        else:
+            ids = self.library.encode(word, add_special_tokens=False).ids
+        return array("H", ids).tobytes()
+
+    def missed(self, piece: str) -> bytes:
+        """Ids of a piece that the young memory lacks, which then has them."""
+        got = self.known_before.get(piece)
+        if got is None:
+            finer = self.finer(piece)
+            if len(finer) == 1:
+                got = self.fresh(piece)
             else:
-                ids = self.library.encode(word, add_special_tokens=False).ids
-            got = struct.pack(f"<{len(ids)}H", *ids)
-        if len(self.words) >= CACHE_PIECES:
-            self.words_before, self.words = self.words, {}
-        self.words[word] = got
+                got = b"".join([self.known.get(x) or self.missed(x) for x in finer])
+        self.known[piece] = got
         return got
 
     def encode(self, text: str) -> np.ndarray:
@@ -149,14 +157,12 @@ class Tokens:
         if None in got:
             if len(self.known) >= CACHE_PIECES:
                 self.known_before, self.known = self.known, {}
+            known = self.known
             for i, x in enumerate(got):
                 if x is None:
-                    x = self.known_before.get(parts[i])
-                    if x is None:
-                        finer = self.finer(parts[i])
-                        x = self.word(finer[0]) if len(finer) == 1 else b"".join(map(self.word, finer))
-                    self.known[parts[i]] = got[i] = x
-        return np.frombuffer(b"".join(got), "<u2")
+                    x = known.get(parts[i])
+                    got[i] = self.missed(parts[i]) if x is None else x
+        return np.frombuffer(b"".join(got), np.uint16)
 
 
 def worker_tokens(path: str) -> Tokens:
