@@ -11,12 +11,15 @@ counts for the items that have more words than its last step, so a walk never
 leaves the window. A window that agrees in any sample is a candidate, and an
 infix edit distance over the words around it decides.
 
+The walks see the first words only. What makes the search whole are pieces:
+an item with k edits allowed is cut into k + 1 pieces, of which one at least
+is unedited in any match. Each place of a piece gives the windows that start
+up to k words before or after where the item would begin there.
+
 A window within k edits holds at least n - k words of the item, so windows
 with fewer words that occur in any item of n words are left out before the
 walk, and candidates that share fewer with their item before the edit distance;
-neither loses anything. With ``REPETITIONS`` walks of ``SPANS`` samples the
-measured recall is above 0.99 for items with up to a fifth of their words
-edited (tests/llm).
+neither loses anything.
 
 A document is contaminated by an item if some stretch of it is within
 ``EDIT_SHARE`` of the item's words in edits (insertions, deletions,
@@ -52,6 +55,8 @@ STEPS_PER_SAMPLE = 3
 #: Items of fewer words are compared at their first steps one by one.
 SHORT = 8
 BLOCK_ITEMS = 5_000
+#: Pairs of a place and an item, or of a place and a window, worked on at once.
+PAIRS = 1_000_000
 _VOCAB_BITS = 22
 
 
@@ -59,6 +64,12 @@ def edits_allowed(n: int) -> int:
     return int(EDIT_SHARE * n)
 
 
+def pieces(n: int) -> list[tuple[int, int]]:
+    """(first word, words) of the pieces of an item of ``n`` words."""
+    cuts = [i * n // (edits_allowed(n) + 1) for i in range(edits_allowed(n) + 2)]
+    return [(a, b - a) for a, b in zip(cuts, cuts[1:])]
+
+
 class Item:
     """One benchmark item: id, word hashes, and its positions by word."""
 
@@ -127,6 +138,15 @@ def walk(words: np.ndarray, starts: np.ndarray, length: int, turn: int) -> np.nd
     return out
 
 
+def _runs(words: np.ndarray, at: np.ndarray, longest: int) -> Iterator[tuple[int, np.ndarray]]:
+    """(length, keys) of the runs of words from each place ``at``."""
+    padded = np.concatenate([words, np.zeros(longest, np.uint64)])
+    key = np.zeros(len(at), np.uint64)
+    for length in range(1, longest + 1):
+        key = mix64(key + padded[at + length - 1])
+        yield length, key
+
+
 def _samples(turn: int) -> list[tuple[int, ...]]:
     """The sampled steps of repetition ``turn``; the first repetition also has
     the single first steps, for short items."""
@@ -176,6 +196,18 @@ class Searcher:
                 bit = np.zeros(1 << 16, bool)
                 bit[(keys >> U(48)).astype(np.int64)] = True
                 self.keys.append((turn, chosen, keys[order], ids[order], bit))
+        # the same for the pieces, by their length
+        self.sizes = sizes
+        cut = [(starts[i] + a, length, i, a) for i, x in enumerate(items) for a, length in pieces(len(x.words))]
+        at, lengths, owner, offset = np.array(cut, np.int64).reshape(-1, 4).T
+        self.pieces = {}
+        for length, keys in _runs(flat, at, int(lengths.max(initial=0))):
+            chosen = np.flatnonzero(lengths == length)
+            if len(chosen):
+                order = chosen[np.argsort(keys[chosen], kind="stable")]
+                bit = np.zeros(1 << 20, bool)
+                bit[(keys[order] >> U(44)).astype(np.int64)] = True
+                self.pieces[length] = (keys[order], owner[order], offset[order], bit)
         self.gap = max((edits_allowed(n) for n in self.by_size), default=0) + 1
 
     @staticmethod
@@ -197,8 +229,65 @@ class Searcher:
         pairs = np.unique(np.concatenate(found))
         return pairs // len(self.items), pairs % len(self.items)
 
+    def beginnings(
+        self, words: np.ndarray, passed: dict[int, np.ndarray], some: np.ndarray
+    ) -> tuple[np.ndarray, np.ndarray]:
+        """(place, item) pairs: where an item would begin by one of its pieces,
+        if a window that passed starts within the allowed edits of it."""
+        most, longest = self.gap - 1, max(self.by_size)
+        place, total = np.arange(len(words)), np.concatenate([[0], np.cumsum(some)])
+        near = total[np.minimum(place + most + 1, len(words))] > total[np.maximum(place - longest - most, 0)]
+        at = np.flatnonzero(near)
+        sums = {n: np.concatenate([[0], np.cumsum(ok)]) for n, ok in passed.items()}
+        found = [np.zeros(0, np.int64)]
+        for length, mine in _runs(words, at, max(self.pieces)):
+            if length not in self.pieces:
+                continue
+            keys, owner, offset, bit = self.pieces[length]
+            hit = np.flatnonzero(bit[(mine >> U(44)).astype(np.int64)])
+            lo = np.searchsorted(keys, mine[hit], "left")
+            times = np.searchsorted(keys, mine[hit], "right") - lo
+            turn = np.cumsum(times) // PAIRS
+            for part in np.split(np.arange(len(hit)), np.flatnonzero(turn[1:] != turn[:-1]) + 1):
+                many = times[part]
+                rank = np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
+                which = np.repeat(lo[part], many) + rank
+                item = owner[which]
+                begin = np.repeat(at[hit[part]], many) - offset[which]
+                ok = np.zeros(len(item), bool)
+                for n, upto in sums.items():
+                    mask = np.flatnonzero(self.sizes[item] == n)
+                    k, last = edits_allowed(n), len(upto) - 1
+                    ok[mask] = (
+                        upto[np.clip(begin[mask] + k + 1, 0, last)] > upto[np.clip(begin[mask] - k, 0, last)]
+                    )
+                found.append(np.unique((begin[ok] + longest) * len(self.items) + item[ok]))
+        pairs = np.unique(np.concatenate(found))
+        return pairs // len(self.items) - longest, pairs % len(self.items)
+
+    @staticmethod
+    def windows(item: Item, words: np.ndarray, begin: np.ndarray) -> np.ndarray:
+        """Starts within the allowed edits of ``begin`` whose window has enough
+        words of the item, whatever their multiplicity."""
+        n = len(item.words)
+        k = edits_allowed(n)
+        found = [np.zeros(0, np.int64)]
+        step = max(1, PAIRS // (n + 2 * k))
+        for a in range(0, len(begin), step):
+            part = begin[a : a + step]
+            span = part[:, None] + np.arange(-k, n + k)
+            seen = words[np.clip(span, 0, len(words) - 1)]
+            slot = np.minimum(np.searchsorted(item.distinct, seen), len(item.distinct) - 1)
+            total = np.zeros((len(part), n + 2 * k + 1), np.int32)
+            np.cumsum((item.distinct[slot] == seen) & (span >= 0) & (span < len(words)), axis=1, out=total[:, 1:])
+            row, shift = np.nonzero(total[:, n:] - total[:, : 2 * k + 1] >= n - k)
+            found.append(part[row] - k + shift)
+        out = np.unique(np.concatenate(found))
+        return out[(out >= 0) & (out <= len(words) - n)]
+
     def hits(self, texts: pa.Array) -> list[tuple[int, int, int, int]]:
-        """(row, item, first word, edits): the best place of each item in a row."""
+        """(row, item, first word, edits): the best place of each item in a row,
+        of equal ones the window with most of the item's words, then the first."""
         plain, rows = word_hashes(texts, NON_ALNUM)
         if not len(plain) or not self.items:
             return []
@@ -221,8 +310,9 @@ class Searcher:
         for ok in passed.values():
             some[: len(ok)] |= ok
         starts, items = self.candidates(words, np.flatnonzero(some))
+        begin, begin_items = self.beginnings(words, passed, some)
         best: dict[tuple[int, int], tuple[int, int]] = {}
-        for i in np.unique(items):
+        for i in np.union1d(items, begin_items):
             item = self.items[i]
             n = len(item.words)
             k = edits_allowed(n)
@@ -230,17 +320,28 @@ class Searcher:
                 continue
             here = starts[items == i]
             here = here[here < len(passed[n])]
-            here = here[passed[n][here]]
-            for start in here[item.shared(words[here[:, None] + np.arange(n)]) >= n - k].tolist():
+            here = np.union1d(here[passed[n][here]], self.windows(item, words, begin[begin_items == i]))
+            if not len(here):
+                continue
+            step = max(1, PAIRS // n)
+            common = np.concatenate(
+                [item.shared(words[here[a : a + step, None] + np.arange(n)]) for a in range(0, len(here), step)]
+            )
+            # a stretch has at least the edits that its window's words say
+            order = np.argsort(-common, kind="stable")
+            order = order[common[order] >= n - k]
+            done = np.zeros(len(words) + 1, bool)
+            for start, least in zip(here[order].tolist(), (n - common[order]).tolist(), strict=True):
                 row = max(int(np.searchsorted(row_start, start, "right")) - 1, 0)
-                first = max(start - int(row_start[row]), 0)
-                if best.get((row, i), (n, 0))[0] == 0:
+                if done[start] or best.get((row, i), (k + 1, 0))[0] <= least:
                     continue
                 a = max(int(row_start[row]), start - k)
                 b = min(int(row_start[row] + counts[row]), start + n + k)
                 edits = infix_distance(item, words[a:b].tolist())
-                if edits <= k:
-                    best[row, i] = min(best.get((row, i), (n, 0)), (edits, first))
+                # stretches that begin up to k words before lie in it too
+                done[max(0, start - k) : start + 1] = True
+                if edits <= k and edits < best.get((row, i), (k + 1, 0))[0]:
+                    best[row, i] = (edits, max(start - int(row_start[row]), 0))
         return [(row, i, first, edits) for (row, i), (edits, first) in sorted(best.items())]
 
 

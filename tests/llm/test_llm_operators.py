@@ -204,6 +204,39 @@ def test_contamination_matches_exhaustive_edit_distance(spark):
     assert cgk_decontam.drop_contaminated(docs, bench.where("false")).count() == docs.count()
 
 
+@pytest.mark.parametrize("n", [5, 16, 20, 40, 60, 100])
+def test_contamination_is_found_wherever_the_edits_lie(n):
+    rng = random.Random(n)
+    vocab = [f"v{i}" for i in range(3000)]
+    k = cgk_decontam.edits_allowed(n)
+    items, texts = [], []
+    for i in range(24):
+        w = [rng.choice(vocab) for _ in range(n)]
+        items.append((i, " ".join(w)))
+        at = (0, n - k, rng.randrange(n - k + 1))[i % 3]
+        if i % 4 == 0:
+            w[at : at + k] = [rng.choice(vocab) for _ in range(k)]
+        elif i % 4 == 1:
+            del w[at : at + k]
+        elif i % 4 == 2:
+            w[at:at] = [rng.choice(vocab) for _ in range(k)]
+        else:
+            for j in rng.sample(range(n), k):
+                w[j] = rng.choice(vocab)
+        around = [rng.choice(vocab) for _ in range(2 * (i % 5))]
+        texts.append(" ".join(around + w + around))
+    searcher = cgk_decontam.Searcher(cgk_decontam.items_of(items))
+    got = {(row, i): edits for row, i, _, edits in searcher.hits(pa.array(texts, pa.large_string()))}
+    want = {}
+    for i, item in enumerate(searcher.items):
+        for d, t in enumerate(texts):
+            words, _ = textgrams.word_hashes(pa.array([t], pa.large_string()), textgrams.NON_ALNUM)
+            e = cgk_decontam.infix_distance(item, words.tolist())
+            if e <= k:
+                want[d, i] = e
+    assert got == want and set(want) >= {(i, i) for i in range(24)}
+
+
 def test_token_blocks_round_trip(spark, tmp_path):
     texts = ["don't I'll \"q\"  x\n\ny a.\nB <|endoftext|>", "!" * 50, "word " * 4000] + ODD
     docs = docs_of(spark, texts, extra=True)
