@@ -2,13 +2,14 @@
 
 Each page is parsed into elements and text blocks. Blocks in menus, headers,
 footers, sidebars, notices, adverts, forms and comments (by tag or by a word
-of class, id or role) are boilerplate. A container's score is the text of the
-blocks below it, less their link text. The page votes for the deepest element
-that holds ``COVER`` of the page's score, by its generalised path (tags and
-classes, digits folded). Votes are summed per host in Spark; paths with at
-least ``LEAST_SHARE`` of a host's votes win, most votes first. Every page is
-then extracted anew from the first winning path that it has (its own vote
-serves where it has none).
+of class, id or role) are boilerplate. Of the others, those with at most half
+their text in links are the page's main blocks (where there are none, those
+with any text outside links). The page votes for the deepest container that
+holds all of them, by its generalised path (tags and classes, digits folded).
+Votes are summed per host in Spark; paths with at least ``LEAST_SHARE`` of a
+host's votes win, most votes first. Every page is then extracted anew from the
+first winning path that holds all its main blocks (its own vote serves where
+none does), so none of them is lost.
 
 Inside a block white space becomes one blank; blocks are joined by line feeds.
 
@@ -29,7 +30,6 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-COVER = 0.75
 LEAST_SHARE = 0.05
 
 _TOKEN = re.compile(
@@ -72,10 +72,10 @@ _WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 
 
 class Node:
-    __slots__ = ("tag", "path", "parent", "dull", "score")
+    __slots__ = ("tag", "path", "parent", "dull")
 
     def __init__(self, tag, path, parent, dull):
-        self.tag, self.path, self.parent, self.dull, self.score = tag, path, parent, dull, 0.0
+        self.tag, self.path, self.parent, self.dull = tag, path, parent, dull
 
 
 def _attributes(text: str) -> tuple[str, bool]:
@@ -160,42 +160,46 @@ def parse(html: str) -> list[tuple[str, int, Node]]:
     return blocks
 
 
+def main_nodes(blocks: list[tuple[str, int, Node]]) -> list[Node]:
+    """Elements of the page's main blocks."""
+    plain = [(text, linked, node) for text, linked, node in blocks if not node.dull and linked < len(text)]
+    return [node for text, linked, node in plain if 2 * linked <= len(text)] or [node for _, _, node in plain]
+
+
 def vote(blocks: list[tuple[str, int, Node]]) -> str | None:
-    """Path of the deepest container with ``COVER`` of the page's score."""
-    total, containers = 0.0, {}
-    for text, linked, node in blocks:
-        if node.dull:
-            continue
-        value = len(text) - linked
-        total += value
+    """Path of the deepest container that holds all main blocks."""
+    common: list[Node] = []
+    for i, node in enumerate(main_nodes(blocks)):
+        line = []
         while node is not None:
-            node.score += value
-            containers[id(node)] = node
+            line.append(node)
             node = node.parent
-    best = None
-    for node in containers.values():
-        if node.tag not in LEAF and total > 0 and node.score >= COVER * total:
-            depth = node.path.count(">")
-            if best is None or depth > best[0]:
-                best = (depth, node.path)
-    return best[1] if best else None
+        line.reverse()
+        if i == 0:
+            common = line
+        else:
+            same = 0
+            while same < min(len(common), len(line)) and common[same] is line[same]:
+                same += 1
+            del common[same:]
+    while common and common[-1].tag in LEAF:
+        common.pop()
+    return common[-1].path if common else None
+
+
+def _inside(node: Node | None, path: str) -> bool:
+    while node is not None and node.path != path:
+        node = node.parent
+    return node is not None
 
 
 def main_text(blocks: list[tuple[str, int, Node]], paths: list[str]) -> str:
-    """Text below the first of ``paths`` that the page has; whatever of it is
-    no boilerplate, in page order."""
-    for path in paths:
-        out, seen = [], False
-        for text, _, node in blocks:
-            inside = node
-            while inside is not None and inside.path != path:
-                inside = inside.parent
-            if inside is not None:
-                seen = True
-                if not node.dull:
-                    out.append(text)
-        if seen and out:
-            return "\n".join(out)
+    """Text below the first of ``paths`` that holds all of the page's main
+    blocks; whatever of it is no boilerplate, in page order."""
+    main = main_nodes(blocks)
+    for path in paths if main else []:
+        if all(_inside(node, path) for node in main):
+            return "\n".join(text for text, _, node in blocks if not node.dull and _inside(node, path))
     return ""
 
 

@@ -371,6 +371,23 @@ def test_html_consensus(spark):
     assert html_consensus.extract(pages.where("false")).count() == 0
 
 
+def test_html_keeps_whole_articles(spark):
+    body, more = "Body text of the article. " * 40, "More of it. " * 8
+    links = "<ul><li><a href=/1>One</a></li><li><a href=/2>Two</a></li></ul>"
+    split = (
+        f"<body><nav>Menu</nav><article><h1>Title</h1><p>Lead</p><div class=body><p>{body}</p></div>"
+        f"<div class=more><p>{more}</p></div></article><div class=links>{links}</div></body>"
+    )
+    other = (  # has the host's winning path, and text of its own outside it
+        f"<body><article><p>{body}</p></article><div class=story><p>{more}</p></div><footer>End</footer></body>"
+    )
+    rows = [(i, f"http://h.example/{i}", split) for i in range(9)] + [(9, "http://h.example/9", other)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = {r["page_id"]: r["text"] for r in html_consensus.extract(pages).collect()}
+    assert all(got[i] == "\n".join(["Title", "Lead", body.strip(), more.strip()]) for i in range(9))
+    assert got[9] == "\n".join([body.strip(), more.strip()])
+
+
 def test_pipeline_stages_keep_columns_and_clean_documents(spark):
     import corpus_pipeline
 
