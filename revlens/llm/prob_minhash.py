@@ -1,12 +1,13 @@
 """Near duplicates by ProbMinHash, banding and exact verification.
 
-A document is its weighted set of five-word shingles (words between white
-space, lower case; weight 1 + ln(count)). ProbMinHash estimates the
-probability Jaccard similarity J_P of two such sets: each element sends the
-points of a Poisson process with its weight as rate to random components of
-the signature, and stops as soon as its next point lies beyond the largest
-value of all components (early termination). The signature keeps the element
-of the first point in each component.
+A document is its set of five-word shingles (words between white space, lower
+case). ProbMinHash estimates the probability Jaccard similarity J_P of two
+such sets: each element sends the points of a Poisson process with its weight
+as rate to random components of the signature, and stops as soon as its next
+point lies beyond the largest value of all components (early termination). The
+signature keeps the element of the first point in each component. All weights
+are 1, so J_P is the Jaccard similarity that links are decided by; weights by
+count would hide pairs of which one text repeats a passage inside itself.
 
 Equal word sequences are one node (a 128-bit fingerprint), so copies, however
 many, cost one row each and no pair. Signatures are cut into bands; a bucket
@@ -16,9 +17,9 @@ holds the nodes that agree in one band. Candidates are checked in three steps:
 2. a few rounds in which each component inside a bucket sends one member to
    the bucket's most numerous component, with other members each time;
 3. the members of buckets that still hold several components, all across
-   components, in blocks: tasks compare the signatures and then the shingles
-   of two blocks and pass on only pairs near the threshold. Large buckets are dealt
-   out as many block pairs, so none lands in one task.
+   components, in blocks: tasks compare the shingle sets of two blocks
+   and pass on only pairs near the threshold. Large buckets are dealt out as
+   many block pairs, so none lands in one task.
 
 Steps 1 and 2 are linear in the bucket's members; step 3 makes the search
 whole. A link needs a Jaccard similarity of the shingle sets of at least 0.8,
@@ -55,9 +56,6 @@ BANDS, ROWS = 20, 4
 COMPONENTS = BANDS * ROWS
 ROUNDS = 2
 BLOCK = 256
-#: Of 80 components, a pair at 0.8 agrees in 64 with a deviation of 3.6; fewer
-#: than these are over 3.9 deviations off (about one pair in 20,000).
-LEAST_AGREEING = 50
 _LOW48 = U((1 << 48) - 1)
 
 
@@ -73,12 +71,9 @@ def signatures(shingle_hashes: np.ndarray, rows: np.ndarray, m: int = COMPONENTS
     keys = np.sort((row_of << U(48)) | (shingle_hashes & _LOW48))
     new = np.ones(len(keys), bool)
     new[1:] = keys[1:] != keys[:-1]
-    begin = np.flatnonzero(new)
-    counts = np.diff(np.append(begin, len(keys)))
-    element = keys[begin]
+    element = keys[new]
     row = (element >> U(48)).astype(np.int64)
     element &= _LOW48
-    rate = (1.0 + np.log(counts)).astype(np.float64)
     label = (mix64(element ^ U(0x5851F42D4C957F2D)) & U(0xFFFFFFFF)).astype(np.uint64)
     best = np.full(n_rows * m, np.iinfo(np.uint64).max, np.uint64)
     place = np.zeros(len(element))
@@ -87,14 +82,14 @@ def signatures(shingle_hashes: np.ndarray, rows: np.ndarray, m: int = COMPONENTS
         turn += 1
         r = mix64(element + mix64(np.array([turn], np.uint64)))
         u = (r >> U(11)).astype(np.float64) * 2.0**-53
-        place = place - np.log1p(-u) / rate
+        place = place - np.log1p(-u)
         component = ((r & U(0x7FF)).astype(np.int64) * m) >> 11
         packed = (place.astype(np.float32).view(np.uint32).astype(np.uint64) << U(32)) | label
         np.minimum.at(best, row * m + component, packed)
         limit = (best.reshape(n_rows, m).max(axis=1) >> U(32)).astype(np.uint32)
         # beyond all components: no later point of this element can count
         on = place.astype(np.float32).view(np.uint32) < limit[row]
-        element, row, rate, label, place = element[on], row[on], rate[on], label[on], place[on]
+        element, row, label, place = element[on], row[on], label[on], place[on]
     return (best & U(0xFFFFFFFF)).astype(np.uint32).reshape(n_rows, m)
 
 
@@ -253,12 +248,18 @@ def _round_pairs(members: DataFrame, labels: DataFrame, turn: int) -> DataFrame:
 
 
 def _block_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pairs across components that agree well, of cells that come sorted."""
+    """Pairs across components that are near the threshold by their 32-bit
+    shingles, of cells that come sorted."""
+
+    least = SIMILARITY - 0.02
 
     def pairs(rows: list) -> tuple[list, list]:
         sig = np.stack([np.frombuffer(r[3], np.uint32) for r in rows])
         band = np.array([r[6] for r in rows])
         small = [np.frombuffer(r[7], np.uint32) for r in rows]
+        sizes = np.array([len(x) for x in small])
+        names, codes = np.unique(np.concatenate(small), return_inverse=True)
+        codes = np.split(codes, np.cumsum(sizes)[:-1])
         label = np.unique(np.array([r[4] for r in rows], object), return_inverse=True)[1]
         block = np.array([r[2] for r in rows])
         one, other = rows[0][1]
@@ -267,12 +268,23 @@ def _block_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
             same = sig == sig[i]
             # a pair that shares several buckets counts in its first band only
             first = same.reshape(len(rows), BANDS, ROWS).all(axis=2).argmax(axis=1) == band
-            near = (same.sum(axis=1) >= LEAST_AGREEING) & first & (label != label[i]) & (block == other)
-            for j in np.flatnonzero(near):
-                if (one != other or i < j) and jaccard(small[i], small[j]) >= SIMILARITY - 0.02:
-                    a, b = rows[i][5], rows[j][5]
-                    us.append(max(a, b))
-                    vs.append(min(a, b))
+            fit = np.minimum(sizes, sizes[i]) >= least * np.maximum(sizes, sizes[i])
+            near = first & (label != label[i]) & (block == other) & fit
+            if one == other:
+                near[: i + 1] = False
+            near = np.flatnonzero(near)
+            if not len(near):
+                continue
+            mine = np.zeros(len(names), bool)
+            mine[codes[i]] = True
+            common = np.add.reduceat(
+                mine[np.concatenate([codes[j] for j in near])].astype(np.int64),
+                np.concatenate([[0], np.cumsum(sizes[near])[:-1]]),
+            )
+            for j in near[common >= least * (sizes[i] + sizes[near] - common)]:
+                a, b = rows[i][5], rows[j][5]
+                us.append(max(a, b))
+                vs.append(min(a, b))
         return us, vs
 
     def cells() -> Iterator[list]:
@@ -296,9 +308,9 @@ def _block_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
 
 
 def _cross_pairs(members: DataFrame, labels: DataFrame, nodes: DataFrame, grams: DataFrame) -> DataFrame:
-    """Pairs of one bucket that lie in different components, agree well and
-    are near the threshold by their 32-bit shingles: few rows, however many
-    pairs a block compares."""
+    """Pairs of one bucket that lie in different components and are near the
+    threshold by their 32-bit shingles: few rows, however many pairs a block
+    compares."""
     labelled = _labelled(members, labels)
     several = (
         labelled.groupBy("bucket")

@@ -159,6 +159,39 @@ def test_near_duplicate_classes_match_brute_force(spark):
     assert prob_minhash.near_duplicate_classes(docs.where("false")).count() == 0
 
 
+def test_near_duplicates_that_repeat_a_passage(spark):
+    rng = random.Random(8)
+    texts = []
+    for times in (1, 3, 10, 100):
+        for _ in range(25):
+            base = [f"w{rng.randrange(10**6)}" for _ in range(84)]
+            loop = [f"w{rng.randrange(10**6)}" for _ in range(10)]
+            # 80 shingles, and the same with 4 + 10 (+ 5 if repeated) of its own
+            texts += [" ".join(base), " ".join(base + loop * times)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r["doc_id"]: r["class_id"] for r in prob_minhash.near_duplicate_classes(docs).collect()}
+    want = {}
+    for i in range(0, len(texts), 2):
+        a, b = (frozenset(tuple(w[k : k + 5]) for k in range(len(w) - 4)) for w in (texts[i].split(), texts[i + 1].split()))
+        assert len(a & b) >= 0.8 * len(a | b)
+        want |= {i: i, i + 1: i}
+    assert got == want
+
+
+def test_blocks_pass_on_all_pairs_near_the_threshold():
+    rng = np.random.default_rng(2)
+    rows = []
+    for i in range(2):
+        small = np.unique(np.arange(100, dtype=np.uint32) if i else np.arange(90, dtype=np.uint32))
+        sig = rng.integers(0, 2**32, prob_minhash.COMPONENTS, dtype=np.uint32)
+        sig[: prob_minhash.ROWS] = 7  # they agree in one band only
+        rows.append((1, 0, 0, 0, sig.tobytes(), bytes([i]), bytes([i]), 0, small.tobytes()))
+    names = ["bucket", "one", "other", "block", "sig", "label", "node", "band", "small"]
+    batch = pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*rows)], names)
+    got = [r for b in prob_minhash._block_batches(iter([batch])) for r in b.to_pylist()]
+    assert got == [{"u": b"\x01", "v": b"\x00"}]
+
+
 def test_signatures_estimate_probability_jaccard():
     rng = np.random.default_rng(1)
     sim = []
