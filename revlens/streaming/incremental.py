@@ -4,7 +4,8 @@ New ``orders-YYYY-MM-DD-NNNN.csv`` files are picked up once by the streaming
 file source (its checkpoint records consumed files) and processed with
 ``trigger(availableNow=True)`` + ``foreachBatch``. Each micro-batch:
 
-1. reads the committed customer table and applies a pending customer update
+1. reads the committed customer table, takes over what changed in
+   ``customers.csv`` since the last batch and applies a pending customer update
    file (H4); the segment refresh (D4) touches only orders of customers whose
    segment changed (HP-5);
 2. enriches and cleans the new rows, keeps the latest version of each order
@@ -104,7 +105,7 @@ class Layout:
 
     @property
     def customers_csv(self) -> str:
-        """Initial customer table (read when no snapshot exists yet)."""
+        """Customer table; rows edited between runs replace the snapshot's."""
         return self._p("customers.csv")
 
     @property
@@ -115,6 +116,11 @@ class Layout:
     def customers(self) -> str:
         return self._p("customers")
 
+    @property
+    def customers_seen(self) -> str:
+        """``customers.csv`` as the last batch found it."""
+        return self._p("customers_seen")
+
     @property
     def state(self) -> str:
         return self._p("state")
@@ -156,6 +162,14 @@ def _having(state: DataFrame, df: DataFrame, key: str) -> DataFrame:
     return state.join(keys, state[key].eqNullSafe(keys["_key"]), "left_semi")
 
 
+def _unmatched(df: DataFrame, other: DataFrame, columns: list[str]) -> DataFrame:
+    """Rows of ``df`` whose ``columns`` occur in no row of ``other``; a NULL
+    equals a NULL."""
+    keys = other.select(*[F.col(c).alias(f"_{c}") for c in columns]).distinct()
+    on = [df[c].eqNullSafe(keys[f"_{c}"]) for c in columns]
+    return df.join(keys, on, "left_anti")
+
+
 @contextmanager
 def _step(name: str, batch_id: int):
     """Wall time of one step of a micro-batch, logged at INFO."""
@@ -194,6 +208,7 @@ class IncrementalReport:
         self.publish_csv = publish_csv
         self.clear_segment = clear_segment
         self.customers = SnapshotTable(spark, layout.customers, CUSTOMER_SCHEMA)
+        self.customers_seen = SnapshotTable(spark, layout.customers_seen, CUSTOMER_SCHEMA)
         self.state = SnapshotTable(spark, layout.state, STATE_SCHEMA, part_col="order_month")
         self.rows = SnapshotTable(spark, layout.report_rows, ROWS_SCHEMA)
         self.report = SnapshotTable(spark, layout.report, REPORT_SCHEMA)
@@ -222,11 +237,37 @@ class IncrementalReport:
 
     # ------------------------------------------------------------ customers
 
-    def _current_customers(self, before: int) -> DataFrame:
-        if self.customers.exists(before):
-            return self.customers.read(before)
-        initial = _read_optional_csv(self.spark, self.layout.customers_csv, CUSTOMER_COLUMNS)
-        return initial.select(*CUSTOMER_COLUMNS) if initial is not None else self.customers.empty()
+    def _customers_csv(self) -> DataFrame | None:
+        csv = _read_optional_csv(self.spark, self.layout.customers_csv, CUSTOMER_COLUMNS)
+        return csv.select(*CUSTOMER_COLUMNS) if csv is not None else None
+
+    def _refresh_customers(self, batch_id: int) -> tuple[DataFrame, DataFrame | None]:
+        """(customer table, customers whose segment changed since the last
+        batch, None for none). The first batch has no earlier table to compare
+        with, so all of its customers count as changed."""
+        updates, csv = self._pending_updates, self._customers_csv()
+        before = self.customers.read(before=batch_id) if self.customers.exists(batch_id) else None
+        seen = self.customers_seen.read(before=batch_id) if self.customers_seen.exists(batch_id) else None
+        now = before
+        if before is None:
+            now = csv if csv is not None else self.customers.empty()
+        elif seen is not None and csv is not None:
+            edited = _unmatched(csv, seen, CUSTOMER_COLUMNS).unionByName(_unmatched(seen, csv, CUSTOMER_COLUMNS))
+            if edited.isEmpty():
+                csv = None
+            else:
+                # all rows of an edited customer, so the uniqueness guard sees repeats
+                now = _unmatched(before, edited, ["customer_id"]).unionByName(_having(csv, edited, "customer_id"))
+        if seen is not None and csv is None and updates is None:
+            return now, None
+        if updates is not None:
+            now = customer_upsert(now, updates, ordinal="_line")
+        self.customers.write(now, batch_id)
+        if csv is not None or seen is None:
+            self.customers_seen.write(csv if csv is not None else self.customers_seen.empty(), batch_id)
+        now = self.customers.read(before=batch_id + 1)
+        changed = now if before is None or seen is None else _unmatched(now, before, CUSTOMER_COLUMNS)
+        return now, changed.select("customer_id", C("segment").alias("_new_segment"))
 
     # --------------------------------------------------------------- batch
 
@@ -255,21 +296,8 @@ class IncrementalReport:
 
         # 1. customers (H4) and the segment refresh of affected orders (D4, HP-5)
         with _step("customers", batch_id):
-            customers = self._current_customers(batch_id)
+            customers_now, changed_customers = self._refresh_customers(batch_id)
             prior = self.state.read(before=batch_id)
-            updates = self._pending_updates
-            if updates is not None:
-                customers_now = customer_upsert(customers, updates, ordinal="_line")
-                self.customers.write(customers_now, batch_id)
-                customers_now = self.customers.read(before=batch_id + 1)
-                before = customers.select(C("customer_id").alias("_id"), C("segment").alias("_old"))
-                changed_customers = customers_now.join(
-                    before,
-                    C("customer_id").eqNullSafe(C("_id")) & C("segment").eqNullSafe(C("_old")),
-                    "left_anti",
-                ).select("customer_id", C("segment").alias("_new_segment"))
-            else:
-                customers_now, changed_customers = customers, None
 
         # 2. new versions of this batch (H2)
         with _step("new versions", batch_id):

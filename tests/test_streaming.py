@@ -2,6 +2,7 @@
 
 import os
 import random
+import re
 
 import pytest
 
@@ -91,6 +92,32 @@ def test_customer_update_moves_old_orders(spark, tmp_path):
     assert rows[("2024-01", "ALL")][2:5] == (2, 2, 400.0)
 
 
+def test_edited_customers_file_moves_old_orders(spark, tmp_path):
+    layout = _layout(tmp_path)
+    job = IncrementalReport(spark, layout, publish_csv=False)
+    _drop(layout, ["orders-2024-01-10-0000.csv"])
+    job.run()
+    # no update file: customers.csv itself is edited, customer 2 becomes Enterprise
+    with open(layout.customers_csv, "w") as f:
+        f.write(re.sub(r"(?m)^2,.*$", "2,Enterprise", CUSTOMERS_INC))
+    _drop(layout, ["orders-2024-02-05-0000.csv"])
+    job.run()
+    rows = {(r[0], r[1]): r for r in _report(job)}
+    assert rows[("2024-01", "Enterprise")][2:5] == (2, 2, 400.0)
+    assert ("2024-01", "SMB") not in rows
+    assert {r["segment"] for r in job.current_state().where("customer_id = '2'").collect()} == {"Enterprise"}
+    # an update file of another customer, then a second edit, over the snapshot
+    with open(layout.customer_updates, "w") as f:
+        f.write("customer_id,segment\n1,Startup\n")
+    with open(layout.customers_csv, "w") as f:
+        f.write(re.sub(r"(?m)^2,.*$", "2,SMB", CUSTOMERS_INC))
+    _drop(layout, [sorted(ORDER_BATCHES)[-1]])
+    job.run()
+    state = job.current_state()
+    assert {r["segment"] for r in state.where("customer_id = '2'").collect()} == {"SMB"}
+    assert {r["segment"] for r in state.where("customer_id = '1'").collect()} == {"Startup"}
+
+
 def test_wholly_rejected_batch_changes_nothing(spark, tmp_path):
     layout = _layout(tmp_path)
     job = IncrementalReport(spark, layout, publish_csv=False)
