@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+from . import merkle_manifest as merkle
 from . import poisson_mix as mix
 from . import quality_divergence as quality
+from . import walsh_clusters as walsh
 from .secret_ledger import RULES
 
 
@@ -141,8 +143,108 @@ FROM (SELECT *, unnest(range(1, CAST(n AS BIGINT) + 1)) AS copy FROM c)
 """
 
 
+def _clusters() -> str:
+    size, scale, k, seed = walsh.SIZE, walsh.SCALE, walsh.CENTROIDS, walsh.SEED
+
+    def nearest(n: int) -> str:
+        return f"""a{n} AS (
+  SELECT r, any_value(id) AS id, any_value(k.v) AS v, min({{'d': CAST(list_sum(list_transform(list_zip(k.v, c.v),
+    lambda p: (p[1] - p[2]) * (p[1] - p[2]))) AS BIGINT), 'c': c.c}}) AS best
+  FROM k CROSS JOIN c{n} AS c GROUP BY r)"""
+
+    def moved(n: int) -> str:
+        return f"""s{n} AS (
+  SELECT best.c AS c, i, sum(x) AS s, count(*) AS n
+  FROM (SELECT best, unnest(v) AS x, unnest(range(1, {size + 1})) AS i FROM a{n}) GROUP BY best.c, i),
+m{n} AS (SELECT c, list((s - ((s % n) + n) % n) // n ORDER BY i) AS v FROM s{n} GROUP BY c),
+c{n + 1} AS (SELECT c.c, CAST(coalesce(m.v, c.v) AS BIGINT[]) AS v FROM c{n} AS c LEFT JOIN m{n} AS m USING (c))"""
+
+    rounds = ",\n".join(f"{nearest(n)},\n{moved(n)}" for n in range(walsh.ROUNDS))
+    return f"""
+WITH f AS (
+  SELECT vec_id AS id, embedding FROM embeddings
+  WHERE len(embedding) = {size} AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = {size}),
+k AS (
+  SELECT row_number() OVER () AS r, id,
+    list_transform(embedding, lambda x: CAST(floor({scale} * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+  FROM f),
+c0 AS (
+  SELECT CAST(row_number() OVER (ORDER BY sha256('{seed}:' || id), v) - 1 AS INTEGER) AS c, v
+  FROM k WHERE id IS NOT NULL QUALIFY c < {k}),
+{rounds},
+{nearest(walsh.ROUNDS)}
+SELECT id AS vec_id, a.best.c AS cluster, a.best.d AS distance,
+  CAST(sum(a.best.d) OVER (PARTITION BY a.best.c) AS BIGINT) AS cluster_inertia,
+  CAST(sum(a.best.d) OVER () AS BIGINT) AS inertia, sha256(array_to_string(c.v, ',')) AS centroid_sha256
+FROM a{walsh.ROUNDS} AS a JOIN c{walsh.ROUNDS} AS c ON a.best.c = c.c
+"""
+
+
+def _merkle() -> str:
+    def digest(text: str) -> str:
+        parts = ("doc_id", "source", "lang", "n_chars", text)
+        each = [f"coalesce(strlen(CAST({p} AS VARCHAR)) || ':' || CAST({p} AS VARCHAR), '-')" for p in parts]
+        return f"sha256({' || '.join(each)})"
+
+    n = merkle.FANOUT
+
+    def tree(name: str, leaves: str) -> str:
+        return f"""{name} AS (
+  SELECT 0 AS l, g, i, n, h FROM {leaves}
+  UNION ALL
+  SELECT l + 1, g, i // {n}, (n + {n - 1}) // {n}, sha256(string_agg(h, '' ORDER BY i))
+  FROM {name} WHERE n > 1 GROUP BY l, g, i // {n}, n),
+{name}_runs AS (SELECT l, g, i // {n} AS j, list(h ORDER BY i) AS run FROM {name} WHERE n > 1 GROUP BY l, g, i // {n})"""
+
+    def climb(name: str, over: str, start: str) -> str:
+        return f"""{name} AS (
+  SELECT r, 0 AS l, g, i, now, beside FROM {start}
+  UNION ALL
+  SELECT r, p.l + 1, p.g, p.i // {n},
+    sha256(array_to_string(run[1:p.i % {n}], '') || now || array_to_string(run[p.i % {n} + 2:], '')),
+    beside || array_to_string(run[1:p.i % {n}], '') || array_to_string(run[p.i % {n} + 2:], '')
+  FROM {name} AS p JOIN {over}_runs AS q ON p.l = q.l AND p.g = q.g AND p.i // {n} = q.j),
+{name}_end AS (SELECT r, max_by(now, l) AS now, max_by(beside, l) AS beside FROM {name} GROUP BY r)"""
+
+    bits = (
+        "flatten(list_transform(string_split(CAST(doc_id AS VARCHAR), ''), "
+        "lambda ch: list_transform(range(8), lambda b: (ascii(ch) >> b) & 1)))"
+    )
+    crc = (
+        f"list_reduce(list_concat([4294967295], {bits}), "
+        "lambda c, b: xor(c >> 1, CASE WHEN xor(c, b) & 1 = 1 THEN 3988292384 ELSE 0 END))"
+    )
+    return f"""
+WITH RECURSIVE d AS (
+  SELECT row_number() OVER () AS r, doc_id, source, lang, n_chars, text,
+    coalesce({crc} & 1 = 1, false) AS even  -- of the register before its last inversion
+  FROM documents),
+e AS (
+  SELECT r, doc_id, source, {digest("text")} AS h,
+    CASE WHEN even THEN {digest("replace(text, chr(10), '')")} ELSE {digest("text")} END AS now
+  FROM d),
+leaves AS (
+  SELECT *, dense_rank() OVER (ORDER BY source NULLS FIRST) - 1 AS g,
+    row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, h) - 1 AS i,
+    count(*) OVER (PARTITION BY source) AS n
+  FROM e),
+{tree("own", "leaves")},
+subroots AS (SELECT g AS s, h FROM own WHERE n = 1),
+heads AS (SELECT 0 AS g, s AS i, count(*) OVER () AS n, h FROM subroots),
+{tree("top", "heads")},
+{climb("low", "own", "(SELECT r, g, i, now, '' AS beside FROM leaves)")},
+{climb("high", "top", "(SELECT r, 0 AS g, leaves.g AS i, low_end.now, low_end.beside FROM low_end JOIN leaves USING (r))")}
+SELECT doc_id, leaves.h AS leaf, subroots.h AS subroot, root.h AS root, sha256(high_end.beside) AS proof_sha256,
+  high_end.now AS folded_root, high_end.now = root.h AS verified
+FROM leaves JOIN high_end USING (r) JOIN subroots ON subroots.s = leaves.g
+  CROSS JOIN (SELECT h FROM top WHERE n = 1) AS root
+"""
+
+
 ORACLE_SQL: dict[str, str] = {
     "op1_secret_ledger": _secrets(),
     "op6_quality_divergence": _quality(),
     "op9_poisson_mix": _mix(),
+    "op11_walsh_clusters": _clusters(),
+    "op13_merkle_manifest": _merkle(),
 }

@@ -15,14 +15,16 @@ from . import (
     html_consensus,
     langid_ecoc,
     license_scan,
+    merkle_manifest,
     poisson_mix,
     prob_minhash,
     quality_divergence,
     secret_ledger,
     token_blocks,
     toxicity_cf,
+    walsh_clusters,
 )
-from .common import read, shared_path
+from .common import fold, read, shared_path
 
 
 def op1_secret_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -103,6 +105,28 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.scan_licenses(read(spark, sf_dir, "documents"))
 
 
+def op11_walsh_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cluster, distance and inertia of every vector."""
+    rows = walsh_clusters.with_inertia(walsh_clusters.cluster(read(spark, sf_dir, "embeddings")))
+    return rows.select(
+        F.col("id").alias("vec_id"), "cluster", "distance", "cluster_inertia", "inertia", "centroid_sha256"
+    )
+
+
+def newlines_deleted(text: str = "text", doc_id: str = "doc_id") -> Column:
+    """The text without line ends where 2 divides crc32 of the id, else as it is."""
+    even = F.coalesce(fold(F.col(doc_id), 2) == 0, F.lit(False))
+    return F.when(even, F.replace(F.col(text), F.lit("\n"), F.lit(""))).otherwise(F.col(text))
+
+
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Proof of every document, folded from a text that may be tampered with."""
+    docs = read(spark, sf_dir, "documents")
+    leaves = merkle_manifest.leaves_of(docs, tampered={"text": newlines_deleted()})
+    found = merkle_manifest.proofs(merkle_manifest.build(leaves))
+    return found.withColumnRenamed("key", "doc_id")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -116,5 +140,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_token_blocks,
         op9_poisson_mix,
         op10_license_scan,
+        op11_walsh_clusters,
+        op13_merkle_manifest,
     )
 }

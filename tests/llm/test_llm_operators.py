@@ -451,14 +451,18 @@ def test_word_hashes_match_words():
     assert hashlib.md5(words.tobytes()).digest()
 
 
-@pytest.mark.parametrize("name", ["op1_secret_ledger", "op6_quality_divergence", "op9_poisson_mix"])
+@pytest.mark.parametrize(
+    "name",
+    ["op1_secret_ledger", "op6_quality_divergence", "op9_poisson_mix", "op11_walsh_clusters", "op13_merkle_manifest"],
+)
 def test_registered_query_matches_its_sql(spark, name):
     import duckdb
 
     import __spark_entry__ as entry
 
     con = duckdb.connect()
-    con.execute(f"create view documents as select * from read_parquet('{SF}/documents.parquet')")
+    for t in ("documents", "embeddings"):
+        con.execute(f"create view {t} as select * from read_parquet('{SF}/{t}.parquet')")
     cur = con.execute(entry.oracle_sql()[name])
     columns = [c[0] for c in cur.description]
     df = entry.queries()[name](spark, SF)
