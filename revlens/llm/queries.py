@@ -16,6 +16,7 @@ from . import (
     langid_ecoc,
     license_scan,
     merkle_manifest,
+    pii_deobfuscate,
     poisson_mix,
     prob_minhash,
     quality_divergence,
@@ -113,6 +114,26 @@ def op11_walsh_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_pii_deobfuscate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data of every document, in the clear and under disguise."""
+    found = pii_deobfuscate.scan_pii(read(spark, sf_dir, "documents"))
+
+    def joined(hits: Column) -> Column:
+        return F.array_join(F.transform(hits, lambda h: F.concat_ws(":", h["kind"], h["start"], h["end"])), ",")
+
+    base = F.filter("hits", lambda h: h["base"])
+
+    def count(kind: str) -> Column:
+        return F.size(F.filter(base, lambda h: h["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    return found.select(
+        "doc_id",
+        *[count(kind) for kind in pii_deobfuscate.KINDS],
+        F.sha2(joined(base).cast("binary"), 256).alias("base_sha256"),
+        joined(F.col("hits")).alias("spans"),
+    )
+
+
 def newlines_deleted(text: str = "text", doc_id: str = "doc_id") -> Column:
     """The text without line ends where 2 divides crc32 of the id, else as it is."""
     even = F.coalesce(fold(F.col(doc_id), 2) == 0, F.lit(False))
@@ -141,6 +162,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op9_poisson_mix,
         op10_license_scan,
         op11_walsh_clusters,
+        op12_pii_deobfuscate,
         op13_merkle_manifest,
     )
 }
