@@ -58,14 +58,19 @@ def coerce_numeric(c: Column | str) -> Column:
     """Lenient number parse; unparsable text becomes NULL.
 
     ``try_cast`` to double accepts ``1e3``, `` 5 ``, ``+3``, ``inf`` and rejects
-    ``1_000``, ``0x10``, ``12abc``, ``1,5``. Two Spark extras are removed so
+    ``1_000``, ``0x10``, ``12abc``, ``1,5``. Spark's extras are removed so
     the result matches a strict float parse: a trailing ``d``/``f`` type
     suffix (``5d``), hexadecimal floats (``0x1p3``), and ``nan`` (Spark NaN, which would poison sums).
+
+    The optimizer copies a parse into the filter that reads it, so it is made
+    of plain string functions, without a regex: the last character is an
+    ``f`` or ``d`` in no number but infinity, and an ``x`` in none.
     """
-    c = _col(c)
-    text = c.cast("string")
-    has_suffix = (text.rlike(r"(?i)[df]\s*$") & ~text.rlike(r"(?i)inf\s*$")) | text.rlike("[xX]")
-    value = F.when(has_suffix, F.lit(None).cast("double")).otherwise(text.try_cast("double"))
+    text = _col(c).cast("string")
+    end = F.rtrim(text, F.lit(" \t\n\r\x0b\x0c"))
+    suffix = F.substring(end, -1, 1).isin("d", "D", "f", "F") & (F.lower(F.substring(end, -3, 3)) != "inf")
+    extra = suffix | F.contains(text, F.lit("x")) | F.contains(text, F.lit("X"))
+    value = F.when(~extra, text.try_cast("double"))
     return F.nanvl(value, F.lit(None).cast("double"))
 
 

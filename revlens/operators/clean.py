@@ -36,61 +36,94 @@ def clean_sales_lines(df: DataFrame, numeric=("quantity", "unit_price")) -> Data
     return out.where(keep)
 
 
-def clean_orders(df: DataFrame, lenient_dates: bool = False) -> DataFrame:
-    """J5/J6 cleaning up to (not including) de-duplication.
-
-    Order of rules as in the reference: fill segment, coerce numbers and drop
-    unparsable, validity rule, strict date parse and drop bad dates.
-    """
+def typed_orders(df: DataFrame, lenient_dates: bool = False) -> DataFrame:
+    """Order rows with numbers and dates parsed, NULL where they do not parse."""
     require_columns(df, set(ORDER_COLUMNS) | {"segment"})
-    out = coerce_columns(df.withColumn("segment", fill_unknown(C("segment"))), ("quantity", "unit_price"))
-    out = out.where(valid_quantity_price())
-    out = out.withColumn("order_date", parse_date_strict(C("order_date"), lenient=lenient_dates))
-    return out.where(C("order_date").isNotNull())
+    out = coerce_columns(df, ("quantity", "unit_price"))
+    return out.withColumn("order_date", parse_date_strict(C("order_date"), lenient=lenient_dates))
+
+
+def clean_orders(df: DataFrame, lenient_dates: bool = False, typed: bool = False) -> DataFrame:
+    """J5/J6 cleaning up to (not including) de-duplication: fill segment, drop
+    rows with unparsable numbers, apply the validity rule, drop bad dates.
+    ``typed`` says that :func:`typed_orders` has been applied."""
+    out = df if typed else typed_orders(df, lenient_dates)
+    out = out.withColumn("segment", fill_unknown(C("segment")))
+    return out.where(valid_quantity_price() & C("order_date").isNotNull())
+
+
+def _rule_counts() -> dict[str, F.Column]:
+    """Counters per cleaning rule over typed orders, in the cascade's order.
+
+    Each counter sees only rows that survived the earlier *removals*; a row
+    with quantity <= 0 and price < 0 counts in both."""
+    numeric = C("quantity").isNotNull() & C("unit_price").isNotNull()
+    valid = numeric & valid_quantity_price()
+    return {
+        "rows_in": F.count(F.lit(1)),
+        "missing_segment": F.count_if(C("segment").isNull()),
+        "non_numeric": F.count_if(~numeric),
+        "non_positive_quantity": F.count_if(numeric & (C("quantity") <= 0)),
+        "negative_price": F.count_if(numeric & (C("unit_price") < 0)),
+        "bad_date": F.count_if(valid & C("order_date").isNull()),
+        "kept": F.count_if(valid & C("order_date").isNotNull()),
+    }
 
 
 def dq_counters(df: DataFrame, key: str = "order_id") -> DataFrame:
     """Counts per cleaning rule, in the reference's cascade, as one row (L1).
 
-    Each counter sees only rows that survived the earlier *removals*; a row
-    with quantity <= 0 and price < 0 counts in both. The repeated-id counter
-    is rows minus distinct ids (a NULL id counts as one more distinct value).
-    One aggregation pass; nothing is collected.
+    The repeated-id counter is rows minus distinct ids (a NULL id counts as
+    one more distinct value). One aggregation pass; nothing is collected.
     """
-    require_columns(df, set(ORDER_COLUMNS) | {"segment"})
-    q, p = coerce_numeric(C("quantity")), coerce_numeric(C("unit_price"))
-    parsed = df.select(
-        C(key).alias("_key"),
-        C("segment").isNull().alias("_no_segment"),
-        q.alias("_q"),
-        p.alias("_p"),
-        parse_date_strict(C("order_date")).isNotNull().alias("_date_ok"),
-    )
-    numeric = C("_q").isNotNull() & C("_p").isNotNull()
-    valid = numeric & (C("_q") > 0) & (C("_p") >= 0)
-    kept = valid & C("_date_ok")
-    return parsed.agg(
-        F.count(F.lit(1)).alias("rows_in"),
-        F.count_if(C("_no_segment")).alias("missing_segment"),
-        F.count_if(~numeric).alias("non_numeric"),
-        F.count_if(numeric & (C("_q") <= 0)).alias("non_positive_quantity"),
-        F.count_if(numeric & (C("_p") < 0)).alias("negative_price"),
-        F.count_if(valid & ~C("_date_ok")).alias("bad_date"),
-        F.count_if(kept).alias("_kept"),
-        F.count_distinct(F.when(kept, C("_key"))).alias("_distinct"),
-        F.max(F.when(kept & C("_key").isNull(), F.lit(1)).otherwise(F.lit(0))).alias("_null_key"),
+    typed = typed_orders(df)
+    kept = valid_quantity_price() & C("order_date").isNotNull()
+    counts = _rule_counts()
+    return typed.agg(
+        *[c.alias(name) for name, c in counts.items()],
+        F.count_distinct(F.when(kept, C(key))).alias("_distinct"),
+        F.max(F.when(kept & C(key).isNull(), F.lit(1)).otherwise(F.lit(0))).alias("_null_key"),
     ).select(
-        "rows_in",
-        "missing_segment",
-        "non_numeric",
-        "non_positive_quantity",
-        "negative_price",
-        "bad_date",
-        (C("_kept") - C("_distinct") - F.coalesce(C("_null_key"), F.lit(0))).alias("duplicate_ids"),
+        *[name for name in counts if name != "kept"],
+        (C("kept") - C("_distinct") - F.coalesce(C("_null_key"), F.lit(0))).alias("duplicate_ids"),
         (C("_distinct") + F.coalesce(C("_null_key"), F.lit(0))).alias("rows_out"),
     )
 
 
+class QualityCounts:
+    """The counters of :func:`dq_counters` taken along the way (L1, L2).
+
+    ``observed`` are the typed orders with counters attached; what comes out of
+    cleaning and the version pick passes through :meth:`observe_rows_out`. One
+    write of that result fills both, so no rows are read twice.
+    """
+
+    def __init__(self, typed: DataFrame):
+        self._in, self._out = Observation("cleaning"), Observation("rows_out")
+        self._typed = typed
+        self.observed = typed.observe(self._in, *[c.alias(name) for name, c in _rule_counts().items()])
+
+    def observe_rows_out(self, df: DataFrame) -> DataFrame:
+        self._after = df
+        return df.observe(self._out, F.count(F.lit(1)).alias("rows_out"))
+
+    def result(self) -> dict[str, int]:
+        """The counters, once the write is done. Adaptive execution may cut out a plan whose
+        rows are all rejected together with its counters; only then they are counted anew."""
+        before, after = _metrics(self._in), _metrics(self._out)
+        if before is None:
+            before = self._typed.agg(*[c.alias(name) for name, c in _rule_counts().items()]).first().asDict()
+        kept = before.pop("kept")
+        rows_out = after["rows_out"] if after is not None else (self._after.count() if kept else 0)
+        return before | {"duplicate_ids": kept - rows_out, "rows_out": rows_out}
+
+
+def _metrics(observation: Observation) -> dict[str, int] | None:
+    """What an observation has, without waiting for what may never come."""
+    found = observation._jo.getRowOrEmpty()
+    return observation.get if found.isDefined() else None
+
+
 def observe_rows(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
     """Attach a row counter to a step without an extra job (L2).
 

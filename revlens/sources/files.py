@@ -6,16 +6,17 @@ Zero padding makes lexical order equal arrival order.
 
 from __future__ import annotations
 
-import csv
-import io
+import re
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-C = F.col
+from revlens.sources import hadoop_fs
+from revlens.sources.csv import by_header, describe_files, require_names, rows_of
+from revlens.sources.records import FileFact
 
-from revlens.functions.scalar import normalize_missing
-from revlens.sources.csv import MissingColumnsError
+C = F.col
 
 # Batch file name pattern (glob and exact form).
 BATCH_GLOB = "orders-????-??-??-????.csv"
@@ -55,77 +56,56 @@ def archive_dir(file_name: Column) -> Column:
     return F.concat_ws("/", F.slice(F.split(file_name, "-"), 2, 3))
 
 
-def read_lines(spark: SparkSession, paths: list[str]) -> DataFrame:
-    """Batch files as text lines with file name, split start and ordinal."""
-    raw = spark.read.text(paths).select("value", "_metadata.file_name", "_metadata.file_block_start")
-    return with_ordinal(raw)
+def file_name(path: Column) -> Column:
+    """Name of a file from its path (a URL, so ``%`` codes are read back)."""
+    return F.url_decode(F.regexp_replace(F.element_at(F.split(path, "/"), -1), r"\+", "%2B"))
 
 
-def with_ordinal(raw: DataFrame) -> DataFrame:
-    """Ordinal of each line (A5): taken right after the scan, before any
-    shuffle, so it follows the line order within each file split."""
-    return raw.withColumn("pos", F.monotonically_increasing_id())
+def version_of(path: str) -> str | None:
+    """Ingestion version of a batch file by its name, on the driver."""
+    found = re.match(BATCH_NAME_REGEX, path.rsplit("/", 1)[-1])
+    return "-".join(found.groups()) if found else None
 
 
-def _header_columns(line: str) -> list[str]:
-    return [c.strip() for c in next(csv.reader(io.StringIO(line)))]
+def empty_files(spark: SparkSession, paths: list[str]) -> list[str]:
+    """Names of the 0-byte files among ``paths`` (files, folders or patterns)."""
+    found = []
+    for path in paths:
+        for e in hadoop_fs.glob(spark, path):
+            listed = hadoop_fs.entries(spark, path) if e.is_dir else [e]
+            found += [x.name for x in listed if not x.is_dir and x.length == 0 and x.name[0] not in "._"]
+    return sorted(found)
 
 
-def parse_lines(lines: DataFrame, required=None) -> DataFrame:
-    """Text lines of CSV files -> rows with columns matched by *name* (A6, HP-2).
+def read_files(spark: SparkSession, files: list[FileFact], required=None) -> DataFrame:
+    """Rows of batch files, columns matched by *name* (A6, HP-2).
 
-    Each file's first line is its header. Only the distinct headers are
-    collected (bounded by the number of files). Each header group is parsed
-    with ``from_csv`` and the groups are stacked with ``unionByName``, so
-    files with columns in another order line up. Short lines are padded with
-    NULL, a line with more fields than its header fails the job, and
-    missing-value markers become NULL. Adds ``file_name``,
-    ``ingestion_date`` (from the name) and ``line`` (the ordinal).
+    Files of one header are one scan; the scans are stacked by column name, so
+    files with columns in another order line up. Nothing but the list
+    of files, which Spark lists on the driver anyway, decides which scan a file
+    is in: no line is shuffled or joined to its header. Short lines are padded
+    with NULL, a line with more fields than its header fails the job, and
+    missing-value markers become NULL. Adds ``file_path``, ``file_name``,
+    ``ingestion_date`` (from the name) and ``line`` (split and place in it).
     """
-    lines = lines.where(F.length(F.trim(C("value"))) > 0)
-    first = (
-        lines.where(C("file_block_start") == 0)
-        .groupBy("file_name")
-        .agg(F.min_by("value", "pos").alias("header"), F.min("pos").alias("header_pos"))
-    )
-    headers = [r[0] for r in first.select("header").distinct().collect()]
     frames = []
-    for header in headers:
-        columns = _header_columns(header)
-        if required is not None:
-            missing = sorted(set(required) - set(columns))
-            if missing:
-                raise MissingColumnsError(f"Missing columns: {missing}")
-        files = first.where(C("header") == F.lit(header)).select("file_name", "header_pos")
-        body = lines.join(files, "file_name").where(
-            ~((C("file_block_start") == 0) & (C("pos") == C("header_pos")))
-        )
-        probe = ", ".join(f"`f{i}` string" for i in range(len(columns) + 1))
-        parsed = body.withColumn("_f", F.from_csv(C("value"), probe, {"escape": '"'}))
-        too_long = C(f"_f.f{len(columns)}").isNotNull()
-        checked = parsed.where(
-            F.when(
-                too_long,
-                F.raise_error(F.concat(F.lit("A line has too many fields for its header: "), C("value"))),
-            ).otherwise(F.lit(True))
-        )
+    for columns, group in by_header(files).items():
+        require_names(columns, required)
+        rows = rows_of(spark, group, list(columns))
+        name = file_name(C("file_path"))
         frames.append(
-            checked.select(
-                *[normalize_missing(C(f"_f.f{i}")).alias(c) for i, c in enumerate(columns)],
-                "file_name",
-                batch_version(C("file_name")).alias("ingestion_date"),
-                F.struct(C("file_block_start").alias("block"), C("pos").alias("pos")).alias("line"),
+            rows.select(
+                *columns,
+                "file_path",
+                name.alias("file_name"),
+                batch_version(name).alias("ingestion_date"),
+                F.struct("block", "pos").alias("line"),
             )
         )
     if not frames:
-        schema = ", ".join(f"`{c}` string" for c in (required or []))
-        empty = lines.sparkSession.createDataFrame([], schema or "file_name string")
-        return empty.select(
-            *[C(c) for c in (required or [])],
-            F.lit(None).cast("string").alias("file_name"),
-            F.lit(None).cast("string").alias("ingestion_date"),
-            F.lit(None).cast("struct<block:bigint,pos:bigint>").alias("line"),
-        )
+        cells = "".join(f"`{c}` string, " for c in required or ())
+        schema = cells + "file_path string, file_name string, ingestion_date string, line struct<block:bigint,pos:bigint>"
+        return spark.createDataFrame([], schema)
     out = frames[0]
     for f in frames[1:]:
         out = out.unionByName(f, allowMissingColumns=True)
@@ -133,6 +113,24 @@ def parse_lines(lines: DataFrame, required=None) -> DataFrame:
 
 
 def read_batches(spark: SparkSession, paths: list[str], required=None) -> DataFrame:
-    """Read many batch files, columns matched by *name* (A6, HP-2): one text
-    scan over all files, headers found per file, no per-file jobs."""
-    return parse_lines(read_lines(spark, paths), required)
+    """Read many batch files; a 0-byte file among them is an error."""
+    empty = empty_files(spark, paths)
+    if empty:
+        raise ValueError(f"No header line in: {', '.join(empty)}")
+    return read_files(spark, describe_files(spark, paths), required)
+
+
+def with_row_index(rows: DataFrame) -> DataFrame:
+    """Adds ``row_index``, a row's number in its file from 0 (A5).
+
+    A split counts its rows, the counts add up over the splits of the file, and only
+    that table (a row per split) is joined to the rows. ``rows`` must come
+    from :func:`read_files` unfiltered: places in a split are then consecutive.
+    """
+    splits = rows.groupBy("file_path", C("line.block").alias("block")).agg(
+        F.min("line.pos").alias("low"), F.count(F.lit(1)).alias("n")
+    )
+    before = F.sum("n").over(W.partitionBy("file_path").orderBy("block")) - C("n")
+    table = splits.select(C("file_path").alias("_path"), "block", (before - C("low")).alias("_shift"))
+    same = (rows["file_path"] == table["_path"]) & (rows["line.block"] == table["block"])
+    return rows.join(table, same).select(*rows.columns, (C("line.pos") + C("_shift")).alias("row_index"))
