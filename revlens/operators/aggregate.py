@@ -158,12 +158,15 @@ def profit_report_order(keys=("region", "category"), totals_last: bool = False)
 
 def month_segment_base(df: DataFrame, month: str = "order_month", segment: str = "segment") -> DataFrame:
     """GROUP BY month, segment: order count, distinct customers (missing
-    ignored), revenue (E9). Spark plans the distinct count as two partial
-    aggregation levels, both map-side combined."""
-    return df.groupBy(month, segment).agg(
-        F.count(C("order_id")).alias("orders_count"),
-        F.count_distinct(C("customer_id")).alias("customers_count"),
-        F.sum(C("revenue")).cast("double").alias("total_revenue"),
+    ignored), revenue, 0 if all are missing (E9); rows with a missing key form no group. One row per
+    month, segment and customer first, so that the distinct count is a plain count."""
+    per_customer = df.dropna(subset=[month, segment]).groupBy(month, segment, "customer_id").agg(
+        F.count(C("order_id")).alias("_orders"), F.sum(C("revenue")).alias("_revenue")
+    )
+    return per_customer.groupBy(month, segment).agg(
+        F.sum("_orders").alias("orders_count"),
+        F.count(C("customer_id")).alias("customers_count"),
+        F.coalesce(F.sum("_revenue").cast("double"), F.lit(0.0)).alias("total_revenue"),
     )
 
 

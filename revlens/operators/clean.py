@@ -103,9 +103,18 @@ class QualityCounts:
         self._typed = typed
         self.observed = typed.observe(self._in, *[c.alias(name) for name, c in _rule_counts().items()])
 
-    def observe_rows_out(self, df: DataFrame) -> DataFrame:
-        self._after = df
-        return df.observe(self._out, F.count(F.lit(1)).alias("rows_out"))
+    def observe_rows_out(self, df: DataFrame, **sets: F.Column) -> DataFrame:
+        """Counts the rows that are left; ``sets`` are expressions of few
+        values, such as months, whose values are gathered as well."""
+        self._after, self._sets = df, sets
+        found = [F.collect_set(c).alias(name) for name, c in sets.items()]
+        return df.observe(self._out, F.count(F.lit(1)).alias("rows_out"), *found)
+
+    def values(self, name: str) -> list[str]:
+        after = _metrics(self._out)
+        if after is None:
+            return sorted(r[0] for r in self._after.select(self._sets[name]).distinct().collect())
+        return sorted(after[name])
 
     def result(self) -> dict[str, int]:
         """The counters, once the write is done. Adaptive execution may cut out a plan whose

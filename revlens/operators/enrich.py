@@ -18,10 +18,6 @@ from revlens.functions.scalar import UNKNOWN
 C = F.col
 
 
-class KeyConflictError(ValueError):
-    """A dimension key repeats, so a many-to-one join would multiply facts."""
-
-
 def _on(fact: DataFrame, dim: DataFrame, keys, null_safe: bool):
     cond = None
     for k in keys:
@@ -67,31 +63,56 @@ def key_conflicts(dim: DataFrame, keys, count_name: str = "key_count") -> DataFr
     return dim.groupBy(*keys).agg(F.count(F.lit(1)).alias(count_name)).where(C(count_name) > 1)
 
 
+def _null_safe(c: F.Column, kind: str) -> list[F.Column]:
+    """A key as the pair that a null-safe join compares: value (with a stand-in
+    for a missing one) and whether it is missing."""
+    stand_in = F.lit("") if kind == "string" else F.lit(0).cast(kind)
+    return [F.coalesce(c, stand_in), c.isNull()]
+
+
+def _unique_by_pair(dim: DataFrame, keys: list[str], what: str) -> DataFrame:
+    """One row per key with the pairs ``_k<i>``, ``_n<i>``; a repeated key raises."""
+    types = dict(dim.dtypes)
+    attrs = [c for c in dim.columns if c not in keys]
+    pairs = [x for i, k in enumerate(keys) for x in
+             (p.alias(f"{n}{i}") for n, p in zip(("_k", "_n"), _null_safe(C(k), types[k]), strict=True))]
+    shown = [F.when(C(f"_n{i}"), F.lit("NULL")).otherwise(C(f"_k{i}").cast("string")) for i in range(len(keys))]
+    grouped = dim.select(*pairs, *attrs).groupBy(*[f"{n}{i}" for i in range(len(keys)) for n in ("_k", "_n")]).agg(
+        F.count(F.lit(1)).alias("_rows"), *[F.first(C(a), ignorenulls=False).alias(a) for a in attrs]
+    )
+    repeated = F.raise_error(F.concat(F.lit(f"Key conflict: repeated key in {what}: "), F.concat_ws(",", *shown)))
+    return grouped.where(F.when(C("_rows") > 1, repeated).otherwise(F.lit(True))).drop("_rows")
+
+
 def guarded_unique(dim: DataFrame, keys, what: str = "dimension") -> DataFrame:
     """The dimension with a uniqueness guard evaluated inside the plan.
 
     One aggregation by key (partial aggregation first, so a hot key costs one
     row per map task) carries every attribute; a repeated key raises when the
     join runs, with no separate validation job. String attributes make this
-    a sort-based aggregate; its output is one row per key, which is what the
-    join then reads (broadcast when its measured size allows).
+    a sort-based aggregate; its output is one row per key.
     """
     keys = [keys] if isinstance(keys, str) else list(keys)
-    attrs = [c for c in dim.columns if c not in keys]
-    key_text = F.concat_ws(",", *[F.coalesce(C(k).cast("string"), F.lit("NULL")) for k in keys])
-    grouped = dim.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("_rows"), *[F.first(C(a), ignorenulls=False).alias(a) for a in attrs]
-    )
-    guard = F.when(
-        C("_rows") > 1,
-        F.raise_error(F.concat(F.lit(f"Key conflict: repeated key in {what}: "), key_text)),
-    ).otherwise(F.lit(True))
-    return grouped.where(guard).select(*keys, *attrs)
+    unique = _unique_by_pair(dim, keys, what)
+    named = [F.when(~C(f"_n{i}"), C(f"_k{i}")).alias(k) for i, k in enumerate(keys)]
+    return unique.select(*named, *[c for c in dim.columns if c not in keys])
 
 
 def join_many_to_one(fact: DataFrame, dim: DataFrame, keys, what: str = "dimension") -> DataFrame:
-    """Left join that fails when the right side repeats a key."""
-    return left_join(fact, guarded_unique(dim, keys, what), keys)
+    """Left join that fails when the right side repeats a key.
+
+    The guard aggregates by the pairs that the null-safe join compares, so
+    the join takes over its partitioning and the dimension is shuffled once."""
+    keys = [keys] if isinstance(keys, str) else list(keys)
+    unique = _unique_by_pair(dim, keys, what)
+    types = dict(dim.dtypes)
+    same = [
+        side == unique[f"{n}{i}"]
+        for i, k in enumerate(keys)
+        for n, side in zip(("_k", "_n"), _null_safe(fact[k].cast(types[k]), types[k]), strict=True)
+    ]
+    joined = fact.join(unique, same, "left")
+    return joined.select(*[fact[c] for c in fact.columns], *[unique[c] for c in dim.columns if c not in keys])
 
 
 def join_customers(orders: DataFrame, customers: DataFrame, key: str = "customer_id") -> DataFrame:

@@ -36,19 +36,29 @@ def add_order_metrics(df: DataFrame) -> DataFrame:
 
 
 def month_segment_rollup(enriched: DataFrame) -> DataFrame:
-    """(month, segment) rows and month ``ALL`` rows in one aggregation.
+    """(month, segment) rows and month ``ALL`` rows.
 
-    ``GROUPING SETS ((month, segment), (month))`` with a true distinct count
+    Orders are first brought to one row per month, segment and customer, by an
+    aggregate that is combined map-side. ``GROUPING SETS ((month, segment), (month))``
+    then expands those rows and not the orders, with a true distinct count
     of customers per month: a customer in two segments counts once in
     ``ALL``. Totals are told apart by ``grouping(segment)``, not by the label.
+    Rows of a missing month or segment form no group (a missing segment still
+    counts in its month's total); a group without any revenue has 0.
     """
-    g = enriched.groupingSets([["order_month", "segment"], ["order_month"]], "order_month", "segment").agg(
-        F.count(C("order_id")).alias("orders_count"),
+    per_customer = (
+        enriched.where(C("order_month").isNotNull())
+        .groupBy("order_month", "segment", "customer_id")
+        .agg(F.count(C("order_id")).alias("_orders"), F.sum(C("revenue")).alias("_revenue"))
+    )
+    g = per_customer.groupingSets([["order_month", "segment"], ["order_month"]], "order_month", "segment").agg(
+        F.sum("_orders").alias("orders_count"),
         F.count_distinct(C("customer_id")).alias("customers_count"),
-        F.sum(C("revenue")).cast("double").alias("total_revenue"),
+        F.coalesce(F.sum("_revenue").cast("double"), F.lit(0.0)).alias("total_revenue"),
         (F.grouping("segment") == 1).alias("is_total"),
     )
-    return g.withColumn("segment", F.when(C("is_total"), F.lit(ALL)).otherwise(C("segment")))
+    rows = g.where(C("is_total") | C("segment").isNotNull())
+    return rows.withColumn("segment", F.when(C("is_total"), F.lit(ALL)).otherwise(C("segment")))
 
 
 def finish_report(rows: DataFrame) -> DataFrame:
@@ -71,16 +81,7 @@ def monthly_report_additive(enriched: DataFrame) -> DataFrame:
 def monthly_report_dense(enriched: DataFrame) -> DataFrame:
     """Calendar variant (G5): a segment absent in a month shows zeros from its
     first month on, so rolling means divide by calendar months."""
-    return dense_report_from_rows(month_segment_rollup(enriched))
-
-
-def dense_report_from_rows(rows: DataFrame) -> DataFrame:
-    """G5 over pre-window report rows. ``rows`` is read several times (first
-    month, last month, the fill join), so callers pass a materialized table."""
-    last = rows.agg(F.max("order_month")).first()[0]  # one value: the spine's end
-    seg = dense_months(rows.where(~C("is_total")).drop("is_total"), last=last).withColumn("is_total", F.lit(False))
-    tot = dense_months(rows.where(C("is_total")).drop("is_total"), last=last).withColumn("is_total", F.lit(True))
-    return finish_report(seg.unionByName(tot))
+    return finish_report(dense_months(month_segment_rollup(enriched), ("is_total", "segment")))
 
 
 def printable_report(report: DataFrame) -> DataFrame:

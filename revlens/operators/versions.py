@@ -16,10 +16,6 @@ from pyspark.sql import functions as F
 C = F.col
 
 
-class DuplicateConflictError(ValueError):
-    """The same id carries different data."""
-
-
 def _conflict_aggs(cols):
     aggs = []
     for c in cols:
@@ -53,30 +49,21 @@ def order_conflicts(df: DataFrame, key: str = "order_id", exclude=()) -> DataFra
     )
 
 
-def dedup_strict(df: DataFrame, key: str = "order_id", ordinal: str | None = None) -> DataFrame:
+def dedup_strict(df: DataFrame, ordinal: str, key: str = "order_id") -> DataFrame:
     """Collapse repeated ids whose rows agree; fail naming an id whose rows differ (H1).
 
-    Guard and de-duplication are one aggregation. The survivor is the first
-    row by ``ordinal`` (file order) when given; otherwise each column takes
-    its single non-missing value. Missing ids skip the test but collapse to
-    one row, as in the reference.
+    Guard and de-duplication are one aggregation. The survivor is the whole
+    first row by ``ordinal`` (file order), also where a later row has a value that the first
+    lacks. Missing ids skip the test but collapse to one row, as in the reference.
     """
     cols = [c for c in df.columns if c not in (key, ordinal)]
-    aggs = [F.count(F.lit(1)).alias("_rows"), *_conflict_aggs(cols)]
-    if ordinal is not None:
-        aggs.append(F.min_by(F.struct(*[C(c) for c in cols]), C(ordinal)).alias("_first"))
-    g = df.groupBy(key).agg(*aggs)
+    first = F.min_by(F.struct(*[C(c) for c in cols]), C(ordinal)).alias("_first")
+    g = df.groupBy(key).agg(F.count(F.lit(1)).alias("_rows"), *_conflict_aggs(cols), first)
     conflict = (C("_rows") > 1) & C(key).isNotNull() & reduce(lambda a, b: a | b, [_differs(c) for c in cols])
     guard = F.when(
-        conflict,
-        F.raise_error(
-            F.concat(F.lit("Data quality issue: duplicate order_id with different data: "), C(key).cast("string"))
-        ),
+        conflict, F.raise_error(F.concat(F.lit("Rows of one id differ: "), C(key).cast("string")))
     ).otherwise(F.lit(True))
-    checked = g.where(guard)
-    if ordinal is not None:
-        return checked.select(key, *[C(f"_first.{c}").alias(c) for c in cols])
-    return checked.select(key, *[C(f"_hi_{c}").alias(c) for c in cols])
+    return g.where(guard).select(key, *[C(f"_first.{c}").alias(c) for c in cols])
 
 
 def latest_by(df: DataFrame, key, order_cols, keep_order_cols: bool = True) -> DataFrame:

@@ -32,33 +32,24 @@ def add_running_metrics(
     )
 
 
-def month_spine(df: DataFrame, first: str, last, out: str = "order_month") -> DataFrame:
-    """One row per calendar month from the month label in column ``first``
-    to ``last`` (a month label column or a literal month label)."""
-    start = F.to_date(F.concat(C(first), F.lit("-01")))
-    end_label = F.lit(last) if isinstance(last, str) and last not in df.columns else C(last)
-    stop = F.to_date(F.concat(end_label, F.lit("-01")))
-    keep = [c for c in df.columns if c not in (first, last)]
-    exploded = df.select(*keep, F.explode(F.sequence(start, stop, F.expr("INTERVAL 1 MONTH"))).alias("_m"))
-    return exploded.select(*keep, month_label(C("_m")).alias(out))
-
-
 def dense_months(
-    base: DataFrame, key: str = "segment", month: str = "order_month",
-    fill=("orders_count", "customers_count", "total_revenue"), last: str | None = None,
+    base: DataFrame, keys=("segment",), month: str = "order_month",
+    fill=("orders_count", "customers_count", "total_revenue"),
 ) -> DataFrame:
     """Calendar variant (G5): each key gets every month from its first month to
     the last month of the whole table; absent months get zeros.
 
-    The spine is built per key with ``sequence`` + ``explode``. The end of the
-    spine is one value: passed in, or read with a one-row aggregate (no join,
-    no cross product).
+    A row also stands for the absent months behind it, up to its key's next
+    row or the end of the table, and emits them with zeros. So the gaps
+    are filled by two windows over the small table and an ``explode``: no join, and no job
+    before the result is asked for.
     """
-    if last is None:
-        last = base.agg(F.max(month)).first()[0]
-    if last is None:  # empty input
-        return base
-    first = base.groupBy(key).agg(F.min(month).alias("_first"))
-    spine = month_spine(first, "_first", last, month)
-    dense = spine.join(base, [key, month], "left")
-    return dense.withColumns({c: F.coalesce(C(c), F.lit(0)).cast(dict(base.dtypes)[c]) for c in fill})
+    own = F.to_date(F.concat(C(month), F.lit("-01")))
+    of_key = Window.partitionBy(*keys).orderBy("_month")
+    whole = Window.partitionBy(F.lit(0))
+    until = F.coalesce(F.add_months(F.lead("_month").over(of_key), -1), F.max("_month").over(whole))
+    spans = base.withColumn("_month", own).withColumn("_until", until)
+    each = spans.withColumn("_at", F.explode(F.sequence("_month", "_until", F.expr("INTERVAL 1 MONTH"))))
+    types = dict(base.dtypes)
+    filled = {c: F.when(C("_at") == C("_month"), C(c)).otherwise(F.lit(0).cast(types[c])) for c in fill}
+    return each.withColumns(filled | {month: month_label(C("_at"))}).select(*base.columns)

@@ -60,19 +60,39 @@ union all select order_id, customer_id, order_date, '5', unit_price from v_order
     "v_orders_copies": """
 select * from v_orders
 union all select * from v_orders where order_id % 61 = 0""",
+    "v_batch_files": """
+select cast(v.order_id as string) order_id, cast(v.customer_id as string) customer_id, v.order_date, v.quantity,
+       v.unit_price, concat(strftime(date_trunc('quarter', cast(o_orderdate as date)), '%Y-%m-%d'), '-',
+                            lpad(cast(o_orderkey % 3 as string), 4, '0')) ingestion_date, o_orderkey row_key
+from v_orders v join orders on order_id = o_orderkey
+union all
+select cast(order_id as string), cast(customer_id as string), order_date, case when k = 0 then '7' else '0' end,
+       unit_price, case when k = 0 then '2002-01-01-0000' else '2002-01-02-0000' end, order_id
+from v_orders join orders on order_id = o_orderkey, range(2) t(k)
+where order_id % (71 * (k + 1)) = 0 and strftime(cast(o_orderdate as date), '%Y-%m') between '1995-01' and '1995-03'""",
+    "v_file_customers": """
+select cast(customer_id as string) customer_id, segment from v_customers""",
+    "v_file_customer_updates": """
+select cast(customer_id as string) customer_id,
+       case when customer_id % 34 = 0 then null when customer_id = 17 then 'MACHINERY' else segment end segment
+from v_customers where customer_id % 17 = 0""",
     "v_customer_updates": """
 select c_custkey customer_id, case when c_custkey % 34 = 0 then null else 'MACHINERY' end segment
 from customer where c_custkey % 17 = 0""",
 }
 
 VIEW_DEPS = {
+    "v_batch_files": ["v_orders"],
+    "v_file_customers": ["v_customers"],
+    "v_file_customer_updates": ["v_customers"],
     "v_order_batches": ["v_orders"],
     "v_orders_repeated": ["v_orders"],
     "v_orders_copies": ["v_orders"],
 }
 
 ORDER_VIEW = ["v_sales", "v_sales_lines", "v_products", "v_customers", "v_orders", "v_order_batches",
-              "v_orders_repeated", "v_orders_copies", "v_customer_updates"]
+              "v_orders_repeated", "v_orders_copies", "v_customer_updates", "v_batch_files", "v_file_customers",
+              "v_file_customer_updates"]
 
 
 def num(x: str) -> str:
@@ -193,10 +213,10 @@ def rollup(src: str, name: str = "rollup_rows") -> tuple[str, str]:
 
 
 # J6 flow pieces.
-def batch_state_sql(name: str, customers: str, cond: str) -> list[tuple[str, str]]:
+def batch_state_sql(name: str, customers: str, cond: str, batches: str = "v_order_batches") -> list[tuple[str, str]]:
     """Latest cleaned version per order of the batches matching ``cond``, with metrics."""
     return [
-        (f"{name}_j", join_customers_sql(f"(select * from v_order_batches where {cond})", customers,
+        (f"{name}_j", join_customers_sql(f"(select * from {batches} where {cond})", customers,
                                          ", o.ingestion_date, o.row_index")),
         (f"{name}_c", clean_orders_sql(f"{name}_j", ", ingestion_date, row_index")),
         (name, f"""
@@ -216,10 +236,17 @@ where rn = 1""")
 
 STATE_COLS = "order_id, customer_id, order_date, quantity, unit_price, segment, ingestion_date, revenue, order_month"
 
+FILE_ROWS = "(select *, row_key row_index from v_batch_files)"
+
 INCREMENTAL_STEPS = [
-    CUSTOMERS_NOW,
-    *batch_state_sql("prior", "v_customers", "ingestion_date < '2002-01-01'"),
-    *batch_state_sql("newv", "customers_now", "ingestion_date >= '2002-01-01'"),
+    ("customers_now", """
+select customer_id, segment from (
+  select *, row_number() over (partition by customer_id order by src desc) rn
+  from (select customer_id, segment, 0 src from v_file_customers
+        union all select customer_id, segment, 1 src from v_file_customer_updates))
+where rn = 1"""),
+    *batch_state_sql("prior", "v_file_customers", "ingestion_date < '2002-01-01'", FILE_ROWS),
+    *batch_state_sql("newv", "customers_now", "ingestion_date >= '2002-01-01'", FILE_ROWS),
     ("refreshed", """
 select s.order_id, s.customer_id, s.order_date, s.quantity, s.unit_price,
        coalesce(c.segment, s.segment) segment, s.ingestion_date, s.revenue, s.order_month,
@@ -231,6 +258,7 @@ select {STATE_COLS} from (
   from (select {STATE_COLS}, 0 is_new from refreshed union all select {STATE_COLS}, 1 is_new from newv))
 where rn = 1"""),
 ]
+INCREMENTAL_VIEWS = ["v_batch_files", "v_file_customers", "v_file_customer_updates"]
 
 
 ORACLE_SQL: dict[str, str] = {
@@ -420,32 +448,24 @@ where rn = 1"""),
 select s.order_id, s.customer_id, s.order_date, s.quantity, s.unit_price,
        coalesce(c.segment, s.segment) segment, s.ingestion_date, s.revenue, s.order_month
 from prior s left join customers_now c on s.customer_id is not distinct from c.customer_id"""),
-    "ingest_batches": build(["v_order_batches"], [("b", """
-select *, 'orders-' || ingestion_date || '.csv' file_name from v_order_batches"""), ("n", """
-select *, case when regexp_matches(file_name, '^orders-(\\d{4})-(\\d{2})-(\\d{2})-(\\d{4})\\.csv$')
-               then concat_ws('-', regexp_extract(file_name, '^orders-(\\d{4})-(\\d{2})-(\\d{2})-(\\d{4})\\.csv$', 1),
-                                   regexp_extract(file_name, '^orders-(\\d{4})-(\\d{2})-(\\d{2})-(\\d{4})\\.csv$', 2),
-                                   regexp_extract(file_name, '^orders-(\\d{4})-(\\d{2})-(\\d{2})-(\\d{4})\\.csv$', 3),
-                                   regexp_extract(file_name, '^orders-(\\d{4})-(\\d{2})-(\\d{2})-(\\d{4})\\.csv$', 4))
-          end version
-from b where regexp_matches(file_name, '^orders-.{4}-.{2}-.{2}-.{4}\\.csv$')""")], """
-select file_name, version ingestion_date, cast(substr(version, 1, 10) as date) batch_day,
-       cast(substr(version, 12, 4) as int) batch_seq, order_id, customer_id, order_date, quantity,
-       unit_price, row_index
-from n"""),
-    "raw_archive": build(["v_order_batches"], [("b", """
-select 'orders-' || ingestion_date || '.csv' file_name from v_order_batches""")], """
+    "ingest_batches": build(["v_batch_files"], [], """
+select 'orders-' || ingestion_date || '.csv' file_name, ingestion_date,
+       cast(substr(ingestion_date, 1, 10) as date) batch_day, cast(substr(ingestion_date, 12, 4) as int) batch_seq,
+       order_id, customer_id, order_date, quantity, unit_price,
+       row_number() over (partition by ingestion_date order by row_key) - 1 row_index
+from v_batch_files"""),
+    "raw_archive": build(["v_batch_files"], [("b", """
+select 'orders-' || ingestion_date || '.csv' file_name from v_batch_files""")], """
 select file_name, array_to_string(string_split(file_name, '-')[2:4], '/') archive_dir,
        array_to_string(string_split(file_name, '-')[2:4], '/') || '/' || file_name archive_path,
-       count(*) row_count
+       true by_name, count(*) row_count
 from b group by file_name"""),
-    "affected_months": build(["v_order_batches", "v_customers", "v_customer_updates"], INCREMENTAL_STEPS, """
+    "affected_months": build(INCREMENTAL_VIEWS, INCREMENTAL_STEPS, """
 select order_month from newv
 union
 select order_month from prior where order_id in (select order_id from newv)
 union
 select order_month from refreshed where changed"""),
-    "incremental_report": build(["v_order_batches", "v_customers", "v_customer_updates"],
-                                INCREMENTAL_STEPS + [rollup("state")],
+    "incremental_report": build(INCREMENTAL_VIEWS, INCREMENTAL_STEPS + [rollup("state")],
                                 WINDOWS_SELECT.format(src="rollup_rows")),
 }

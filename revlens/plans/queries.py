@@ -23,14 +23,11 @@ from revlens.operators.enrich import (
     left_join,
     refresh_segment,
 )
-from revlens.operators.incremental import merge_report_rows, refresh_segment_tracked
 from revlens.operators.pivot import pivot_sum, pivot_with_totals
 from revlens.operators.report import (
     add_order_metrics,
-    finish_report,
-    month_segment_rollup,
     monthly_report_additive,
-    dense_report_from_rows,
+    monthly_report_dense,
     monthly_segment_report,
     printable_order,
     printable_report,
@@ -43,9 +40,9 @@ from revlens.operators.versions import (
     upsert,
 )
 from revlens.operators.windows import add_running_metrics
-from revlens.session import materialize
 from revlens.sources import views as V
-from revlens.sources.files import archive_dir, batch_day, batch_seq, batch_version, matches_glob
+from revlens.plans import file_flow
+from revlens.sources.files import archive_dir, batch_day, batch_seq, with_row_index
 from revlens.sources.tables import Tables
 
 C = F.col
@@ -87,11 +84,19 @@ def sales_lines_revenue(t: Tables) -> DataFrame:
     return clean_sales_lines(lines).withColumn("revenue", C("quantity") * C("unit_price"))
 
 
+FILE_ORDER = "_file_order"
+
+
+def in_file_order(orders: DataFrame) -> DataFrame:
+    """Adds the order of rows as scanned (A5), before anything moves them."""
+    return orders.withColumn(FILE_ORDER, F.monotonically_increasing_id())
+
+
 def orders_enriched(t: Tables, orders: DataFrame | None = None) -> DataFrame:
     """Validated customer join, cleaning, strict de-duplication, metrics."""
     orders = V.v_orders(t) if orders is None else orders
-    joined = join_customers(orders, V.v_customers(t))
-    return add_order_metrics(dedup_strict(clean_orders(joined)))
+    joined = join_customers(in_file_order(orders), V.v_customers(t))
+    return add_order_metrics(dedup_strict(clean_orders(joined), FILE_ORDER))
 
 
 def batch_versions(t: Tables, customers: DataFrame, new: bool | None = None) -> DataFrame:
@@ -108,86 +113,6 @@ def batch_versions(t: Tables, customers: DataFrame, new: bool | None = None) ->
     return add_order_metrics(latest_order_version(cleaned)).select(*STATE_COLUMNS)
 
 
-def incremental_run(t: Tables):
-    """J6 run in batch form: customer upsert, state refresh, new versions,
-    upsert. Returns (prior state, refreshed state, new versions, new state).
-
-    Operator-by-operator form (H3, H4, D4); :func:`run_versions` computes
-    the same result with one aggregation."""
-    customers = V.v_customers(t)
-    prior = batch_versions(t, customers, new=False)
-    customers_now = customer_upsert(customers, V.v_customer_updates(t))
-    refreshed = refresh_segment_tracked(prior, customers_now)
-    new_versions = batch_versions(t, customers_now, new=True)
-    state = upsert(refreshed.drop("_changed"), new_versions)
-    return prior, refreshed, new_versions, state
-
-
-def run_versions(t: Tables) -> DataFrame:
-    """One row per order with its prior version, its new version and the
-    version the run keeps, from a single scan, join and aggregation.
-
-    Every batch row is joined once to both the customer table the state was
-    built with and the upserted one; old rows are cleaned with the old
-    segment, new rows with the current one. One ``groupBy(order_id)`` then
-    takes the latest old row and the latest new row (``max_by`` ignores rows
-    whose ordering key is NULL, so a conditional key selects the subset).
-    The kept version is the newer of the two (the new one at equal
-    version); a kept old version gets its customer's current segment
-    (non-missing wins), which is the segment refresh of the run.
-    """
-    customers = guarded_unique(V.v_customers(t), "customer_id", "customers")
-    customers_now = customer_upsert(V.v_customers(t), V.v_customer_updates(t))
-    segments = left_join(
-        customers_now.select("customer_id", C("segment").alias("segment_now")),
-        customers.select("customer_id", C("segment").alias("segment_old")),
-        "customer_id",
-    )
-    batches = V.v_order_batches(t).withColumn("is_new", C("ingestion_date") >= F.lit(NEW_BATCHES_FROM))
-    joined = left_join(batches, guarded_unique(segments, "customer_id", "customers"), "customer_id")
-    joined = joined.withColumn("segment", F.when(C("is_new"), C("segment_now")).otherwise(C("segment_old")))
-    rows = add_order_metrics(clean_orders(joined))
-    version = F.struct("ingestion_date", "row_index")
-    payload = F.struct(*STATE_COLUMNS, "segment_now")
-    versions = rows.groupBy("order_id").agg(
-        F.max_by(payload, F.when(~C("is_new"), version)).alias("prior"),
-        F.max_by(payload, F.when(C("is_new"), version)).alias("newv"),
-    )
-    new_wins = C("newv").isNotNull() & (
-        C("prior").isNull() | (C("newv.ingestion_date") >= C("prior.ingestion_date"))
-    )
-    refreshed_segment = F.coalesce(C("prior.segment_now"), C("prior.segment"))
-    kept = F.when(new_wins, C("newv")).otherwise(C("prior").withField("segment", refreshed_segment))
-    changed = C("prior").isNotNull() & ~refreshed_segment.eqNullSafe(C("prior.segment"))
-    return versions.select("order_id", "prior", "newv", kept.alias("kept"), changed.alias("segment_changed"))
-
-
-def run_touched_months(versions: DataFrame) -> DataFrame:
-    """K3 over :func:`run_versions`: months of new versions, of the versions
-    they replace and of old versions whose segment the refresh changed."""
-    has_new = C("newv").isNotNull()
-    months = F.array(
-        F.when(has_new, C("newv.order_month")),
-        F.when(has_new, C("prior.order_month")),
-        F.when(C("segment_changed"), C("prior.order_month")),
-    )
-    return (
-        versions.select(F.explode(months).alias("order_month"))
-        .where(C("order_month").isNotNull())
-        .distinct()
-    )
-
-
-def _version_rows(versions: DataFrame, which: str) -> DataFrame:
-    return versions.where(C(which).isNotNull()).select(*[C(f"{which}.{c}").alias(c) for c in STATE_COLUMNS])
-
-
-def file_batches(t: Tables) -> DataFrame:
-    """Batch rows with the file name their version stands for."""
-    b = V.v_order_batches(t)
-    return b.withColumn("file_name", F.concat(F.lit("orders-"), C("ingestion_date"), F.lit(".csv")))
-
-
 # ---------------------------------------------------------------- queries
 
 
@@ -294,7 +219,8 @@ def q_order_conflicts(spark, sf_dir):
 def q_dedup_identical_orders(spark, sf_dir):
     """H1 + B9: strict de-duplication of exact repeats."""
     t = Tables(spark, sf_dir)
-    return dedup_strict(clean_orders(join_customers(V.v_orders_copies(t), V.v_customers(t))))
+    copies = join_customers(in_file_order(V.v_orders_copies(t)), V.v_customers(t))
+    return dedup_strict(clean_orders(copies), FILE_ORDER)
 
 
 def q_monthly_segment_base(spark, sf_dir):
@@ -320,12 +246,8 @@ def q_monthly_report_additive(spark, sf_dir):
 
 
 def q_monthly_segment_dense(spark, sf_dir):
-    """Calendar months with zeros.
-
-    The month x segment rows feed the spine (first and last month) and the
-    fill join; they are written once to the shared checkpoint folder."""
-    rows = materialize(month_segment_rollup(orders_enriched(Tables(spark, sf_dir))), "month_segment_rows")
-    return dense_report_from_rows(rows)
+    """Calendar months with zeros."""
+    return monthly_report_dense(orders_enriched(Tables(spark, sf_dir)))
 
 
 def q_monthly_report_printable(spark, sf_dir):
@@ -362,12 +284,12 @@ def q_scd1_segment_refresh(spark, sf_dir):
 
 
 def q_ingest_batches(spark, sf_dir):
-    """A3 + A4 + A5: batch rows with name check, version and ordinal."""
-    b = file_batches(Tables(spark, sf_dir)).where(matches_glob(C("file_name")))
-    version = batch_version(C("file_name"))
-    return b.select(
+    """A1 + A3-A6: rows of the batch files, with name parts and row number."""
+    rows = with_row_index(file_flow.batch_rows(spark, sf_dir))
+    version = C("ingestion_date")
+    return rows.select(
         "file_name",
-        version.alias("ingestion_date"),
+        "ingestion_date",
         batch_day(version).alias("batch_day"),
         batch_seq(version).alias("batch_seq"),
         "order_id",
@@ -380,34 +302,30 @@ def q_ingest_batches(spark, sf_dir):
 
 
 def q_raw_archive(spark, sf_dir):
-    """A9 + C9: dated archive folder and row count per batch file."""
-    b = file_batches(Tables(spark, sf_dir))
-    per_file = b.groupBy("file_name").agg(F.count(F.lit(1)).alias("row_count"))
-    folder = archive_dir(C("file_name"))
-    return per_file.select(
+    """A9 + C9: the job's archive, its dated folder and row count per batch file."""
+    rows = file_flow.archived_files(spark, sf_dir)
+    dated = F.regexp_extract("path", r"/year=(\d+)/month=(\d+)/day=(\d+)/", 0)
+    folder = F.array_join(F.regexp_extract_all(dated, F.lit(r"=(\d+)"), F.lit(1)), "/")
+    per_file = rows.select("file_name", folder.alias("archive_dir")).groupBy("file_name", "archive_dir")
+    return per_file.agg(F.count(F.lit(1)).alias("row_count")).select(
         "file_name",
-        folder.alias("archive_dir"),
-        F.concat_ws("/", folder, C("file_name")).alias("archive_path"),
+        "archive_dir",
+        F.concat_ws("/", "archive_dir", "file_name").alias("archive_path"),
+        (archive_dir(C("file_name")) == C("archive_dir")).alias("by_name"),
         "row_count",
     )
 
 
 def q_affected_months(spark, sf_dir):
-    """K3 + HP-5: months the run must recompute."""
-    return run_touched_months(run_versions(Tables(spark, sf_dir)))
+    """K3 + HP-5: months the job's next batch must recompute."""
+    months = [(m,) for m in file_flow.touched_months(spark, sf_dir)]
+    return spark.createDataFrame(months, "order_month string")
 
 
 def q_incremental_report(spark, sf_dir):
-    """K1-K7 in batch form: prior report rows + touched months recomputed,
-    windows rerun; equals a full rebuild over the new state.
-
-    The per-order version table feeds three branches that each prune it
-    differently, so it is written once as a table in the shared
-    ``spark.checkpoint.dir`` and read back (this also cuts its lineage)."""
-    versions = materialize(run_versions(Tables(spark, sf_dir)), "order_versions")
-    prior_rows = month_segment_rollup(_version_rows(versions, "prior"))
-    touched = run_touched_months(versions)
-    return finish_report(merge_report_rows(prior_rows, _version_rows(versions, "kept"), touched))
+    """K1-K7: the job's report after a batch of corrections and a customer
+    update over the state of the regular files; equals a full rebuild."""
+    return file_flow.incremental_report(spark, sf_dir)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {

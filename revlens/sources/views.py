@@ -118,42 +118,83 @@ def v_orders(t: Tables) -> DataFrame:
     return t.orders.select(*_orders_text_columns())
 
 
+def _with_copies(rows: DataFrame, copies: list[tuple[F.Column, dict]], names: list[str]) -> DataFrame:
+    """Each row and, where a condition holds, a copy of it with other values:
+    one scan, whatever the number of copies."""
+    whole = F.struct(*[C(c) for c in names])
+    others = [F.when(cond, F.struct(*[v.get(c, C(c)).alias(c) for c in names])) for cond, v in copies]
+    return rows.select(F.explode(F.array_compact(F.array(whole, *others))).alias("_r")).select("_r.*")
+
+
 def v_order_batches(t: Tables) -> DataFrame:
     """J6 order batches: every order in a batch named by its order date, plus
-    two later correction batches (one valid, one invalid).
-
-    The batch name comes from the same scan as the order text (no self-join).
-    """
+    two later correction batches (one valid, one invalid)."""
     batch = F.concat(
         C("o_orderdate").cast("date").cast("string"), F.lit("-"), F.lpad((C("o_orderkey") % 3).cast("string"), 4, "0")
     )
-    regular = t.orders.select(
+    rows = t.orders.select(
         *_orders_text_columns(), batch.alias("ingestion_date"), C("o_orderkey").alias("row_index")
     )
-    base = v_orders(t)
-    fixes = base.where(C("order_id") % 71 == 0).select(
-        "order_id", "customer_id", "order_date", F.lit("7").alias("quantity"), "unit_price",
-        F.lit("2002-01-01-0000").alias("ingestion_date"), C("order_id").alias("row_index"),
+    copies = [
+        (C("order_id") % 71 == 0, {"quantity": F.lit("7"), "ingestion_date": F.lit("2002-01-01-0000")}),
+        (C("order_id") % 142 == 0, {"quantity": F.lit("0"), "ingestion_date": F.lit("2002-01-02-0000")}),
+    ]
+    return _with_copies(rows, copies, rows.columns)
+
+
+# Fixed values of the batch-file fixture: corrections come from this version
+# on and concern orders of these months.
+CORRECTIONS_FROM = "2002-01-01"
+CORRECTED_MONTHS = ("1995-01", "1995-03")
+
+
+def v_batch_files(t: Tables) -> DataFrame:
+    """Order batches as they are written to files: text columns, one version
+    per quarter and sequence number, plus two correction batches of a few months."""
+    date = C("o_orderdate").cast("date")
+    month = F.date_format(date, "yyyy-MM")
+    quarter = F.date_format(F.trunc(date, "quarter"), "yyyy-MM-dd")
+    version = F.concat(quarter, F.lit("-"), F.lpad((C("o_orderkey") % 3).cast("string"), 4, "0"))
+    rows = t.orders.select(
+        *[c.cast("string") for c in _orders_text_columns()],
+        version.alias("ingestion_date"),
+        C("o_orderkey").alias("row_key"),
+        month.between(*CORRECTED_MONTHS).alias("_in"),
     )
-    bad_fixes = base.where(C("order_id") % 142 == 0).select(
-        "order_id", "customer_id", "order_date", F.lit("0").alias("quantity"), "unit_price",
-        F.lit("2002-01-02-0000").alias("ingestion_date"), C("order_id").alias("row_index"),
+    copies = [
+        (C("_in") & (C("row_key") % 71 == 0), {"quantity": F.lit("7"), "ingestion_date": F.lit("2002-01-01-0000")}),
+        (C("_in") & (C("row_key") % 142 == 0), {"quantity": F.lit("0"), "ingestion_date": F.lit("2002-01-02-0000")}),
+    ]
+    return _with_copies(rows, copies, [c for c in rows.columns if c != "_in"])
+
+
+def v_file_customers(t: Tables) -> DataFrame:
+    return v_customers(t).withColumn("customer_id", C("customer_id").cast("string"))
+
+
+def v_file_customer_updates(t: Tables) -> DataFrame:
+    """Customer update file: every 17th customer, blank or as before, but for
+    one whose segment changes."""
+    c = v_customers(t).where(C("customer_id") % 17 == 0)
+    segment = (
+        F.when(C("customer_id") % 34 == 0, F.lit(None).cast("string"))
+        .when(C("customer_id") == 17, F.lit("MACHINERY"))
+        .otherwise(C("segment"))
     )
-    return regular.unionByName(fixes).unionByName(bad_fixes)
+    return c.select(C("customer_id").cast("string").alias("customer_id"), segment.alias("segment"))
 
 
 def v_orders_repeated(t: Tables) -> DataFrame:
     """J5 orders with exact repeats and repeats that differ in quantity."""
-    base = v_orders(t)
-    same = base.where(C("order_id") % 61 == 0)
-    other = base.where(C("order_id") % 67 == 0).withColumn("quantity", F.lit("5"))
-    return base.unionByName(same).unionByName(other)
+    rows = v_orders(t)
+    return _with_copies(rows, [(C("order_id") % 61 == 0, {}), (C("order_id") % 67 == 0, {"quantity": F.lit("5")})],
+                        rows.columns)
 
 
 def v_orders_copies(t: Tables) -> DataFrame:
     """J5 orders with exact repeats only (the strict de-duplication passes)."""
-    base = v_orders(t)
-    return base.unionByName(base.where(C("order_id") % 61 == 0))
+    rows = v_orders(t)
+    return _with_copies(rows, [(C("order_id") % 61 == 0, {})], rows.columns)
 
 
 def v_customer_updates(t: Tables) -> DataFrame:

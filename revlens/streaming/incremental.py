@@ -33,6 +33,7 @@ import logging
 import time
 from contextlib import contextmanager
 from dataclasses import dataclass
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -203,6 +204,16 @@ def _unmatched(df: DataFrame, other: DataFrame, columns: list[str]) -> DataFrame
     return df.join(keys, on, "left_anti")
 
 
+class BatchPlan(NamedTuple):
+    """New versions, what the index knew of their orders, orders whose customer
+    moves them to another segment (None if no customer changed), touched months."""
+
+    new: DataFrame
+    known: DataFrame
+    refreshed: DataFrame | None
+    touched: list[str]
+
+
 class IncrementalReport:
     """The incremental job over one :class:`Layout`.
 
@@ -212,7 +223,7 @@ class IncrementalReport:
     """
 
     def __init__(self, spark: SparkSession, layout: Layout, publish_csv: bool = True,
-                 clear_segment: bool = False, max_files_per_trigger: int = 1000, index_buckets: int = 64,
+                 clear_segment: bool = False, max_files_per_trigger: int = 1000, index_buckets: int = 16,
                  lenient_dates: bool = False):
         self.spark = spark
         self.max_files_per_trigger = max_files_per_trigger
@@ -284,6 +295,20 @@ class IncrementalReport:
         applied = self._applied_in(update)
         return update if applied is None or applied >= batch_id else None
 
+    def _seen_path(self, version: int) -> str:
+        return f"{self.layout.customers_seen}/_csv/{version}.json"
+
+    def _note_seen(self, csv: hadoop_fs.Entry | None, batch_id: int) -> None:
+        """Change time and length of ``customers.csv`` as a batch found it."""
+        note = [csv.modified, csv.length] if csv else None
+        hadoop_fs.write_text(self.spark, self._seen_path(batch_id), json.dumps(note))
+
+    def _seen_before(self, batch_id: int) -> list[int] | None:
+        version = self.customers_seen.latest_version(before=batch_id)
+        if version is None or not hadoop_fs.exists(self.spark, self._seen_path(version)):
+            return None
+        return json.loads(hadoop_fs.read_text(self.spark, self._seen_path(version)))
+
     def _refresh_customers(self, batch_id: int) -> tuple[DataFrame, DataFrame | None]:
         """(customer table, customers whose segment changed since the last
         batch, None for none). The first batch has no earlier table to compare
@@ -293,10 +318,12 @@ class IncrementalReport:
         edited as well, the later change is applied last."""
         update = self._pending_update(batch_id)
         edit = hadoop_fs.stat(self.spark, self.layout.customers_csv)
-        csv = self._csv(self.layout.customers_csv)
+        as_before = edit is not None and self._seen_before(batch_id) == [edit.modified, edit.length]
+        csv = None if as_before else self._csv(self.layout.customers_csv)
         before = self.customers.read(before=batch_id) if self.customers.exists(batch_id) else None
         seen = self.customers_seen.read(before=batch_id) if self.customers_seen.exists(batch_id) else None
         edited = None
+        self._note_seen(edit, batch_id)
         if before is not None and seen is not None and csv is not None:
             rows = _unmatched(csv, seen, CUSTOMER_COLUMNS).unionByName(_unmatched(seen, csv, CUSTOMER_COLUMNS))
             edited = None if rows.isEmpty() else rows
@@ -341,11 +368,10 @@ class IncrementalReport:
         """Hash bucket of an order; NULL ids have one as well."""
         return F.pmod(F.xxhash64(order_id), F.lit(self.index_buckets)).cast("string")
 
-    def index_of(self, new: DataFrame, batch_id: int) -> DataFrame:
+    def index_of(self, new: DataFrame, buckets: list[str], batch_id: int) -> DataFrame:
         """(order_id, order_month, ingestion_date) that the batch's orders had
-        before it. Reads the buckets that these orders fall in, of which there are
+        before it. Reads the ``buckets`` that these orders fall in, of which there are
         at most ``index_buckets``."""
-        buckets = [r[0] for r in new.select(self._bucket(C("order_id"))).distinct().collect()]
         known = _having(self.index.read(before=batch_id, parts=buckets), new, "order_id")
         latest = F.max_by(F.struct("order_month", "ingestion_date"), "version").alias("at")
         return known.groupBy("order_id").agg(latest).select("order_id", "at.*")
@@ -369,40 +395,50 @@ class IncrementalReport:
                 read_files(self.spark, bad).drop("line", "file_path").write.mode("overwrite").parquet(
                     f"{self.layout.quarantine}/batch={batch_id}"
                 )
-        with self._step("customers", batch_id):
-            customers, changed = self._refresh_customers(batch_id)
-        with self._step("new versions", batch_id):
-            new = self._new_versions(raw, customers, batch_id)
-        with self._step("touched months", batch_id):
-            known = self.index_of(new, batch_id)
-            refreshed = None if changed is None else self._refreshed(changed, batch_id)
-            touched = self.touched_months(new, known, refreshed)
+        plan = self.plan_batch(raw, batch_id)
         with self._step("state", batch_id):
-            self._write_state(new, refreshed, touched, batch_id)
+            self._write_state(plan.new, plan.refreshed, plan.touched, batch_id)
         with self._step("index", batch_id):
-            self._write_index(new, known, batch_id)
+            self._write_index(plan.new, plan.known, batch_id)
         with self._step("report", batch_id):
-            self._write_report(touched, batch_id)
+            self._write_report(plan.touched, batch_id)
         with self._step("publish", batch_id):
             if self.publish_csv:
                 self._publish(batch_id)
         with self._step("archive", batch_id):
-            self._archive(raw, batch_id)
+            self.archive(raw, batch_id)
         with self._step("clean up", batch_id):
             for table in self.tables:
                 table.drop_superseded()
 
-    def _new_versions(self, raw: DataFrame, customers: DataFrame, batch_id: int) -> DataFrame:
+    def plan_batch(self, raw: DataFrame, batch_id: int) -> BatchPlan:
+        """What a batch of raw rows changes: customers are taken over, new
+        versions written to the work folder, touched months found."""
+        with self._step("customers", batch_id):
+            customers, changed = self._refresh_customers(batch_id)
+        with self._step("new versions", batch_id):
+            new, counts = self._new_versions(raw, customers, batch_id)
+        with self._step("touched months", batch_id):
+            known = self.index_of(new, counts.values("buckets"), batch_id)
+            refreshed = None if changed is None else self._refreshed(changed, batch_id)
+            touched = self.touched_months(counts.values("months"), known, refreshed, batch_id)
+        return BatchPlan(new, known, refreshed, touched)
+
+    def _new_versions(
+        self, raw: DataFrame, customers: DataFrame, batch_id: int
+    ) -> tuple[DataFrame, QualityCounts]:
         """Latest version of each order of the batch (H2), with the counters of
-        its cleaning (L1) taken from the same pass."""
+        its cleaning (L1), its months and index buckets taken from the same pass."""
         typed = typed_orders(join_customers(raw.drop("file_name", "file_path"), customers), self.lenient_dates)
         counts = QualityCounts(typed)
         latest = latest_by(clean_orders(counts.observed, typed=True), "order_id", ["ingestion_date", "line"]).drop("line")
         path = f"{self.layout.work}/new-{batch_id}"
-        out = counts.observe_rows_out(add_order_metrics(latest).select(*STATE_COLUMNS))
+        out = counts.observe_rows_out(
+            add_order_metrics(latest).select(*STATE_COLUMNS), months=C("order_month"), buckets=self._bucket(C("order_id"))
+        )
         out.write.mode("overwrite").parquet(path)
         hadoop_fs.write_text(self.spark, f"{self.layout.metrics}/{batch_id}.json", json.dumps(counts.result()))
-        return self.spark.read.schema(STATE_SCHEMA).parquet(path)
+        return self.spark.read.schema(STATE_SCHEMA).parquet(path), counts
 
     def _refreshed(self, changed: DataFrame, batch_id: int) -> DataFrame:
         """Orders of the state whose customer's new segment changes them."""
@@ -416,12 +452,18 @@ class IncrementalReport:
             segment = F.coalesce(C("_new_segment"), C("segment"))
         return hit.withColumn("_segment", segment).where(~C("_segment").eqNullSafe(C("segment")))
 
-    def touched_months(self, new: DataFrame, known: DataFrame, refreshed: DataFrame | None) -> list[str]:
-        """Months whose report rows can change (K3); one entry per calendar month at most."""
-        months = new.select("order_month").unionByName(known.select("order_month"))
+    def touched_months(
+        self, months: list[str], known: DataFrame, refreshed: DataFrame | None, batch_id: int
+    ) -> list[str]:
+        """Months whose report rows can change (K3): those of the new versions
+        and of the ones they replace, and of refreshed orders. One entry per
+        calendar month at most."""
+        if not self.state.paths(before=batch_id):
+            return months
+        others = known.select("order_month")
         if refreshed is not None:
-            months = months.unionByName(refreshed.select("order_month"))
-        return sorted(r[0] for r in months.distinct().collect())
+            others = others.unionByName(refreshed.select("order_month"))
+        return sorted({r[0] for r in others.distinct().collect()}.union(months))
 
     def _write_state(self, new: DataFrame, refreshed: DataFrame | None, touched: list[str], batch_id: int) -> None:
         """Upsert of the touched months (H3); only their folders are read and written."""
@@ -473,7 +515,7 @@ class IncrementalReport:
         hadoop_fs.replace(spark, f"{aside}/{part}", f"{folder}/{REPORT_FILE}")
         hadoop_fs.delete(spark, aside)
 
-    def _archive(self, raw: DataFrame, batch_id: int) -> None:
+    def archive(self, raw: DataFrame, batch_id: int) -> None:
         """Raw rows by batch day (A9): ``<archive>/batch=<id>/year=/month=/day=``,
         file name kept as a column. A replayed batch overwrites only its own
         folder. The rebalance hint lets Spark split a large day over tasks and

@@ -13,6 +13,10 @@ from revlens.operators.enrich import join_customers, join_products, refresh_segm
 from revlens.operators.pivot import pivot_sum
 from revlens.operators.report import REPORT_ORDER, add_order_metrics, monthly_segment_report
 from revlens.operators.versions import customer_upsert, dedup_strict, latest_order_version, order_conflicts, upsert
+from revlens.operators.aggregate import month_segment_base
+from revlens.operators.report import month_segment_rollup
+from revlens.operators.windows import dense_months
+from revlens.plans.queries import FILE_ORDER, in_file_order
 from revlens.sources.csv import MissingColumnsError, require_columns, scan_csv
 from revlens.sources.files import archive_dir, batch_version, read_batches
 
@@ -106,10 +110,46 @@ def _orders(spark, rows):
 
 def test_same_id_same_and_other_data(spark):
     same = _orders(spark, [("o1", "c", "2024-01-01", "1", "5", "S"), ("o1", "c", "2024-01-01", "1", "5", "S")])
-    assert dedup_strict(clean_orders(same)).count() == 1
+    assert dedup_strict(clean_orders(in_file_order(same)), FILE_ORDER).count() == 1
     other = _orders(spark, [("o1", "c", "2024-01-01", "1", "5", "S"), ("o1", "c", "2024-01-01", "2", "5", "S")])
-    with pytest.raises(PySparkException, match="duplicate order_id with different data: o1"):
-        dedup_strict(clean_orders(other)).collect()
+    with pytest.raises(PySparkException, match="Rows of one id differ: o1"):
+        dedup_strict(clean_orders(in_file_order(other)), FILE_ORDER).collect()
+
+
+def test_first_row_of_an_id_survives_whole(spark):
+    rows = spark.createDataFrame([("1", None, 5.0), ("1", "c", 5.0), (None, "x", 1.0), (None, "y", 2.0)],
+                                 "order_id string, customer_id string, unit_price double").coalesce(1)
+    got = sorted(map(str, (tuple(r) for r in dedup_strict(in_file_order(rows), FILE_ORDER).collect())))
+    assert got == ["('1', None, 5.0)", "(None, 'x', 1.0)"]
+
+
+def test_missing_keys_form_no_group_and_missing_revenue_is_zero(spark):
+    rows = [("1", "c1", None, 5.0, "2024-01"), ("2", "c1", "A", None, "2024-01"), ("3", "c2", "A", None, "2024-01"),
+            ("4", None, "B", 7.0, "2024-01"), ("5", "c3", "B", 1.0, None)]
+    df = spark.createDataFrame(rows, "order_id string, customer_id string, segment string, revenue double, order_month string")
+    got = {(r["order_month"], r["segment"], r["is_total"]): tuple(r)[2:5] for r in month_segment_rollup(df).collect()}
+    assert got == {
+        ("2024-01", "A", False): (2, 2, 0.0),
+        ("2024-01", "B", False): (1, 0, 7.0),
+        ("2024-01", "ALL", True): (4, 2, 12.0),
+    }
+    base = {(r["order_month"], r["segment"]): tuple(r)[2:5] for r in month_segment_base(df).collect()}
+    assert base == {k[:2]: v for k, v in got.items() if not k[2]}
+
+
+def test_calendar_fill_runs_no_job_and_fills_to_the_last_month(spark):
+    rows = [("2023-11", "A", 1, 1, 3.0, False), ("2024-02", "A", 2, 1, 6.0, False), ("2023-12", "B", 1, 1, 9.0, False)]
+    df = spark.createDataFrame(rows, "order_month string, segment string, orders_count long, customers_count long, "
+                                     "total_revenue double, is_total boolean")
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("dense", "dense")
+    dense = dense_months(df, ("is_total", "segment"))
+    assert tracker.getJobIdsForGroup("dense") == []
+    spark.sparkContext.setJobGroup("other", "other")
+    got = sorted((r["segment"], r["order_month"], r["orders_count"], r["total_revenue"]) for r in dense.collect())
+    assert got == [("A", "2023-11", 1, 3.0), ("A", "2023-12", 0, 0.0), ("A", "2024-01", 0, 0.0), ("A", "2024-02", 2, 6.0),
+                   ("B", "2023-12", 1, 9.0), ("B", "2024-01", 0, 0.0), ("B", "2024-02", 0, 0.0)]
+    assert dense_months(df.where("false")).count() == 0
 
 
 def test_conflict_with_missing_values(spark):

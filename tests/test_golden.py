@@ -14,6 +14,7 @@ from revlens.operators.report import (
     monthly_segment_report,
 )
 from revlens.operators.versions import dedup_strict, latest_order_version
+from revlens.plans.queries import FILE_ORDER, in_file_order
 from revlens.sources.csv import scan_csv
 from revlens.sources.files import read_batches
 
@@ -97,7 +98,7 @@ def test_j4_pivot_with_totals(spark, write_csv_file):
 def _j5_enriched(spark, write_csv_file):
     orders = scan_csv(spark, write_csv_file("orders.csv", ORDERS_MONTHLY))
     customers = scan_csv(spark, write_csv_file("customers.csv", CUSTOMERS_MONTHLY))
-    return add_order_metrics(dedup_strict(clean_orders(join_customers(orders, customers))))
+    return add_order_metrics(dedup_strict(clean_orders(join_customers(in_file_order(orders), customers)), FILE_ORDER))
 
 
 @pytest.mark.parametrize("builder", [monthly_report_additive, monthly_segment_report])

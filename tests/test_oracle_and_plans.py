@@ -73,3 +73,32 @@ def test_monthly_report_uses_partial_aggregation(spark):
     plan = _plan(E.queries()["monthly_segment_report"](spark, SF))
     assert "partial_count" in plan and "Expand" in plan  # one grouping-sets pass, map-side combine
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
+
+
+@pytest.mark.parametrize("name", ["coerce_numeric", "clean_sales_lines", "line_profit", "profit_report"])
+def test_number_parse_has_no_regex(spark, name):
+    # the optimizer copies a parse into the filter above it, so it must stay cheap
+    assert "RLIKE" not in _plan(E.queries()[name](spark, SF))
+
+
+def test_guarded_dimension_is_shuffled_once(spark):
+    """The join takes over the guard's partitioning: one exchange per side."""
+    keep = {k: spark.conf.get(k) for k in (
+        "spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")}
+    for k in keep:
+        spark.conf.set(k, "-1")
+    try:
+        df = E.queries()["enrich_orders"](spark, SF)
+        df.collect()
+        final = _plan(df).partition("== Initial Plan ==")[0]
+    finally:
+        for k, v in keep.items():
+            spark.conf.set(k, v)
+    assert "SortMergeJoin" in final and final.count("Exchange hashpartitioning") == 2
+
+
+def test_rollup_expands_customers_not_orders(spark):
+    plan = _plan(E.queries()["monthly_segment_report"](spark, SF))
+    below = plan[plan.index("Expand"):]
+    # under the expand there is the aggregate by month, segment and customer
+    assert "HashAggregate(keys=[order_month" in below.split("\n", 4)[1] + below.split("\n", 4)[2]

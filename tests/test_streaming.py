@@ -254,7 +254,8 @@ def test_index_reads_only_the_buckets_a_batch_hits(spark, tmp_path):
     _file(layout, "orders-2024-03-01-0000.csv", "7,1,2024-03-02,1,10\n999,1,2024-03-02,1,10\n")
     job.run()
     new = spark.createDataFrame([("7", "2024-03"), ("7", "2024-03")], "order_id string, order_month string")
-    hit = job.index_of(new, 2)
+    bucket = [r[0] for r in new.select(job._bucket(new["order_id"])).collect()][:1]
+    hit = job.index_of(new, bucket, 2)
     assert {tuple(r)[:2] for r in hit.collect()} == {("7", "2024-03")}
     buckets = {p.split("snapshot_part=")[1].split("/")[0] for p in hit.inputFiles()}
     assert len(buckets) == 1  # of sixteen
@@ -263,7 +264,9 @@ def test_index_reads_only_the_buckets_a_batch_hits(spark, tmp_path):
     job.run()
     state = {r["order_id"]: r["order_month"] for r in job.current_state().collect()}
     assert state["9"] == "2024-01" and state["7"] == "2024-03" and len(state) == 201
-    assert {r["order_month"] for r in job.index_of(new.limit(1).selectExpr("'9' order_id"), 3).collect()} == {"2024-01"}
+    nine = new.limit(1).selectExpr("'9' order_id")
+    bucket = [r[0] for r in nine.select(job._bucket(nine["order_id"])).collect()]
+    assert {r["order_month"] for r in job.index_of(nine, bucket, 3).collect()} == {"2024-01"}
 
 
 def test_counters_of_a_batch_equal_the_counting_query(spark, tmp_path):
