@@ -37,6 +37,7 @@ ignored.
 from __future__ import annotations
 
 import struct
+import re
 import sys
 import types
 import zlib
@@ -80,8 +81,8 @@ class Tokens:
     of pieces and words met before are remembered and only new words go to the
     library. The memory has two generations of ``CACHE_PIECES``: a full young
     one becomes the old one, and what is met again moves back, so frequent
-    words outlast any number of rare ones. Special-token strings in a text are
-    ordinary text.
+    words outlast any number of rare ones. A special token's string in a text is
+    that token, as the library has it, and ends the stretches beside it.
     """
 
     TAIL = ".,;:!?*$%&#|\"()"
@@ -90,7 +91,9 @@ class Tokens:
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(path)
-        self.library.encode_special_tokens = True
+        added = self.library.get_added_tokens_decoder()
+        self.special = {t.content: array("H", [i]).tobytes() for i, t in added.items()}
+        self.cut = re.compile("|".join(f"({re.escape(s)})" for s in self.special) or r"(?!)")
         self.model = self.library.model
         self.known: dict[str, bytes] = {}
         self.known_before: dict[str, bytes] = {}
@@ -152,6 +155,13 @@ class Tokens:
 
     def encode(self, text: str) -> np.ndarray:
         """Ids (uint16) of a whole text."""
+        if any(s in text for s in self.special):
+            parts = [x for x in self.cut.split(text) if x]
+            return np.frombuffer(b"".join([self.special.get(x) or self.stretch(x) for x in parts]), np.uint16)
+        return np.frombuffer(self.stretch(text), np.uint16)
+
+    def stretch(self, text: str) -> bytes:
+        """Ids of a text without special tokens."""
         parts = self.pieces(text)
         got = list(map(self.known.get, parts))
         if None in got:
@@ -162,7 +172,7 @@ class Tokens:
                 if x is None:
                     x = known.get(parts[i])
                     got[i] = self.missed(parts[i]) if x is None else x
-        return np.frombuffer(b"".join(got), np.uint16)
+        return b"".join(got)
 
 
 def worker_tokens(path: str) -> Tokens:

@@ -9,6 +9,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
+from tokenizers import Tokenizer
 
 from revlens.llm import (
     cgk_decontam,
@@ -271,11 +272,12 @@ def test_contamination_is_found_wherever_the_edits_lie(n):
 
 
 def test_token_blocks_round_trip(spark, tmp_path):
-    texts = ["don't I'll \"q\"  x\n\ny a.\nB <|endoftext|>", "!" * 50, "word " * 4000] + ODD
+    special = ["<|endoftext|>", "a <|endoftext|> b", "<|endoftext|><|endoftext|>\n x <|endoftext |> <|endoftext|>."]
+    texts = ["don't I'll \"q\"  x\n\ny a.\nB <|endoftext|>", "!" * 50, "word " * 4000] + special + ODD
     docs = docs_of(spark, texts, extra=True)
     blocks = token_blocks.write_blocks(docs, str(tmp_path / "b"), block_ids=700)
     got = sorted((r.asDict() for r in token_blocks.digests(blocks).collect()), key=lambda r: r["start"])
-    library = token_blocks.Tokens(token_blocks.tokenizer_path(token_blocks.TOKENIZER)).library
+    library = Tokenizer.from_file(token_blocks.tokenizer_path(token_blocks.TOKENIZER))  # as the contract calls it
     by_id = {}
     for r in docs.collect():
         ids = np.array([*library.encode(r["text"] or "", add_special_tokens=False).ids, 0], "<u4")
@@ -327,6 +329,14 @@ def test_license_scan_matches_brute_force(spark):
         assert (r["first_word"], r["last_word"]) == (min(at, default=None), max(at, default=None))
     assert got[1]["labels"] == "apache-2.0,bsd-3-clause,gpl,mit" and got[1]["score"] == 1.0
     assert got[2]["labels"] == "gpl-2.0-only" and got[3]["labels"] == "invalid"
+    assert [got[i]["permissive"] for i in range(5)] == [None, True, False, None, None]
+    assert got[2]["score"] == 0.95 and got[3]["score"] == 0.5
+    tag = "SPDX-License-Identifier: "
+    pair = spark.createDataFrame([(1, tag + "MIT OR GPL-2.0"), (2, tag + "MIT AND GPL-2.0"), (3, f"{tag}MIT\n" * 5000)],
+                                 "doc_id long, text string")
+    rows = {r["doc_id"]: r for r in license_scan.scan_licenses(pair).collect()}
+    assert [rows[i]["permissive"] for i in (1, 2, 3)] == [True, False, True]
+    assert rows[1]["score"] > rows[2]["score"] and rows[3]["labels"] == "mit"
     assert license_scan.evaluate("MIT OR GPL-3.0 AND BSD-3-Clause")[1] and not license_scan.evaluate("MIT AND GPL-3.0")[1]
     assert license_scan.scan_licenses(docs.where("false")).count() == 0
 
