@@ -7,8 +7,10 @@ tag the raw text's expression is read: a shunting-yard parser turns it into
 reverse Polish order (with > and > or) and evaluates it to its licence labels
 and to whether it can be met by permissive licences alone.
 
-Score: 1 for a well-formed identifier expression, 0.9 for a base phrase, 0.8
-for another notice phrase, 0.5 for a malformed expression only, 0 for none.
+``permissive`` says whether all well-formed expressions of a text can be met so
+(NULL if it has none). Score: 1 for such expressions, 0.95 for others that are
+well-formed, 0.9 for a base phrase, 0.8 for another notice phrase, 0.5 for a
+malformed expression only, 0 for none.
 
 Defined results: NULL text counts as empty; an empty text has zeros, NULL
 places and empty labels; a malformed expression adds the label ``invalid``;
@@ -124,6 +126,25 @@ def expression_in(rest_of_line: str) -> str:
     return re.split(r"\*/|-->|#|[\"'<>,;]", rest_of_line)[0].strip()
 
 
+def expressions(text: str) -> tuple[set[str], bool | None, float]:
+    """(labels, can all be met by permissive licences, score) of the text's
+    identifier tags, each read once."""
+    labels: set[str] = set()
+    permissive, score = None, 0.0
+    for line in set(m[1] for m in TAG.finditer(text)):
+        try:
+            found, met = evaluate(expression_in(line))
+        except BadExpression:
+            labels.add("invalid")
+            score = max(score, 0.5)
+        else:
+            labels |= found
+            permissive = met if permissive is None else permissive and met
+    if permissive is not None:
+        score = 1.0 if permissive else 0.95
+    return labels, permissive, score
+
+
 def automaton():
     import ahocorasick
 
@@ -178,17 +199,14 @@ def _scan_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
                     per_row.setdefault(row, []).append((base, last - size + 1, label))
             out = []
             for i in range(b - a):
-                base_at, base_labels, labels, score = [], set(), set(), 0.0
-                for base, word, label in per_row.get(i, ()):
+                base_at, base_labels, labels, permissive, score = [], set(), set(), None, 0.0
+                found = per_row.get(i, ())
+                if any(base is None for base, _, _ in found):
+                    labels, permissive, score = expressions(texts[a + i].as_py())
+                for base, word, label in found:
                     if base is None:
-                        for m in TAG.finditer(texts[a + i].as_py()):
-                            try:
-                                labels |= evaluate(expression_in(m[1]))[0]
-                                score = 1.0
-                            except BadExpression:
-                                labels.add("invalid")
-                                score = max(score, 0.5)
-                    elif base:
+                        continue
+                    if base:
                         base_at.append(word)
                         base_labels.add(label)
                         score = max(score, 0.9)
@@ -204,14 +222,15 @@ def _scan_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
                         ",".join(sorted(base_labels)),
                         ",".join(sorted(base_labels | labels)),
                         score,
+                        permissive,
                     )
                 )
             columns = list(zip(*out, strict=True))
-            types = [pa.int64()] * 4 + [pa.string()] * 2 + [pa.float64()]
+            types = [pa.int64()] * 4 + [pa.string()] * 2 + [pa.float64(), pa.bool_()]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id").slice(a, b - a)]
                 + [pa.array(c, t) for c, t in zip(columns, types, strict=True)],
-                ["doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score"],
+                ["doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score", "permissive"],
             )
 
 
@@ -220,6 +239,6 @@ def scan_licenses(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).cast("string").alias("text"))
     schema = (
         f"doc_id {docs.schema[doc_id].dataType.simpleString()}, n_words long, n_base long, first_word long, "
-        "last_word long, base_labels string, labels string, score double"
+        "last_word long, base_labels string, labels string, score double, permissive boolean"
     )
     return rows.mapInArrow(_scan_batches, schema)
