@@ -420,10 +420,10 @@ def drop_near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "t
         F.coalesce("label", "node").alias("label"), "doc_id", "node"
     )
     order: Column = F.struct(F.col("doc_id").isNull().alias("last"), F.col("doc_id").alias("id"), F.col("node").alias("n"))
+    node, best_id, best_node = (free_name(docs, n) for n in ("__node", "__best_id", "__best_node"))
     best = labelled.groupBy("label").agg(F.min(order).alias("o")).select(
-        F.col("o.id").alias("__best_id"), F.col("o.n").alias("__best_node")
+        F.col("o.id").alias(best_id), F.col("o.n").alias(best_node)
     )
-    node = free_name(docs, "__node")
     printed = docs.mapInArrow(
         _print_batches(docs.columns, text, node, None),
         _with_binary(docs.schema, node),
@@ -432,7 +432,7 @@ def drop_near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "t
         printed.where(F.col(node).isNotNull())
         .join(
             best,
-            (F.col(node) == F.col("__best_node")) & F.col(doc_id).cast("long").eqNullSafe(F.col("__best_id")),
+            (F.col(node) == F.col(best_node)) & F.col(doc_id).cast("long").eqNullSafe(F.col(best_id)),
             "left_semi",
         )
         .dropDuplicates([node])
