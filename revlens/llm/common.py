@@ -11,6 +11,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from revlens.sources import hadoop_fs
+
 # White space between words wherever an operator's contract names
 # [\x20\x09-\x0D].
 SPACE = r"[\x20\x09-\x0D]+"
@@ -50,7 +52,15 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     """
     path = shared_path(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out._stored_at = path
+    return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete the folders of stored tables that nothing reads any more."""
+    for table in tables:
+        hadoop_fs.delete(table.sparkSession, table._stored_at)
 
 
 def let(value: Column, body: Callable[[Column], Column]) -> Column:

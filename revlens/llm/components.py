@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import stored
+from .common import discard, stored
 
 
 def _large_star(edges: DataFrame) -> DataFrame:
@@ -39,7 +39,8 @@ def components(edges: DataFrame) -> DataFrame:
     now = stored(edges.select("u", "v").where(F.col("u") != F.col("v")).distinct(), "edges")
     before = None
     while True:
-        now = stored(_small_star(_large_star(now)), "stars")
+        last, now = now, stored(_small_star(_large_star(now)), "stars")
+        discard(last)
         state = now.agg(F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64("u", "v")).alias("h")).first()
         if state == before or state["n"] == 0:
             break

@@ -46,7 +46,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import free_name, stored
+from .common import discard, free_name, stored
 from .components import components
 from .textgrams import WHITE, U, mix64, shingles, steps, text_column, word_hashes
 
@@ -115,8 +115,7 @@ def _sign_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 
 
 def _print_batches(columns: list[str], text: str, node: str, grams: str | None):
-    """Adds the fingerprint, and if asked for the sorted shingle set, in full and
-    in 32 bits a shingle."""
+    """Adds the fingerprint, and if asked for the sorted shingle set."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -135,10 +134,7 @@ def _print_batches(columns: list[str], text: str, node: str, grams: str | None):
                     hashes, rows = shingles(words, word_rows, SHINGLE)
                     sets = [np.unique(hashes[rows[i] : rows[i + 1]]) for i in range(b - a)]
                     arrays.append(pa.array([x.tobytes() for x in sets], pa.binary()))
-                    arrays.append(
-                        pa.array([np.unique((x >> U(32)).astype(np.uint32)).tobytes() for x in sets], pa.binary())
-                    )
-                    names += [grams, "small"]
+                    names.append(grams)
                 yield pa.RecordBatch.from_arrays(arrays, names)
 
     return run
@@ -307,6 +303,21 @@ def _block_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
                 yield pa.RecordBatch.from_arrays([pa.array(us, pa.binary()), pa.array(vs, pa.binary())], ["u", "v"])
 
 
+def _small_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Shingle sets in 32 bits a shingle."""
+    for batch in batches:
+        sets = [np.frombuffer(x.as_buffer(), np.uint64) for x in batch.column("grams")]
+        small = [np.unique((x >> U(32)).astype(np.uint32)).tobytes() for x in sets]
+        yield pa.RecordBatch.from_arrays([batch.column("node"), pa.array(small, pa.binary())], ["node", "small"])
+
+
+def _held_by(table: DataFrame, nodes: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(rows of ``table`` of the given nodes, the nodes as a stored table).
+    Spark sees the stored table's size: few nodes are sent to the rows."""
+    wanted = stored(nodes.distinct(), "wanted")
+    return table.join(wanted, "node", "left_semi"), wanted
+
+
 def _cross_pairs(members: DataFrame, labels: DataFrame, nodes: DataFrame, grams: DataFrame) -> DataFrame:
     """Pairs of one bucket that lie in different components and are near the
     threshold by their 32-bit shingles: few rows, however many pairs a block
@@ -319,9 +330,11 @@ def _cross_pairs(members: DataFrame, labels: DataFrame, nodes: DataFrame, grams:
         .select("bucket", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"))
     )
     block = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
+    open_rows = stored(labelled.join(several, "bucket"), "open")
+    held, _ = _held_by(grams, open_rows.select("node"))
+    small = held.mapInArrow(_small_batches, "node binary, small binary")
     dealt = (
-        labelled.join(several, "bucket")
-        .withColumn("block", block)
+        open_rows.withColumn("block", block)
         .withColumn("with", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
         .select(
             "bucket",
@@ -332,7 +345,7 @@ def _cross_pairs(members: DataFrame, labels: DataFrame, nodes: DataFrame, grams:
             "node",
             "band",
         )
-        .join(nodes.select("node", "sig").join(grams.select("node", "small"), "node"), "node")
+        .join(small.join(nodes.select("node", "sig"), "node"), "node")
     )
     parts = int(nodes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     cells = dealt.repartition(parts, "bucket", "one", "other").sortWithinPartitions("bucket", "one", "other")
@@ -349,6 +362,16 @@ def verify(pairs: DataFrame, grams: DataFrame) -> DataFrame:
     return both.mapInArrow(_verify_batches, "u binary, v binary")
 
 
+def _verified(pairs: DataFrame, grams: DataFrame) -> DataFrame:
+    """Links among later pairs, which concern few nodes; stored."""
+    ends = pairs.select(F.col("u").alias("node")).unionByName(pairs.select(F.col("v").alias("node")))
+    held, wanted = _held_by(grams, ends)
+    held = stored(held, "held")
+    links = stored(verify(pairs, held), "links")
+    discard(held, wanted)
+    return links
+
+
 def _grams_of(wanted: DataFrame, docs: DataFrame, doc_id: str, text: str) -> DataFrame:
     """Shingles of the wanted nodes, read from one document of each."""
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
@@ -358,39 +381,45 @@ def _grams_of(wanted: DataFrame, docs: DataFrame, doc_id: str, text: str) -> Dat
         "left_semi",
     )
     made = held.select("text").mapInArrow(
-        _print_batches([], "text", "node", "grams"), "node binary, grams binary, small binary"
+        _print_batches([], "text", "node", "grams"), "node binary, grams binary"
     )
     return made.join(wanted.select("node"), "node", "left_semi").dropDuplicates(["node"])
 
 
 def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> tuple[DataFrame, DataFrame]:
-    """(signed rows, labels of the nodes that have a near duplicate)."""
-    signed = sign(docs, doc_id, text)
+    """((doc_id, node) of every row, labels of the nodes that have a near
+    duplicate). Tables in between are deleted once nothing reads them."""
+    signatures_ = sign(docs, doc_id, text)
     nodes = stored(
-        signed.where(F.col("node").isNotNull())
+        signatures_.where(F.col("node").isNotNull())
         .groupBy("node")
         .agg(F.min(F.struct("doc_id", "sig")).alias("s"))
         .select("node", F.col("s.doc_id").alias("doc_id"), F.col("s.sig").alias("sig")),
         "nodes",
     )
-    members = bands(nodes)
-    tried = stored(_star_pairs(members), "pairs")
+    signed = stored(signatures_.select("doc_id", "node"), "signed")
+    discard(signatures_)
+    tried = stored(_star_pairs(bands(nodes)), "pairs")
     wanted = tried.select(F.col("u").alias("node")).unionByName(tried.select(F.col("v").alias("node"))).distinct()
     # whatever shares a bucket is in the first step's pairs
-    shared = nodes.join(wanted, "node", "left_semi")
+    shared = stored(nodes.join(wanted, "node", "left_semi"), "shared")
+    discard(nodes)
     grams = stored(_grams_of(shared, docs, doc_id, text), "grams")
-    shared = stored(shared, "shared")
     members = bands(shared)
     links = stored(verify(tried, grams), "links")
+    done = [tried, links]
     labels = stored(components(links), "labels")
     for turn in range(ROUNDS + 1):
         more = _round_pairs(members, labels, turn) if turn < ROUNDS else _cross_pairs(members, labels, shared, grams)
         more = stored(more.join(tried, ["u", "v"], "left_anti"), "pairs")
-        found = stored(verify(more, grams), "links")
+        found = _verified(more, grams)
+        done += [more, found]
         tried = tried.unionByName(more)
         if not found.isEmpty():
             links = links.unionByName(found)
-            labels = stored(components(links), "labels")
+            before, labels = labels, stored(components(links), "labels")
+            discard(before)
+    discard(grams, shared, *done)
     return signed, labels
 
 
