@@ -431,6 +431,87 @@ def test_html_keeps_whole_articles(spark):
     assert got[9] == "\n".join([body.strip(), more.strip()])
 
 
+ARTICLE = "Body text of article {n} that is long enough to be one. " * 8
+
+
+def extracted(spark, pages):
+    rows = [(i, f"http://{host}/{i}", html) for i, (host, html) in enumerate(pages)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    return {r["page_id"]: r["text"] for r in html_consensus.extract(df).collect()}
+
+
+def test_html_votes_decide_about_text_beside_the_article(spark):
+    notice, aside = "Our partner has an offer for all of you today.", "A remark on this page alone, beside the story."
+    pages = []
+    for n in range(50):
+        own = f"<div><p>{aside}</p></div>" if n == 7 else ""
+        pages.append(("h.example", f"<body><nav>Menu</nav><div class=story{n}><h1>Title {n}</h1><p>{ARTICLE.format(n=n)}</p>"
+                      f"<p>Same motto in every story.</p></div>{own}<div class=box><p>{notice}</p></div></body>"))
+    # one page of another host says the same, which repeats nowhere there
+    pages.append(("other.example", f"<body><div><p>{notice}</p></div></body>"))
+    got = extracted(spark, pages)
+    for n in range(50):
+        own = [aside] if n == 7 else []
+        assert got[n].split("\n") == [f"Title {n}", ARTICLE.format(n=n).strip(), "Same motto in every story.", *own]
+    assert got[50] == notice
+    # without the other pages' votes the notice cannot be told from the article
+    assert extracted(spark, pages[:1])[0].endswith(notice)
+
+
+def test_html_equal_pages_are_no_repetition(spark):
+    page = f"<body><div class=story><h1>T</h1><p>{ARTICLE}</p></div><div class=x><p>Alone here.</p></div></body>"
+    got = extracted(spark, [("h.example", page)] * 9)
+    assert set(got.values()) == {f"T\n{ARTICLE.strip()}\nAlone here."}
+
+
+@pytest.mark.parametrize("name", ["content-sidebar-wrap", "post has-sidebar", "entry no-comments", "search-result story", "social-article"])
+def test_html_wrapper_words_lose_no_article(spark, name):
+    text = ARTICLE.format(n=1).strip()
+    page = (f"<body><nav>Menu</nav><div class='{name}'><h1>T</h1><p>{text}</p><div class=comments><p>{'Reader says so. ' * 90}</p>"
+            "</div><div class=share-box><p>Share it</p></div></div><footer>F</footer></body>")
+    assert html_consensus.main_text(html_consensus.parse(page), set(), set()) == f"T\n{text}"
+
+
+def test_html_forms_headers_and_formulas():
+    text = ARTICLE.format(n=1).strip()
+    whole = f"<form action=/x><div><h1>T</h1><p>{text}</p></div><form class=search>Search</form></form>"
+    assert html_consensus.main_text(html_consensus.parse(whole), set(), set()) == f"T\n{text}"
+    page = f"<header>Site</header><article><header><h1>Head</h1></header><p>{text}</p><p>x <math><mi>a</mi>=b</math></p></article>"
+    assert html_consensus.main_text(html_consensus.parse(page), set(), set()) == f"Head\n{text}\nx a=b"
+
+
+def test_html_deep_and_long_pages_stay_linear():
+    import tracemalloc
+
+    for unit, n in (("<div>", 200_000), ("<div class=a-sidebar>x", 50_000), ("<p>word <b>bold</b> ", 50_000), ("</p><li>", 100_000)):
+        tracemalloc.start()
+        blocks = html_consensus.parse(unit * n + "text" + "</p>" * n)
+        html_consensus.main_text(blocks, set(), set())
+        peak = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        assert peak < 400 * 1024 * 1024
+
+
+def test_html_blocks_match_the_pages_they_are_made_of(spark):
+    """Generated pages: what was put in as article comes out, whole and alone."""
+    rng = random.Random(12)
+    pages, want = [], []
+    for n in range(120):
+        words = lambda k: " ".join(f"w{rng.randrange(10 ** 6)}" for _ in range(k))
+        paragraphs = [words(rng.randrange(5, 60)) for _ in range(rng.randrange(1, 9))]
+        inner = "".join(f"<p>{x}</p>" if rng.random() < 0.8 else f"<ul><li>{x}</li></ul>" for x in paragraphs)
+        if rng.random() < 0.3:
+            inner = f"<div class=sec{n}>{inner}</div>"
+        body = rng.choice(["<article>{}</article>", "<div class='post p1'>{}</div>", "<main><section>{}</section></main>"])
+        junk = ["<nav><ul><li><a href=/>Home</a></li></ul></nav>", "<div class=sidebar><p>Side text here</p></div>",
+                "<div id=comments><p>First!</p></div>", "<form><input><p>Sign up</p></form>", "<aside>Ad</aside>"]
+        rng.shuffle(junk)
+        pages.append((f"host{n % 4}", f"<html><body>{''.join(junk[:2])}{body.format(inner)}{''.join(junk[2:])}</body></html>"))
+        want.append("\n".join(paragraphs))
+    got = extracted(spark, pages)
+    assert [got[i] for i in range(len(pages))] == want
+
+
 def test_pipeline_stages_keep_columns_and_clean_documents(spark):
     import corpus_pipeline
 
