@@ -126,11 +126,6 @@ def month_label(c: Column | str) -> Column:
     return F.date_format(_col(c), "yyyy-MM")
 
 
-def month_start(c: Column | str) -> Column:
-    """DATE -> first day of its month, for calendar frames."""
-    return F.trunc(_col(c), "month")
-
-
 def any_missing(cols: list[Column | str]) -> Column:
     """True when any of the columns is NULL."""
     return reduce(lambda a, b: a | b, [_col(c).isNull() for c in cols])

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
-from revlens.functions.scalar import coerce_numeric, fill_unknown, parse_date_strict
+from revlens.functions.scalar import any_missing, coerce_numeric, fill_unknown, parse_date_strict
 from revlens.sources.csv import require_columns
 
 C = F.col
@@ -57,7 +57,7 @@ def _rule_counts() -> dict[str, F.Column]:
 
     Each counter sees only rows that survived the earlier *removals*; a row
     with quantity <= 0 and price < 0 counts in both."""
-    numeric = C("quantity").isNotNull() & C("unit_price").isNotNull()
+    numeric = ~any_missing(["quantity", "unit_price"])
     valid = numeric & valid_quantity_price()
     return {
         "rows_in": F.count(F.lit(1)),

@@ -1,9 +1,8 @@
 """Repeated ids, versions and upserts.
 
-The survivor of each key is picked with an aggregate (``max_by`` /
-``min_by`` over a version struct), not a ``row_number`` window: the
-aggregate is combined map-side, so a key holding a third of all rows is
-reduced inside every map task instead of being sorted in one reducer.
+Version picks are ``row_number() = 1`` windows, of which Spark takes one row per
+key in every map task already; guards are aggregates that are combined
+map-side. Either way a key holding a third of all rows costs a row per map task.
 """
 
 from __future__ import annotations
@@ -11,6 +10,7 @@ from __future__ import annotations
 from functools import reduce
 
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 C = F.col
@@ -69,16 +69,16 @@ def dedup_strict(df: DataFrame, ordinal: str, key: str = "order_id") -> DataFram
 def latest_by(df: DataFrame, key, order_cols, keep_order_cols: bool = True) -> DataFrame:
     """Keep, per key, the row with the greatest ``order_cols``.
 
-    ``max_by(struct(row), struct(version))``: an aggregate that Spark combines
-    map-side. Version keys must be unique within a key for a defined result.
+    ``row_number() = 1``: Spark plans a group limit of one row per key below
+    the shuffle, so a hot key sends a row per map task. Version keys must be
+    unique within a key for a defined result.
     """
     keys = [key] if isinstance(key, str) else list(key)
     order_cols = list(order_cols)
     payload = [c for c in df.columns if c not in keys and (keep_order_cols or c not in order_cols)]
-    g = df.groupBy(*keys).agg(
-        F.max_by(F.struct(*[C(c) for c in payload]), F.struct(*[C(c) for c in order_cols])).alias("_v")
-    )
-    return g.select(*keys, *[C(f"_v.{c}").alias(c) for c in payload])
+    newest = W.partitionBy(*keys).orderBy(*[C(c).desc() for c in order_cols])
+    picked = df.withColumn("_rank", F.row_number().over(newest)).where(C("_rank") == 1)
+    return picked.select(*keys, *payload)
 
 
 def latest_order_version(df: DataFrame, key: str = "order_id",

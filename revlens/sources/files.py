@@ -21,12 +21,6 @@ C = F.col
 # Batch file name pattern (glob and exact form).
 BATCH_GLOB = "orders-????-??-??-????.csv"
 BATCH_NAME_REGEX = r"^orders-(\d{4})-(\d{2})-(\d{2})-(\d{4})\.csv$"
-GLOB_NAME_REGEX = r"^orders-.{4}-.{2}-.{2}-.{4}\.csv$"
-
-
-def matches_glob(file_name: Column) -> Column:
-    """Name matches the glob (``?`` = any one character) (A3)."""
-    return file_name.rlike(GLOB_NAME_REGEX)
 
 
 def batch_version(file_name: Column) -> Column:

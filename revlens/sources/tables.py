@@ -7,18 +7,6 @@ from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 
-TABLE_NAMES = (
-    "region",
-    "nation",
-    "customer",
-    "supplier",
-    "part",
-    "orders",
-    "lineitem",
-    "events",
-)
-
-
 def read_table(spark: SparkSession, path: str) -> DataFrame:
     """``spark.read.parquet(path)``: each call lists the files anew, so files
     added to a table are read."""

@@ -1,4 +1,8 @@
-"""Golden inputs of the seven jobs (FIXTURES.md section 1), as CSV text."""
+"""Golden inputs and results of the seven jobs, as CSV text.
+
+Fixed values: all rows below are the stored inputs and results of the golden
+cases, as listed in FIXTURES.md section 1.
+"""
 
 SALES_SMALL = """date,region,product,revenue
 2024-01-01,EU,A,1200
@@ -8,7 +12,13 @@ SALES_SMALL = """date,region,product,revenue
 2024-01-05,US,B,1100
 """
 
-SALES_EIGHT = SALES_SMALL + """2024-01-06,EU,B,800
+SALES_EIGHT = """date,region,product,revenue
+2024-01-01,EU,A,1200
+2024-01-02,US,A,900
+2024-01-03,EU,B,1500
+2024-01-04,EU,A,700
+2024-01-05,US,B,1100
+2024-01-06,EU,B,800
 2024-01-07,US,A,600
 2024-01-08,EU,A,400
 """

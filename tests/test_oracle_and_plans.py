@@ -102,3 +102,10 @@ def test_rollup_expands_customers_not_orders(spark):
     below = plan[plan.index("Expand"):]
     # under the expand there is the aggregate by month, segment and customer
     assert "HashAggregate(keys=[order_month" in below.split("\n", 4)[1] + below.split("\n", 4)[2]
+
+
+@pytest.mark.parametrize("name", ["latest_order_version", "state_upsert", "customer_upsert"])
+def test_version_picks_are_limited_below_the_shuffle(spark, name):
+    plan = _plan(E.queries()[name](spark, SF))
+    shuffle = plan.index("Exchange hashpartitioning")
+    assert "WindowGroupLimit" in plan[shuffle:] and "max_by" not in plan

@@ -1,24 +1,15 @@
-"""Time the streaming incremental job: touched-months run vs full rebuild.
+"""Time the incremental job against a full rebuild over the same batch files.
 
-Usage: python tools/incremental_timing.py <sf_dir> <scratch_dir>
+Usage: python tools/incremental_timing.py <sf_dir> [runs]
 
-Writes the fixture batches of ``sf_dir`` as ``orders-<version>.csv`` files
-under ``scratch_dir``, then
-  1. initial run over every regular batch file,
-  2. incremental run: the two correction batches (only touched months are
-     recomputed),
-  3. full rebuild: a fresh job over all files in one run,
-(customer updates are left out: when an update clears a segment, the
-reference's semantics depend on arrival order, so the two paths differ by
-design; tests/test_streaming_tables.py covers updates), and prints one JSON line with the three wall times and whether the reports
-of 2 and 3 are equal.
+Prints one JSON line: seconds to write the batch files, of the initial load, of each
+incremental run (a replay of the second batch) and of each rebuild, the months touched of all, and
+whether the reports are equal.
 """
 
 from __future__ import annotations
 
-import csv
 import json
-import logging
 import os
 import sys
 import time
@@ -26,67 +17,30 @@ import time
 ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 sys.path.insert(0, ROOT)
 
-COLS = ["order_id", "customer_id", "order_date", "quantity", "unit_price"]
 
-
-def _write(path, header, rows):
-    with open(path, "w", newline="") as f:
-        w = csv.writer(f)
-        w.writerow(header)
-        for r in rows:
-            w.writerow(["" if v is None else v for v in r])
-
-
-def main():
-    sf_dir, scratch = sys.argv[1], sys.argv[2]
-    logging.basicConfig(level=logging.WARNING, stream=sys.stderr)
-    logging.getLogger("revlens").setLevel(logging.INFO)
-    from revlens.operators.report import REPORT_ORDER
-    from revlens.plans.queries import NEW_BATCHES_FROM
+def main() -> None:
+    sf_dir, runs = sys.argv[1], int(sys.argv[2]) if len(sys.argv) > 2 else 3
+    from revlens.plans import file_flow
     from revlens.session import build_session
-    from revlens.sources import views as V
-    from revlens.sources.tables import Tables
-    from revlens.streaming.incremental import IncrementalReport, Layout
 
     spark = build_session("local[8]", shuffle_partitions=8)
-    t = Tables(spark, sf_dir)
-    # Test-data preparation only: the fixture rows are written out as files.
-    batches = V.v_order_batches(t).select(*COLS, "ingestion_date", "row_index").orderBy(
-        "ingestion_date", "row_index").collect()
-    customers = [tuple(r) for r in V.v_customers(t).collect()]
-    by_file: dict[str, list] = {}
-    for r in batches:
-        by_file.setdefault(r["ingestion_date"], []).append(tuple(r[c] for c in COLS))
-
-    def layout(name):
-        lay = Layout(os.path.join(scratch, name))
-        os.makedirs(lay.drop)
-        _write(lay.customers_csv, ["customer_id", "segment"], customers)
-        return lay
-
-    def drop(lay, versions):
-        for v in versions:
-            _write(os.path.join(lay.drop, f"orders-{v}.csv"), COLS, by_file[v])
-
-    old = [v for v in by_file if v < NEW_BATCHES_FROM]
-    new = [v for v in by_file if v >= NEW_BATCHES_FROM]
-
-    inc = layout("incremental")
-    drop(inc, old)
-    job = IncrementalReport(spark, inc, publish_csv=False)
-    t0 = time.time(); job.run(); initial = time.time() - t0
-    drop(inc, new)
-    t0 = time.time(); job.run(); touched = time.time() - t0
-
-    full = layout("full")
-    drop(full, old + new)
-    fjob = IncrementalReport(spark, full, publish_csv=False)
-    t0 = time.time(); fjob.run(); rebuild = time.time() - t0
 
-    a = [tuple(r) for r in job.current_report().orderBy(*REPORT_ORDER).collect()]
-    b = [tuple(r) for r in fjob.current_report().orderBy(*REPORT_ORDER).collect()]
-    print(json.dumps({"files": len(by_file), "initial_sec": round(initial, 2), "touched_run_sec": round(touched, 2),
-                      "full_rebuild_sec": round(rebuild, 2), "reports_equal": a == b, "report_rows": len(a)}))
+    def timed(f):
+        t0 = time.perf_counter()
+        out = f()
+        return round(time.perf_counter() - t0, 2), out
+
+    write, _ = timed(lambda: file_flow.batch_rows(spark, sf_dir))
+    initial, _ = timed(lambda: file_flow.started_job(spark, sf_dir))
+    incremental, rebuild = [], []
+    for _ in range(runs):
+        sec, got = timed(lambda: sorted(map(tuple, file_flow.incremental_report(spark, sf_dir).collect())))
+        incremental.append(sec)
+        sec, want = timed(lambda: sorted(map(tuple, file_flow.full_rebuild(spark, sf_dir).collect())))
+        rebuild.append(sec)
+    touched = len(file_flow.touched_months(spark, sf_dir))
+    print(json.dumps({"write_sec": write, "initial_sec": initial, "incremental_sec": incremental, "rebuild_sec": rebuild,
+                      "months": len({r[0] for r in got}), "touched": touched, "equal": got == want}))
     spark.stop()
 
 
