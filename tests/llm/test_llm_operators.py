@@ -271,6 +271,58 @@ def test_contamination_is_found_wherever_the_edits_lie(n):
     assert got == want and set(want) >= {(i, i) for i in range(24)}
 
 
+def stretch_edits(item, words):
+    """Least edits between ``item`` and any stretch of ``words``, cell by cell."""
+    row = [0] * (len(words) + 1)
+    for i, x in enumerate(item, 1):
+        before, row = row, [i]
+        for j, y in enumerate(words, 1):
+            row.append(min(before[j - 1] + (x != y), before[j] + 1, row[j - 1] + 1))
+    return min(row)
+
+
+@pytest.mark.parametrize("n", [4, 5, 9, 10, 14, 20, 45, 90])
+def test_walks_alone_reach_the_target_recall(n):
+    rng = random.Random(n)
+    vocab = [f"v{i}" for i in range(2000)]
+    k = cgk_decontam.edits_allowed(n)
+    items, texts, kinds = [], [], ("head", "tail", "even", "random", "insert", "delete")
+    for i in range(120):
+        w = [rng.choice(vocab) for _ in range(n)]
+        items.append((i, " ".join(w)))
+        kind = kinds[i % len(kinds)]
+        spots = {"head": range(k), "tail": range(n - k, n), "even": [min(n - 1, (j + 1) * n // (k + 1)) for j in range(k)]}
+        for j in sorted(spots.get(kind, rng.sample(range(n), k)), reverse=True):
+            if kind == "insert":
+                w.insert(j, rng.choice(vocab))
+            elif kind == "delete":
+                del w[j]
+            else:
+                w[j] = rng.choice(vocab)
+        around = [rng.choice(vocab) for _ in range(20)]
+        texts.append(" ".join(around + w + around))
+    searcher = cgk_decontam.Searcher(cgk_decontam.items_of(items))
+    got = {(row, i): edits for row, i, _, edits in searcher.hits(pa.array(texts, pa.large_string()))}
+    want = {(i, i): stretch_edits(items[i][1].split(), texts[i].split()) for i in range(120)}
+    assert all(e <= k for e in want.values())
+    assert all(got[pair] == want[pair] for pair in set(got) & set(want))
+    assert len(set(got) & set(want)) >= 0.99 * len(want)
+
+
+def test_contamination_of_long_and_repetitive_texts():
+    """A text of one item word over and over, a long text with an item at its
+    very end, and items of equal words."""
+    rng = random.Random(5)
+    vocab = [f"v{i}" for i in range(500)]
+    item = [rng.choice(vocab) for _ in range(30)]
+    items = [(1, " ".join(item)), (2, " ".join(item)), (3, "same " * 12), (4, "solo")]
+    long = " ".join([rng.choice(vocab) for _ in range(60_000)] + item[2:])
+    texts = [long, "same " * 20_000, "Solo!", " ".join(item[:15])]
+    searcher = cgk_decontam.Searcher(cgk_decontam.items_of(items))
+    got = {(row, searcher.items[i].id, edits) for row, i, _, edits in searcher.hits(pa.array(texts, pa.large_string()))}
+    assert got == {(0, 1, 2), (0, 2, 2), (1, 3, 0), (2, 4, 0)}
+
+
 def test_token_blocks_round_trip(spark, tmp_path):
     special = ["<|endoftext|>", "a <|endoftext|> b", "<|endoftext|><|endoftext|>\n x <|endoftext |> <|endoftext|>."]
     texts = ["don't I'll \"q\"  x\n\ny a.\nB <|endoftext|>", "!" * 50, "word " * 4000] + special + ODD
