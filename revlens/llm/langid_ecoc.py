@@ -11,11 +11,14 @@ Up to six languages get exhaustive codes, more get the random code of largest
 least distance among several draws, with 15 log2(languages) bits.
 
 Training reads a bounded sample: about ``PER_LANGUAGE`` labelled rows of each
-language, chosen by a hash of the id so that every run takes the same; their
-n-gram shares (at most ``BUCKETS`` numbers a row) go to the driver, never
-texts. Prediction reads only the text.
-
-Defined results: NULL text counts as empty; a text without a letter, and
+of the ``MOST_LANGUAGES`` languages with most rows (of equal ones the first by
+name), fewer of each where that would exceed ``MOST_ROWS`` in all. The rows are
+chosen by a hash of the id so that every run takes the same; their n-gram
+shares (at most ``BUCKETS`` numbers a row) go to the driver, never texts.
+Prediction reads only the text.
+
+Defined results: an id that is repeated with one language is learned from
+once; NULL text counts as empty; a text without a letter, and
 every text if no language could be learned, gives ``und`` with score 0; NULL
 ids and NULL languages are not learned from, rows with NULL ids are scored
 (held_out NULL); repeated rows get equal results; empty tables give empty
@@ -38,6 +41,8 @@ from .textgrams import raw, steps, text_column
 
 BUCKETS = 4096
 PER_LANGUAGE = 500
+MOST_LANGUAGES = 200
+MOST_ROWS = 12_000
 ROUNDS = 150
 AMBIGUOUS = 0.2
 UNKNOWN = "und"
@@ -132,19 +137,20 @@ def fit(x: np.ndarray, languages: list[str]) -> Model | None:
     aside = np.arange(len(x)) % 5 == 4
     if aside.all() or not aside.any():
         aside = np.zeros(len(x), bool)
-    use = ~aside
+    use, y = x[~aside], y.astype(np.float32)
+    sign = y[~aside]
     w, b = np.zeros((x.shape[1], code.shape[1])), np.zeros(code.shape[1])
     vw, vb = w.copy(), b.copy()
     for t in range(ROUNDS):
         gw, gb = w + 0.9 * vw, b + 0.9 * vb
-        m = x[use] @ gw + gb
-        g = -y[use] / (1 + np.exp(np.clip(y[use] * m, -30, 30))) / use.sum()
-        vw = 0.9 * vw - 8.0 * (x[use].T @ g + 1e-5 * gw)
+        m = use @ gw.astype(np.float32) + gb
+        g = -sign / (1 + np.exp(np.clip(sign * m, -30, 30))) / len(use)
+        vw = 0.9 * vw - 8.0 * (use.T @ g.astype(np.float32) + 1e-5 * gw)
         vb = 0.9 * vb - 2.0 * g.sum(axis=0)
         w, b = w + vw, b + vb
     right = np.ones(code.shape[1])
     if aside.any():
-        right = (np.sign(x[aside] @ w + b) == y[aside]).mean(axis=0)
+        right = (np.sign(x[aside] @ w.astype(np.float32) + b) == y[aside]).mean(axis=0)
     trust = np.maximum(2 * right - 1, 0.05)
     return Model(names, code, w.astype(np.float32), b, trust * len(trust) / trust.sum())
 
@@ -159,32 +165,45 @@ def _feature_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBat
                 i = np.flatnonzero(row)
                 at.append(i.astype("<u2").tobytes())
                 value.append(row[i].astype("<f4").tobytes())
+            kept = [batch.column(c).slice(a, b - a) for c in ("doc_id", "lang")]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("lang").slice(a, b - a), pa.array(at, pa.binary()), pa.array(value, pa.binary())],
-                ["lang", "at", "value"],
+                [*kept, pa.array(at, pa.binary()), pa.array(value, pa.binary())], ["doc_id", "lang", "at", "value"]
             )
 
 
-def training_sample(rows: DataFrame, label: str, key: str, per_label: int) -> DataFrame:
-    """About ``per_label`` (key, label) pairs of each label: those whose hashed
-    key lies below the label's share. Works on ids and labels only; counts per
-    label are one small row each; no sort, no window. The result is bounded by
-    ``per_label`` times the number of labels, so it may be broadcast."""
+def training_sample(
+    rows: DataFrame, label: str, key: str, per_label: int, most_labels: int, most_rows: int
+) -> DataFrame:
+    """About ``per_label`` (key, label) pairs of each label, fewer where all would
+    exceed ``most_rows``: those whose hashed key lies below the label's share.
+
+    Only the ``most_labels`` labels with most rows count. Works on ids and
+    labels, without a sort or window; the driver sees a count of each label
+    that counts. The result is bounded by ``most_rows``, so it may be broadcast.
+    """
     u = F.pmod(F.xxhash64(F.col(key), F.lit("sample")), F.lit(1_000_000)) / 1_000_000.0
     keyed = rows.select(key, label).withColumn("__u", u)
-    share = keyed.groupBy(label).agg((F.lit(float(per_label)) / F.count(F.lit(1))).alias("__share"))
-    return keyed.join(share, label).where(F.col("__u") < F.col("__share")).select(key, label).distinct()
+    counts = keyed.groupBy(label).agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), label).limit(most_labels)
+    found = counts.collect()
+    each = min(per_label, most_rows / max(1, len(found)))
+    kind = rows.schema[label].dataType.simpleString()
+    share = rows.sparkSession.createDataFrame([(r[0], each / r[1]) for r in found], f"`{label}` {kind}, __share double")
+    return keyed.join(F.broadcast(share), label).where(F.col("__u") < F.col("__share")).select(key, label).distinct()
 
 
-def train(docs: DataFrame, per_language: int = PER_LANGUAGE) -> Model | None:
+def train(docs: DataFrame, per_language: int = PER_LANGUAGE, most_rows: int = MOST_ROWS) -> Model | None:
     """Learn from (doc_id, text, lang) rows, all of which may be learned from."""
     known = docs.where(F.col("lang").isNotNull() & F.col("doc_id").isNotNull())
-    sample = training_sample(known, "lang", "doc_id", per_language)
+    sample = training_sample(known, "lang", "doc_id", per_language, MOST_LANGUAGES, most_rows)
+    id_type = docs.schema["doc_id"].dataType.simpleString()
     rows = (
         known.select("doc_id", "lang", F.col("text").cast("string").alias("text"))
         .join(F.broadcast(sample), ["doc_id", "lang"])
-        .select("lang", "text")
-        .mapInArrow(_feature_batches, "lang string, at binary, value binary")
+        .select("doc_id", "lang", "text")
+        .mapInArrow(_feature_batches, f"doc_id {id_type}, lang string, at binary, value binary")
+        .groupBy("doc_id", "lang")
+        .agg(F.min(F.struct("at", "value")).alias("x"))
+        .select("lang", "x.at", "x.value")
         .collect()
     )
     rows.sort(key=lambda r: (r["lang"], bytes(r["at"]), bytes(r["value"])))

@@ -442,6 +442,105 @@ def test_toxicity_swaps_and_odd_rows(spark):
     assert toxicity_cf.score(docs.where("false"), model).count() == 0
 
 
+def test_languages_beyond_the_bounds_and_repeated_rows(spark, monkeypatch):
+    """Many labels, rare ones, and one row repeated many times: the sample stays
+    within its bound, keeps the larger labels, and has one row of an id."""
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    rows = []
+    for k in range(12):
+        rng = random.Random(k)
+        own = rng.sample(letters, 6)
+        for i in range(60 if k < 9 else 5):
+            text = " ".join("".join(rng.choice(own) for _ in range(5)) for _ in range(40))
+            rows.append((1000 * k + i, text, f"l{k:02}"))
+    rows += [rows[0]] * 300
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    monkeypatch.setattr(langid_ecoc, "MOST_LANGUAGES", 9)
+    sizes = []
+
+    def fit(x, languages):
+        sizes.append((x.shape[0], len(set(languages)), max(languages.count(v) for v in set(languages))))
+        return real(x, languages)
+
+    real = langid_ecoc.fit
+    monkeypatch.setattr(langid_ecoc, "fit", fit)
+    model = langid_ecoc.train(docs, per_language=50, most_rows=270)
+    n, labels, most = sizes[0]
+    assert labels == 9 and n <= 330 and most <= 60 and model.languages == [f"l{k:02}" for k in range(9)]
+    got = langid_ecoc.predict(docs.where("lang < 'l09'").distinct(), model).join(docs.distinct().select("doc_id", "lang"), "doc_id")
+    assert got.where("lang = lang_pred").count() >= 0.95 * got.count()
+
+
+def test_swap_penalty_is_the_sum_over_sentences():
+    """The gradient against differences of the penalty computed swap by swap."""
+    terms = toxicity_cf.Terms({"x": (("frau", "mann", "kind"), ("mann", "tier"))})
+    texts = pa.array(["Eine Frau geht. Mann und Frau! nichts hier? Die FRAU schläft\nein Tier", "ohne", ""], pa.large_string())
+    held = toxicity_cf.mentions(texts, terms)
+    assert [len(x) for x in held] == [4, 0, 0]
+    assert len(toxicity_cf.mentions(pa.array(["Frau a. Frau b. Frau a. Frau c"], pa.large_string()), terms, 2)[0]) == 2
+    sentences = [x for row in held for x in row]
+    kept = np.unique(np.concatenate(sentences))
+    slot, scale = np.full(terms.size, -1), np.ones(terms.size)
+    kept = np.union1d(kept, np.arange(toxicity_cf.BUCKETS, terms.size)).astype(int)
+    slot[kept] = np.arange(len(kept))
+    rng = np.random.default_rng(1)
+    w, bias = rng.normal(size=len(kept)), 0.3
+    name = {t: toxicity_cf.BUCKETS + i for i, t in enumerate(terms.names)}
+    groups = [{"frau", "mann", "kind"}, {"mann", "tier"}]
+
+    def penalty(w, bias):
+        def p(features):
+            return 1 / (1 + np.exp(-(bias + sum(w[slot[f]] for f in features))))
+
+        total = 0.0
+        for x in sentences:
+            x = {int(f) for f in x}
+            for a in terms.names:
+                for b in terms.names:
+                    if a != b and any({a, b} <= g for g in groups) and name[a] in x:
+                        other = {name[b] if f == name[a] else name[a] if f == name[b] else f for f in x}
+                        total += (p(x) - p(other)) ** 2
+        return total
+
+    g, by_bias = toxicity_cf.Swaps(sentences, terms, slot, scale).gradient(w, bias)
+    e = 1e-5
+    for i in range(len(kept)):
+        d = np.zeros(len(kept))
+        d[i] = e
+        assert abs((penalty(w + d, bias) - penalty(w - d, bias)) / (2 * e) - g[i]) < 1e-6
+    assert abs((penalty(w, bias + e) - penalty(w, bias - e)) / (2 * e) - by_bias) < 1e-6
+
+
+@pytest.mark.parametrize("term, other", [("muslim", "christian"), ("flüchtling", "bürger"), ("femme", "homme"), ("judío", "cristiano")])
+def test_toxicity_is_learned_without_the_group(spark, term, other):
+    """Held-out accuracy on a sample in which a group is mentioned mostly in
+    toxic rows: neutral mentions are not called toxic, toxic rows are found."""
+    rng = random.Random(11)
+    vocab = [f"n{i}" for i in range(200)]
+
+    def text(bad, mention):
+        w = [rng.choice(vocab) for _ in range(24)]
+        if bad:
+            w[20] = rng.choice(["vile", "nasty", "scum"])
+        if mention:
+            w[3] = mention
+        return " ".join(w[:12]) + ". " + " ".join(w[12:])
+
+    rows = [(i, text(i % 4 == 0, term if rng.random() < (0.8 if i % 4 == 0 else 0.1) else None), int(i % 4 == 0)) for i in range(800)]
+    frame = spark.createDataFrame(rows + [rows[0]] * 50, "doc_id long, text string, toxic int")
+    model = toxicity_cf.train(frame.select("doc_id", "text"), frame.select("doc_id", "toxic"))
+    free = toxicity_cf.train(frame.select("doc_id", "text"), frame.select("doc_id", "toxic"), swap_penalty=0.0)
+    neutral = pa.array([text(False, term) for _ in range(200)], pa.large_string())
+    swapped = pa.array([t.replace(term, other) for t in neutral.to_pylist()], pa.large_string())
+    toxic = pa.array([text(True, m) for m in (None, term, other) for _ in range(60)], pa.large_string())
+
+    def change(m):
+        return np.abs(m.scores(neutral) - m.scores(swapped)).mean()
+
+    assert change(model) < 0.3 * change(free)
+    assert (model.scores(neutral) < 0.5).mean() >= 0.95 and (model.scores(toxic) >= 0.5).mean() >= 0.95
+
+
 PAGE = (
     '<html><body class="home"><nav><a href="/">Menu</a></nav><div class="cookie-notice">We use cookies</div>'
     '<div class="post-{n}"><h1>Title &amp; more</h1><p>First  <b>bold</b>\n text&nbsp;here, long enough.<p>Second &eacute;'
