@@ -61,9 +61,10 @@ SPANS = (5, 6, 8, 16)
 SHORT_SPANS = (2, 3, 4)
 SHORT = 10
 BLOCK_ITEMS = 5_000
-#: Places, pairs of a place and an item, or of a place and a window, worked on
-#: at once.
+#: Pairs of a place and an item, or of a place and a window, worked on at once.
 PAIRS = 1_000_000
+#: Places walked from at once.
+PLACES = 50_000
 _VOCAB_BITS = 22
 
 
@@ -231,10 +232,12 @@ class Searcher:
         place, total = np.arange(len(words)), np.concatenate([[0], np.cumsum(some)])
         near = total[np.minimum(place + most + 1, len(words))] > total[np.maximum(place - longest - most, 0)]
         anchors = np.flatnonzero(near)
-        sums = {n: np.concatenate([[0], np.cumsum(ok)]) for n, ok in passed.items()}
+        sums = {n: np.zeros(len(ok) + 1, np.int32) for n, ok in passed.items()}
+        for n, ok in passed.items():
+            np.cumsum(ok, out=sums[n][1:])
         found = [np.zeros(0, np.int64)]
-        for first in range(0, len(anchors), PAIRS):
-            here = anchors[first : first + PAIRS]
+        for first in range(0, len(anchors), PLACES):
+            here = anchors[first : first + PLACES]
             low = int(here[0])
             stretch = words[low : int(here[-1]) + max(SPANS)]
             last = -1
