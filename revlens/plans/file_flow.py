@@ -2,15 +2,18 @@
 
 Spark writes the order batches of the driver tables as CSV files named by their
 version, one file per quarter and sequence number, and the customer tables beside
-them. The job of ``revlens.streaming.incremental`` then runs over them: batch 0 takes the regular
-files and is the state that an incremental run starts from, batch 1 takes the two
-correction files and the customer update, which touch a few months only. Files and
-state are kept for the session, so repeated queries time the incremental run
-and not the initial load; every call runs batch 1 anew (a replay).
+them. The job of ``revlens.streaming.incremental`` then runs over them: batch 0 takes the
+regular files and is the state that an incremental run starts from, batch 1 takes the two
+correction files and the customer update. There are two sets of files: the report runs
+over the ``whole`` one, with corrections and customer changes of all months, the other
+queries over one whose corrections touch a few months only. Files and state are kept for
+the session, so repeated queries time the incremental run and not the initial load; every
+call runs batch 1 anew (a replay).
 """
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -32,6 +35,7 @@ from revlens.streaming.incremental import CUSTOMER_COLUMNS, STATE_COLUMNS, Incre
 C = F.col
 
 FIRST, SECOND = 0, 1  # batch ids
+MOVERS = 16  # renames at a time
 
 
 def write_batch_files(batches: DataFrame, folder: str) -> None:
@@ -48,11 +52,14 @@ def write_batch_files(batches: DataFrame, folder: str) -> None:
         .partitionBy("ingestion_date")
         .csv(aside)
     )
-    for e in hadoop_fs.entries(spark, aside):
-        if e.is_dir:
-            version = e.name.partition("=")[2]
-            part = next(x.name for x in hadoop_fs.entries(spark, f"{aside}/{e.name}") if x.name.endswith(".csv"))
-            hadoop_fs.replace(spark, f"{aside}/{e.name}/{part}", f"{folder}/orders-{version}.csv")
+
+    def put_in_place(name: str) -> None:
+        version = name.partition("=")[2]
+        part = next(x.name for x in hadoop_fs.entries(spark, f"{aside}/{name}") if x.name.endswith(".csv"))
+        hadoop_fs.replace(spark, f"{aside}/{name}/{part}", f"{folder}/orders-{version}.csv")
+
+    with ThreadPoolExecutor(MOVERS) as pool:
+        list(pool.map(put_in_place, [e.name for e in hadoop_fs.entries(spark, aside) if e.is_dir]))
     hadoop_fs.delete(spark, aside)
 
 
@@ -81,16 +88,16 @@ class FileFlow:
         return describe_files(self.job.spark, [f"{self.new}/{BATCH_GLOB}"])
 
 
-_FLOWS: dict[tuple[str, str, str], FileFlow] = {}
+_FLOWS: dict[tuple[str, str, str, bool], FileFlow] = {}
 
 
-def _flow(spark: SparkSession, sf_dir: str) -> FileFlow:
-    key = (spark.sparkContext.applicationId, scratch_path(spark, ""), sf_dir)
+def _flow(spark: SparkSession, sf_dir: str, whole: bool = False) -> FileFlow:
+    key = (spark.sparkContext.applicationId, scratch_path(spark, ""), sf_dir, whole)
     if key not in _FLOWS:
         t = Tables(spark, sf_dir)
         root = scratch_path(spark, f"batch-files/{spark.sparkContext.applicationId}-{len(_FLOWS)}")
         flow = FileFlow(f"{root}/old", f"{root}/new")
-        batches = V.v_batch_files(t)
+        batches = V.v_all_batch_files(t) if whole else V.v_batch_files(t)
         late = C("ingestion_date") >= F.lit(V.CORRECTIONS_FROM)
         write_batch_files(batches.where(~late), flow.old)
         write_batch_files(batches.where(late), flow.new)
@@ -98,37 +105,38 @@ def _flow(spark: SparkSession, sf_dir: str) -> FileFlow:
     return _FLOWS[key]
 
 
-def batch_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+def batch_rows(spark: SparkSession, sf_dir: str, whole: bool = False) -> DataFrame:
     """Rows of all batch files of the session's file set."""
-    return _flow(spark, sf_dir).rows()
+    return _flow(spark, sf_dir, whole).rows()
 
 
-def started_job(spark: SparkSession, sf_dir: str) -> FileFlow:
+def started_job(spark: SparkSession, sf_dir: str, whole: bool = False) -> FileFlow:
     """The flow with batch 0 processed and the customer update in its place."""
-    flow = _flow(spark, sf_dir)
+    flow = _flow(spark, sf_dir, whole)
     if flow.job is None:
         t = Tables(spark, sf_dir)
         layout = Layout(f"{flow.old}-job")
         _write_customers(V.v_file_customers(t), layout.customers_csv)
         job = IncrementalReport(spark, layout)
         job.process_files(describe_files(spark, [f"{flow.old}/{BATCH_GLOB}"]), FIRST)
-        _write_customers(V.v_file_customer_updates(t), layout.customer_updates)
+        updates = V.v_customer_updates(t) if whole else V.v_file_customer_updates(t)
+        _write_customers(updates, layout.customer_updates)
         flow.job = job
     return flow
 
 
 def incremental_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Report after the second batch, which recomputes the months it touches."""
-    flow = started_job(spark, sf_dir)
+    """Report after the second batch, which recomputes the months it touches:
+    with corrections and changed customers in all of them, every month."""
+    flow = started_job(spark, sf_dir, whole=True)
     flow.job.process_files(flow.new_files(), SECOND)
     return flow.job.report.read(before=SECOND + 1).select(*REPORT_COLUMNS)
 
 
-def touched_months(spark: SparkSession, sf_dir: str) -> list[str]:
-    """Months that the second batch must recompute."""
-    flow = started_job(spark, sf_dir)
-    raw = read_files(spark, flow.new_files(), ORDER_COLUMNS)
-    return flow.job.plan_batch(raw, SECOND).touched
+def touched_months(spark: SparkSession, sf_dir: str, whole: bool = False) -> list[str]:
+    """Months that the second batch, which is run for it, had to recompute."""
+    flow = started_job(spark, sf_dir, whole)
+    return flow.job.process_files(flow.new_files(), SECOND).touched
 
 
 def archived_files(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -142,7 +150,7 @@ def archived_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def full_rebuild(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same report from all batch files at once, for comparison."""
-    flow = started_job(spark, sf_dir)
+    flow = started_job(spark, sf_dir, whole=True)
     layout = flow.job.layout
     customers, updates = (
         scan_csv(spark, p, CUSTOMER_COLUMNS).select(*CUSTOMER_COLUMNS)

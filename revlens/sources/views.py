@@ -168,6 +168,20 @@ def v_batch_files(t: Tables) -> DataFrame:
     return _with_copies(rows, copies, [c for c in rows.columns if c != "_in"])
 
 
+def v_all_batch_files(t: Tables) -> DataFrame:
+    """All of :func:`v_order_batches` as they are written to files: one version
+    per quarter and sequence number, in which later batches stand further down, and
+    the correction batches."""
+    batch = C("ingestion_date")
+    quarter = F.date_format(F.trunc(F.substring(batch, 1, 10).cast("date"), "quarter"), "yyyy-MM-dd")
+    regular = F.concat(quarter, F.substring(batch, 11, 5))
+    return v_order_batches(t).select(
+        *ORDER_TEXT_COLUMNS,
+        F.when(batch >= CORRECTIONS_FROM, batch).otherwise(regular).alias("ingestion_date"),
+        F.struct(batch, "row_index").alias("row_key"),
+    )
+
+
 def v_file_customers(t: Tables) -> DataFrame:
     return v_customers(t).withColumn("customer_id", C("customer_id").cast("string"))
 

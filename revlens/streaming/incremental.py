@@ -382,8 +382,8 @@ class IncrementalReport:
         """One micro-batch of text lines; see :meth:`process_files`."""
         self.process_files(file_facts(with_place(batch)), batch_id)
 
-    def process_files(self, files: list[FileFact], batch_id: int) -> None:
-        """One micro-batch of order files. What several steps read, the batch's
+    def process_files(self, files: list[FileFact], batch_id: int) -> BatchPlan:
+        """One micro-batch of order files; returns what it changed. What several steps read, the batch's
         new versions, is written once to the work folder; nothing is kept in
         executors, so a lost one costs a task and not the batch."""
         good = [f for f in files if version_of(f.path)]
@@ -410,6 +410,7 @@ class IncrementalReport:
         with self._step("clean up", batch_id):
             for table in self.tables:
                 table.drop_superseded()
+        return plan
 
     def plan_batch(self, raw: DataFrame, batch_id: int) -> BatchPlan:
         """What a batch of raw rows changes: customers are taken over, new

@@ -78,3 +78,16 @@ def test_file_flow_equals_the_full_rebuild_and_touches_few_months(spark):
     job = file_flow.started_job(spark, SF).job
     written = {p.partition("snapshot_part=")[2] for p in job.state.paths(before=2) if "/v=1/" in p}
     assert written and written <= set(file_flow.touched_months(spark, SF))
+
+
+def test_report_takes_corrections_and_customer_changes_of_all_months(spark):
+    from revlens.plans import file_flow
+
+    report = file_flow.incremental_report(spark, SF).collect()
+    assert set(file_flow.touched_months(spark, SF, whole=True)) > set(file_flow.touched_months(spark, SF))
+    t = Tables(spark, SF)
+    customers_now = customer_upsert(V.v_customers(t), V.v_customer_updates(t))
+    refreshed = refresh_segment(batch_versions(t, V.v_customers(t), new=False), customers_now)
+    state = upsert(refreshed, batch_versions(t, customers_now, new=True))
+    want = monthly_segment_report(state).select(*report[0].asDict()).collect()
+    assert sorted(map(tuple, report)) == sorted(map(tuple, want))

@@ -30,15 +30,15 @@ def main() -> None:
         out = f()
         return round(time.perf_counter() - t0, 2), out
 
-    write, _ = timed(lambda: file_flow.batch_rows(spark, sf_dir))
-    initial, _ = timed(lambda: file_flow.started_job(spark, sf_dir))
+    write, _ = timed(lambda: file_flow.batch_rows(spark, sf_dir, whole=True))
+    initial, _ = timed(lambda: file_flow.started_job(spark, sf_dir, whole=True))
     incremental, rebuild = [], []
     for _ in range(runs):
         sec, got = timed(lambda: sorted(map(tuple, file_flow.incremental_report(spark, sf_dir).collect())))
         incremental.append(sec)
         sec, want = timed(lambda: sorted(map(tuple, file_flow.full_rebuild(spark, sf_dir).collect())))
         rebuild.append(sec)
-    touched = len(file_flow.touched_months(spark, sf_dir))
+    touched = len(file_flow.touched_months(spark, sf_dir, whole=True))
     print(json.dumps({"write_sec": write, "initial_sec": initial, "incremental_sec": incremental, "rebuild_sec": rebuild,
                       "months": len({r[0] for r in got}), "touched": touched, "equal": got == want}))
     spark.stop()
