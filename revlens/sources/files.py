@@ -29,9 +29,7 @@ def batch_version(file_name: Column) -> Column:
     A name that passes the glob but not this (``orders-abcd-...``) goes to
     quarantine in the incremental job.
     """
-    parts = [F.regexp_extract(file_name, BATCH_NAME_REGEX, i) for i in range(1, 5)]
-    version = F.concat_ws("-", *parts)
-    return F.when(file_name.rlike(BATCH_NAME_REGEX), version)
+    return F.when(file_name.rlike(BATCH_NAME_REGEX), F.substring(file_name, len("orders-") + 1, len("YYYY-MM-DD-NNNN")))
 
 
 def batch_day(version: Column) -> Column:
@@ -52,7 +50,8 @@ def archive_dir(file_name: Column) -> Column:
 
 def file_name(path: Column) -> Column:
     """Name of a file from its path (a URL, so ``%`` codes are read back)."""
-    return F.url_decode(F.regexp_replace(F.element_at(F.split(path, "/"), -1), r"\+", "%2B"))
+    name = F.substring_index(path, "/", -1)
+    return F.when(F.contains(name, F.lit("%")), F.url_decode(F.regexp_replace(name, r"\+", "%2B"))).otherwise(name)
 
 
 def version_of(path: str) -> str | None:

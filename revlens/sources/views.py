@@ -123,7 +123,8 @@ def _with_copies(rows: DataFrame, copies: list[tuple[F.Column, dict]], names: li
     one scan, whatever the number of copies."""
     whole = F.struct(*[C(c) for c in names])
     others = [F.when(cond, F.struct(*[v.get(c, C(c)).alias(c) for c in names])) for cond, v in copies]
-    return rows.select(F.explode(F.array_compact(F.array(whole, *others))).alias("_r")).select("_r.*")
+    # array_compact would take the whole expression out of code generation
+    return rows.select(F.explode(F.array(whole, *others)).alias("_r")).where(C("_r").isNotNull()).select("_r.*")
 
 
 def v_order_batches(t: Tables) -> DataFrame:
