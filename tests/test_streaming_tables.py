@@ -91,3 +91,31 @@ def test_report_takes_corrections_and_customer_changes_of_all_months(spark):
     state = upsert(refreshed, batch_versions(t, customers_now, new=True))
     want = monthly_segment_report(state).select(*report[0].asDict()).collect()
     assert sorted(map(tuple, report)) == sorted(map(tuple, want))
+
+
+def test_copies_of_rows_stay_in_generated_code(spark):
+    from pyspark.sql import functions as F
+
+    rows = spark.createDataFrame([(1, "a"), (2, "b"), (None, "c")], "k long, v string")
+    out = V._with_copies(rows, [(F.col("k") % 2 == 0, {"v": F.lit("x")}), (F.col("k") > 0, {})], ["k", "v"])
+    got = sorted(map(str, map(tuple, out.collect())))
+    assert got == sorted(map(str, [(1, "a"), (1, "a"), (2, "b"), (2, "x"), (2, "b"), (None, "c")]))
+    # a lambda would have every expression of the row interpreted
+    assert "lambda" not in out._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_file_name_and_version_take_few_expressions(spark):
+    from pyspark.sql import functions as F
+
+    from revlens.sources.files import batch_version, file_name
+
+    paths = ["file:/a%20b/orders-2024-03-10-0007.csv", "/x/a%2Bb+c%20d.csv", "orders-2024-03-10-00071.csv", None]
+    df = spark.createDataFrame([(p,) for p in paths], "p string").select(file_name(F.col("p")).alias("n"))
+    out = df.select("n", batch_version(F.col("n")).alias("v"))
+    assert [tuple(r) for r in out.collect()] == [
+        ("orders-2024-03-10-0007.csv", "2024-03-10-0007"),
+        ("a+b+c d.csv", None),
+        ("orders-2024-03-10-00071.csv", None),
+        (None, None),
+    ]
+    assert "regexp_extract" not in out._jdf.queryExecution().optimizedPlan().toString()
