@@ -46,11 +46,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from .common import shared_path, tokenizer_path
+from .textgrams import steps, text_column
 
 TOKENIZER = "byte_bpe_50k.json"
 END_ID = 0
@@ -60,6 +62,14 @@ GROUP = 16
 #: Ids must be below this.
 MAX_ID = 1 << 16
 CACHE_PIECES = 600_000
+#: Text bytes that are tokenised together.
+STEP_BYTES = 4_000_000
+#: What ``str.isspace`` holds for beside a blank and a line break, and those two
+#: at an end of a text or beside one another.
+ODD_SPACE = (
+    r"[\x00\t\x0b-\r\x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
+    r"|[ \n][ \n]|\A[ \n]|[ \n]\z"
+)
 
 _HI_BITS, _LO_BITS = 12, 16
 _HI, _LO = 1 << _HI_BITS, 1 << _LO_BITS
@@ -69,6 +79,9 @@ _TOP = np.uint64(1 << 32)
 #: A named id and its confidence share one integer: the id in the lower bits.
 _NAME, _ONE = np.uint32(0xFFFF), np.uint32(1 << 16)
 _MOST = np.uint32(7 << 16)
+_NAME_BITS, _THREE, _SIX = np.uint32(16), np.uint32(3), np.uint32(6)
+#: The two ids before are mixed to 16 bits.
+_MIX2, _MIX1 = np.uint16(40503), np.uint16(30103)
 
 
 class Tokens:
@@ -79,7 +92,7 @@ class Tokens:
     cut before a blank between two other characters, around a single line
     break between such, and between a word and the punctuation behind it. Ids
     of pieces and words met before are remembered and only new words go to the
-    library. The memory has two generations of ``CACHE_PIECES``: a full young
+    library. Pieces are looked up once for all texts of a step. The memory has two generations of ``CACHE_PIECES``: a full young
     one becomes the old one, and what is met again moves back, so frequent
     words outlast any number of rare ones. A special token's string in a text is
     that token, as the library has it, and ends the stretches beside it.
@@ -94,6 +107,7 @@ class Tokens:
         added = self.library.get_added_tokens_decoder()
         self.special = {t.content: array("H", [i]).tobytes() for i, t in added.items()}
         self.cut = re.compile("|".join(f"({re.escape(s)})" for s in self.special) or r"(?!)")
+        self.tail = rf"([A-Za-z])([{re.escape(self.TAIL)}]+)(\x00|\z)"
         self.model = self.library.model
         self.known: dict[str, bytes] = {}
         self.known_before: dict[str, bytes] = {}
@@ -128,31 +142,67 @@ class Tokens:
             return [core, piece[len(core) :]]
         return [piece]
 
-    def fresh(self, word: str) -> bytes:
-        """Ids of a stretch that is not remembered."""
-        core = word[1:] if word[:1] == " " else word
-        if core.isalpha():  # one stretch of letters: straight to the BPE model
-            if core.isascii():
-                stand_ins = core if core is word else self.blank + core
-            else:
-                stand_ins = word.encode().decode("latin-1").translate(self.stand_in)
-            ids = [t.id for t in self.model.tokenize(stand_ins)]
+    def letters(self, word: str, core: str) -> bytes:
+        """Ids of one stretch of letters, ``core``, with or without a blank
+        before it: straight to the BPE model."""
+        if core.isascii():
+            stand_ins = core if core is word else self.blank + core
         else:
-            ids = self.library.encode(word, add_special_tokens=False).ids
-        return array("H", ids).tobytes()
+            stand_ins = word.encode().decode("latin-1").translate(self.stand_in)
+        return array("H", [t.id for t in self.model.tokenize(stand_ins)]).tobytes()
 
     def missed(self, piece: str) -> bytes:
         """Ids of a piece that the young memory lacks, which then has them."""
         got = self.known_before.get(piece)
         if got is None:
-            finer = self.finer(piece)
-            if len(finer) == 1:
-                got = self.fresh(piece)
-            else:
+            core = piece[1:] if piece[:1] == " " else piece
+            if core.isalpha():
+                got = self.letters(piece, core)
+            elif len(finer := self.finer(piece)) > 1:
                 got = b"".join([self.known.get(x) or self.missed(x) for x in finer])
+            else:
+                got = array("H", self.library.encode(piece, add_special_tokens=False).ids).tobytes()
         self.known[piece] = got
         return got
 
+    def make_room(self) -> None:
+        if len(self.known) >= CACHE_PIECES:
+            self.known_before, self.known = self.known, {}
+
+    def encode_all(self, texts: pa.Array) -> Iterator[np.ndarray]:
+        """Ids (uint16) of each of some texts (large strings, no NULL).
+
+        Texts whose white space is single blanks and line breaks between words
+        are cut at each, and the distinct pieces of all of them looked up once.
+        """
+        odd = pc.match_substring_regex(texts, ODD_SPACE)
+        for s in self.special:
+            odd = pc.or_(odd, pc.match_substring(texts, s))
+        odd = odd.to_numpy(zero_copy_only=False)
+        even = texts.filter(pa.array(~odd))
+        cut = pc.replace_substring(pc.replace_substring(even, " ", "\0 "), "\n", "\0\n\0")
+        cut = pc.replace_substring_regex(cut, self.tail, "\\1\0\\2\\3")
+        pieces = pc.split_pattern(cut, "\0")
+        ends = pieces.offsets.to_numpy()
+        coded = pieces.flatten().dictionary_encode()
+        self.make_room()
+        known = self.known
+        names = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
+        ids = [known.get(x) for x in names]
+        for i, x in enumerate(ids):
+            if x is None:
+                ids[i] = self.missed(names[i])
+        spread = pa.array(ids, pa.large_binary()).take(coded.indices)
+        places = np.frombuffer(spread.buffers()[1], np.int64)[ends] // 2
+        flat = np.frombuffer(spread.buffers()[2] or b"", np.uint16)
+        at = 0
+        for i, alone in enumerate(odd):
+            if alone:
+                yield self.encode(texts[i].as_py())
+            else:
+                yield flat[places[at] : places[at + 1]]
+                at += 1
+
     def encode(self, text: str) -> np.ndarray:
         """Ids (uint16) of a whole text."""
         if any(s in text for s in self.special):
@@ -165,8 +215,7 @@ class Tokens:
         parts = self.pieces(text)
         got = list(map(self.known.get, parts))
         if None in got:
-            if len(self.known) >= CACHE_PIECES:
-                self.known_before, self.known = self.known, {}
+            self.make_room()
             known = self.known
             for i, x in enumerate(got):
                 if x is None:
@@ -186,43 +235,55 @@ def worker_tokens(path: str) -> Tokens:
 
 
 class Model:
-    """Mixture state of ``n`` blocks that are coded together."""
+    """Mixture state of ``n`` blocks that are coded together. Only a decoder
+    looks up which id a slot of order 0 stands for (``slots``)."""
 
-    def __init__(self, blocks: int):
+    def __init__(self, blocks: int, slots: bool):
         self.b = blocks
         self.named2 = np.zeros(blocks << 16, np.uint32)
         self.named1 = np.zeros(blocks << 16, np.uint32)
         # outcome counts by (block, same name?, confidence 2, confidence 1)
         self.hits = np.tile(np.array([[1, 1, 2]], np.int64), (blocks * 128, 1))
+        self.apart = np.arange(blocks * 128) & 64 == 0  # the two names differ
         self.weights()
-        self.counts = np.zeros((blocks, MAX_ID), np.int64)
-        self.share0 = np.zeros(blocks << 16, np.int64)  # frequency above 16 bits of start
-        self.slot0 = np.zeros(blocks << 16, np.uint16)
-        self.novel = np.full(blocks, _LO, np.int64)  # slots of ids not seen yet
+        self.counts = np.zeros(blocks << 16, np.int32)
+        self.share0 = np.zeros(blocks << 16, np.uint32)  # frequency above 16 bits of start; 0 for new ids
+        self.slot0 = np.zeros(blocks << 16, np.uint16) if slots else None
+        self.novel = np.full(blocks, _LO, np.uint32)  # slots of ids not seen yet
 
     def weights(self) -> None:
         n = self.hits
         total = n.sum(axis=1)
         f2 = 1 + n[:, 0] * (_HI - 8) // total
-        f1 = 1 + n[:, 1] * (_HI - 8) // total
-        self.f2, self.f1 = f2, f1
+        f1 = (1 + n[:, 1] * (_HI - 8) // total) * self.apart
+        self.shares = (f2 << 16 | f1).astype(np.uint32)
 
     def order0(self, block: int) -> None:
         """The order-0 distribution of the ids counted so far."""
-        c = self.counts[block]
+        c = self.counts[block << 16 : (block + 1) << 16]
         ids = np.flatnonzero(c)
+        seen = c[ids]
         room = _LO - len(ids) - 256
-        freq = 1 + (c[ids].astype(np.int64) * max(room, 0)) // max(int(c.sum()), 1)
+        # below 2**33 by below 2**18: the float quotient's floor is exact
+        freq = 1 + (seen * float(max(room, 0)) / max(int(seen.sum()), 1)).astype(np.int64)
         if len(ids) >= _LO - 256:  # no room to tell them apart
             freq = np.ones(len(ids), np.int64)
         starts = np.cumsum(freq) - freq
         base = block << 16
+        # a frequency is below 2**16: the room is, and one id has all of it at most
         self.share0[base + ids] = (freq << _LO_BITS) | starts
         used = int(freq.sum())
-        self.slot0[base : base + used] = np.repeat(ids, freq)
+        if self.slot0 is not None:
+            self.slot0[base : base + used] = np.repeat(ids.astype(np.uint16), freq)
         self.novel[block] = _LO - used
 
 
+def _pick(which: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """``np.where`` of two arrays of one unsigned type, without branches."""
+    mask = np.negative(which.view(np.uint8)).view(np.int8).astype(a.dtype)
+    return b ^ ((a ^ b) & mask)
+
+
 def _rebuild_at(steps: int) -> set[int]:
     """Steps after which order 0 is brought up to date: soon, then rarer."""
     out, t, gap = set(), 1, 1
@@ -237,69 +298,78 @@ class _Run:
     """Walks the lanes of some blocks step by step; coder-independent part.
 
     ``lane_block`` must be ascending; all lanes of a block have ``length``
-    steps but the later lanes may end earlier.
+    steps but the later lanes may end earlier. Ids are 16-bit and shares
+    below 2**29, and arrays are kept that narrow: a step is many passes over them.
     """
 
-    def __init__(self, lane_block: np.ndarray, lane_len: np.ndarray, blocks: int):
+    def __init__(self, lane_block: np.ndarray, lane_len: np.ndarray, blocks: int, slots: bool = False):
         self.block = lane_block
         self.len = lane_len
-        self.model = Model(blocks)
-        self.p1 = np.zeros(len(lane_block), np.int64)
-        self.p2 = np.zeros(len(lane_block), np.int64)
+        self.model = Model(blocks, slots)
+        self.p1 = np.zeros(len(lane_block), np.uint16)
+        self.p2 = np.zeros(len(lane_block), np.uint16)
         self.base = lane_block.astype(np.int64) << 16
-        self.cell = lane_block.astype(np.int64) << 7
+        self.cell = lane_block.astype(np.uint32) << np.uint32(7)
         self.steps = int(lane_len.max()) if len(lane_len) else 0
         self.rebuild = _rebuild_at(self.steps)
         self.pending: list[np.ndarray] = []
+        self.outcomes: list[np.ndarray] = []
 
     def context(self, on):
         m, base, p1 = self.model, self.base[on], self.p1[on]
-        i2 = base + (((self.p2[on] * 40503) ^ (p1 * 30103)) & 0xFFFF)
+        i2 = base + ((self.p2[on] * _MIX2) ^ (p1 * _MIX1))
         i1 = base + p1
         e2, e1 = m.named2.take(i2), m.named1.take(i1)
-        n2, n1 = (e2 & _NAME).astype(np.int64), (e1 & _NAME).astype(np.int64)
-        same = n2 == n1
-        cell = self.cell[on] + (same.astype(np.int64) << 6) + ((e2 >> 16 << 3) + (e1 >> 16))
-        f2 = m.f2.take(cell)
-        f1 = m.f1.take(cell) * ~same
-        return i2, i1, n2, n1, e2, e1, cell, f2, f1
+        n2, n1 = e2.astype(np.uint16), e1.astype(np.uint16)
+        same = (n2 == n1).view(np.uint8)
+        cell = self.cell[on] + (((e2 >> _NAME_BITS) << _THREE) + (e1 >> _NAME_BITS)) + (same.astype(np.uint32) << _SIX)
+        shares = m.shares.take(cell)
+        return i2, i1, n2, n1, e2, e1, cell, shares >> _NAME_BITS, shares & _NAME
 
     def interval(self, on, ids, ctx, hit2, hit1, new=None):
         """(start, size) of the ids' step, and which are new to order 0. A
         decoder knows the latter from the slot."""
         f2, f1 = ctx[7], ctx[8]
         share = self.model.share0.take(self.base[on] + ids)
-        freq, begin = share >> _LO_BITS, share & (_LO - 1)
+        freq, begin = share >> _NAME_BITS, share & _NAME
         if new is None:
-            new = freq == 0
+            new = share == 0
         at = np.flatnonzero(new)
         novel = self.model.novel.take(self.block[on][at])
-        freq[at], begin[at] = novel, _LO - novel
-        rest = _HI - f2 - f1
-        start = np.where(hit1, f2 << _LO_BITS, ((f2 + f1) << _LO_BITS) + rest * begin) * ~hit2
-        size = np.where(hit2, f2 << _LO_BITS, np.where(hit1, f1 << _LO_BITS, rest * freq))
-        return start.view(np.uint64), size.view(np.uint64), new
+        freq[at], begin[at] = novel, np.uint32(_LO) - novel
+        named = f2 + f1
+        rest = np.uint32(_HI) - named
+        f2 <<= _NAME_BITS
+        f1 <<= _NAME_BITS
+        named <<= _NAME_BITS
+        start = _pick(hit1, f2, rest * begin + named) * ~hit2
+        size = _pick(hit2, f2, _pick(hit1, f1, rest * freq))
+        return start.astype(np.uint64), size.astype(np.uint64), new
 
     def learn(self, t: int, on, ids, ctx, hit2, hit1) -> None:
         m = self.model
         i2, i1, _, n1, e2, e1, cell, _, _ = ctx
-        outcome = cell * 3 + 2 - hit1 - (hit2.astype(np.int64) << 1)
-        m.hits += np.bincount(outcome, minlength=m.hits.size).reshape(m.hits.shape)
+        outcome = cell * np.uint32(3)
+        outcome += np.uint32(2)
+        outcome -= hit1.view(np.uint8) + (hit2.view(np.uint8) << np.uint8(1))
+        self.outcomes.append(outcome)
         fresh = ids.astype(np.uint32)
         for i, entry, right, named in ((i2, e2, hit2, m.named2), (i1, e1, n1 == ids, m.named1)):
             # a miss lowers the confidence, and at none the name is replaced
-            missed = np.where(entry >= _ONE, entry - _ONE, fresh)
-            named[i] = np.where(right, entry + _ONE * (entry < _MOST), missed)
+            missed = _pick(entry >= _ONE, entry - _ONE, fresh)
+            named[i] = _pick(right, entry + _ONE * (entry < _MOST), missed)
         self.p2[on] = self.p1[on]
         self.p1[on] = ids
         self.pending.append(self.base[on] + ids)
-        if t + 1 in self.rebuild:
-            m.counts += np.bincount(np.concatenate(self.pending), minlength=m.counts.size).reshape(m.counts.shape)
+        rebuilt = t + 1 in self.rebuild
+        if rebuilt:
+            np.add.at(m.counts, np.concatenate(self.pending), np.int32(1))
             self.pending = []
             for b in range(m.b):
                 m.order0(b)
-            m.weights()
-        elif t % 8 == 7:
+        if rebuilt or t % 8 == 7:
+            m.hits += np.bincount(np.concatenate(self.outcomes), minlength=m.hits.size).reshape(m.hits.shape)
+            self.outcomes = []
             m.weights()
 
 
@@ -392,14 +462,13 @@ def encode_blocks(blocks: list[np.ndarray]) -> list[bytes]:
     if not blocks:
         return []
     lane_block, lane_len, lane_first = _lanes([len(b) for b in blocks])
-    flat = np.concatenate([*blocks, [0]]).astype(np.int64)
+    flat = np.concatenate([*blocks, np.zeros(1, np.uint16)])
     run = _Run(lane_block, lane_len, len(blocks))
     coder = _Encoder(len(lane_block), 2 * run.steps + 4)
-    model = run.model
     shortest = int(lane_len.min())
     for t in range(run.steps):
         on = slice(None) if t < shortest else np.flatnonzero(lane_len > t)
-        ids = flat[lane_first[on] + t]
+        ids = flat.take(lane_first[on] + t)
         ctx = run.context(on)
         n2, n1 = ctx[2], ctx[3]
         hit2 = n2 == ids
@@ -436,7 +505,7 @@ def decode_blocks(payloads: list[bytes], sizes: list[int]) -> list[np.ndarray]:
         firsts.append(at + np.cumsum(n) - n)
         parts.append(words)
         at += len(words)
-    run = _Run(lane_block, lane_len, len(sizes))
+    run = _Run(lane_block, lane_len, len(sizes), slots=True)
     coder = _Decoder(np.concatenate(parts).astype(np.uint32), np.concatenate(firsts))
     model = run.model
     shortest = int(lane_len.min())
@@ -445,17 +514,18 @@ def decode_blocks(payloads: list[bytes], sizes: list[int]) -> list[np.ndarray]:
         on = slice(None) if t < shortest else np.flatnonzero(lane_len > t)
         ctx = run.context(on)
         n2, n1, f2, f1 = ctx[2], ctx[3], ctx[7], ctx[8]
-        v = coder.peek(on, _HI_BITS + _LO_BITS).astype(np.int64)
-        hi = v >> _LO_BITS
+        v = coder.peek(on, _HI_BITS + _LO_BITS).astype(np.uint32)
+        hi = v >> _NAME_BITS
+        named = f2 + f1
         hit2 = hi < f2
-        hit1 = ~hit2 & (hi < f2 + f1)
+        hit1 = (hi < named) & ~hit2
         # below 2**28 by below 2**12: the float quotient's floor is exact
-        slot = (np.maximum(v - ((f2 + f1) << _LO_BITS), 0) / (_HI - f2 - f1)).astype(np.int64)
-        slot = np.minimum(slot, _LO - 1)
-        guess = model.slot0.take(run.base[on] + slot)
-        ids = np.where(hit2, n2, np.where(hit1, n1, guess))
+        floor = named << _NAME_BITS
+        slot = ((np.maximum(v, floor) - floor) / (np.uint32(_HI) - named)).astype(np.uint32)
+        slot = np.minimum(slot, np.uint32(_LO - 1))
+        ids = _pick(hit2, n2, _pick(hit1, n1, model.slot0.take(run.base[on] + slot)))
         # the slots at the end stand for ids not met yet: an id past all others
-        beyond = slot >= _LO - model.novel.take(run.block[on])
+        beyond = slot >= np.uint32(_LO) - model.novel.take(run.block[on])
         start, size, new = run.interval(on, ids, ctx, hit2, hit1, beyond)
         coder.take(on, start, size, _HI_BITS + _LO_BITS)
         extra = np.flatnonzero(new & ~hit2 & ~hit1)
@@ -463,7 +533,7 @@ def decode_blocks(payloads: list[bytes], sizes: list[int]) -> list[np.ndarray]:
             lanes = extra if isinstance(on, slice) else on[extra]
             raw = coder.peek(lanes, 16)
             coder.take(lanes, raw, np.uint64(1), 16)
-            ids[extra] = raw.astype(np.int64)
+            ids[extra] = raw.astype(np.uint16)
         run.learn(t, on, ids, ctx, hit2, hit1)
         out[on, t] = ids
     result = []
@@ -527,11 +597,11 @@ def _encode_part(path: str, block_ids: int):
             )
 
         for batch in batches:
-            ids_of, texts = batch.column("doc_id").to_pylist(), batch.column("text")
+            ids_of, texts = batch.column("doc_id").to_pylist(), text_column(batch.column("text"))
             part = batch.column("part")[0].as_py() if batch.num_rows else part
-            for a in range(0, batch.num_rows, 64):
-                for doc, words in zip(ids_of[a : a + 64], texts.slice(a, 64).to_pylist(), strict=True):
-                    ids = np.append(tokens.encode(words or ""), np.uint16(END_ID))
+            for a, b in steps(texts, STEP_BYTES):
+                for doc, words in zip(ids_of[a:b], tokens.encode_all(texts.slice(a, b - a)), strict=True):
+                    ids = np.append(words, np.uint16(END_ID))
                     at = 0
                     while at < len(ids):
                         take = min(len(ids) - at, block_ids - filled)
@@ -684,13 +754,20 @@ def digests(blocks: DataFrame) -> DataFrame:
     numbered = stored(
         stretch.withColumn("seq", F.sum((~F.col("continues")).cast("long")).over(in_part)), "stretches"
     )
+    found = numbered.groupBy("part", "seq", "doc_id").agg(
+        F.sum("n").alias("n_tokens"),
+        F.collect_list(F.struct("block", "nth", "n", "crc")).alias("stretches"),
+    )
+    # nearly all documents lie in one block, whose crc is theirs
+    alone = F.size("stretches") == 1
     docs = (
-        numbered.groupBy("part", "seq", "doc_id")
-        .agg(
-            F.sum("n").alias("n_tokens"),
-            F.collect_list(F.struct("block", "nth", "n", "crc")).alias("stretches"),
+        found.where(alone)
+        .select("part", "seq", "doc_id", "n_tokens", F.col("stretches")[0]["crc"].alias("ids_crc32"))
+        .unionByName(
+            found.where(~alone).mapInArrow(
+                _joined_crc, "part int, seq long, doc_id long, n_tokens long, ids_crc32 long"
+            )
         )
-        .mapInArrow(_joined_crc, "part int, seq long, doc_id long, n_tokens long, ids_crc32 long")
     )
     before = (
         numbered.groupBy("part")

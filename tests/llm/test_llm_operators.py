@@ -323,6 +323,23 @@ def test_contamination_of_long_and_repetitive_texts():
     assert got == {(0, 1, 2), (0, 2, 2), (1, 3, 0), (2, 4, 0)}
 
 
+def test_tokens_of_many_texts_are_those_of_the_library():
+    tokens = token_blocks.Tokens(token_blocks.tokenizer_path(token_blocks.TOKENIZER))
+    some = [" ", "\n", "a", "b", "é", "—", ".", ",", "1", "\t", "\xa0", " the", " of", "'s", "\r\n", "\0", "<|endoftext|>", "日本", "!!"]
+    draw = random.Random(3)
+    texts = ["", "plain words, only.\nHere (too)."] + ["".join(draw.choices(some, k=draw.randint(0, 9))) for _ in range(2000)]
+    got = list(tokens.encode_all(pa.array(texts, pa.large_string())))
+    assert [x.tolist() for x in got] == [tokens.library.encode(t, add_special_tokens=False).ids for t in texts]
+
+
+def test_words_before_any_punctuation_are_kept_once():
+    tokens = token_blocks.Tokens(token_blocks.tokenizer_path(token_blocks.TOKENIZER))
+    texts = [f"one thinnesh{a} and thinnesh{b}" for a in ".,;:!?" for b in ".,;:!?"]
+    list(tokens.encode_all(pa.array(texts, pa.large_string())))
+    # not a piece for each word with each mark
+    assert set(tokens.known) == {"one", " thinnesh", " and", *".,;:!?"}
+
+
 def test_token_blocks_round_trip(spark, tmp_path):
     special = ["<|endoftext|>", "a <|endoftext|> b", "<|endoftext|><|endoftext|>\n x <|endoftext |> <|endoftext|>."]
     texts = ["don't I'll \"q\"  x\n\ny a.\nB <|endoftext|>", "!" * 50, "word " * 4000] + special + ODD
