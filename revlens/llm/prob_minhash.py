@@ -318,17 +318,32 @@ def _held_by(table: DataFrame, nodes: DataFrame) -> tuple[DataFrame, DataFrame]:
     return table.join(wanted, "node", "left_semi"), wanted
 
 
+def _open_buckets(labelled: DataFrame) -> DataFrame:
+    """(bucket, blocks) of buckets that hold several components. Of buckets
+    with the same members only the one of the first band, in which their pairs count."""
+    prints = [F.bit_xor(F.xxhash64(F.lit(i), "node")).alias(f"x{i}") for i in range(2)]
+    return (
+        labelled.groupBy("bucket")
+        .agg(
+            F.min("label").alias("lo"),
+            F.max("label").alias("hi"),
+            F.min("band").alias("band"),
+            F.count(F.lit(1)).alias("n"),
+            *prints,
+        )
+        .where(F.col("lo") != F.col("hi"))
+        .groupBy("n", *(f"x{i}" for i in range(len(prints))))
+        .agg(F.min(F.struct("band", "bucket")).alias("first"))
+        .select(F.col("first.bucket").alias("bucket"), F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"))
+    )
+
+
 def _cross_pairs(members: DataFrame, labels: DataFrame, nodes: DataFrame, grams: DataFrame) -> DataFrame:
     """Pairs of one bucket that lie in different components and are near the
     threshold by their 32-bit shingles: few rows, however many pairs a block
     compares."""
     labelled = _labelled(members, labels)
-    several = (
-        labelled.groupBy("bucket")
-        .agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.count(F.lit(1)).alias("n"))
-        .where(F.col("lo") != F.col("hi"))
-        .select("bucket", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"))
-    )
+    several = _open_buckets(labelled)
     block = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
     open_rows = stored(labelled.join(several, "bucket"), "open")
     held, _ = _held_by(grams, open_rows.select("node"))
@@ -373,7 +388,15 @@ def _verified(pairs: DataFrame, grams: DataFrame) -> DataFrame:
 
 
 def _grams_of(wanted: DataFrame, docs: DataFrame, doc_id: str, text: str) -> DataFrame:
-    """Shingles of the wanted nodes, read from one document of each."""
+    """Shingles of the wanted nodes, read from one document of each. Only a
+    node of several rows can come twice, as rows of one id may be equal, and
+    is shuffled to be taken once."""
+    alone = F.col("n") == 1
+    several = _grams_read(wanted.where(~alone), docs, doc_id, text).dropDuplicates(["node"])
+    return _grams_read(wanted.where(alone), docs, doc_id, text).unionByName(several)
+
+
+def _grams_read(wanted: DataFrame, docs: DataFrame, doc_id: str, text: str) -> DataFrame:
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
     held = rows.join(
         wanted.select("doc_id").distinct().withColumn("d", F.col("doc_id")).drop("doc_id"),
@@ -383,7 +406,7 @@ def _grams_of(wanted: DataFrame, docs: DataFrame, doc_id: str, text: str) -> Dat
     made = held.select("text").mapInArrow(
         _print_batches([], "text", "node", "grams"), "node binary, grams binary"
     )
-    return made.join(wanted.select("node"), "node", "left_semi").dropDuplicates(["node"])
+    return made.join(wanted.select("node"), "node", "left_semi")
 
 
 def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> tuple[DataFrame, DataFrame]:
@@ -393,8 +416,8 @@ def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> tupl
     nodes = stored(
         signatures_.where(F.col("node").isNotNull())
         .groupBy("node")
-        .agg(F.min(F.struct("doc_id", "sig")).alias("s"))
-        .select("node", F.col("s.doc_id").alias("doc_id"), F.col("s.sig").alias("sig")),
+        .agg(F.min(F.struct("doc_id", "sig")).alias("s"), F.count(F.lit(1)).alias("n"))
+        .select("node", F.col("s.doc_id").alias("doc_id"), F.col("s.sig").alias("sig"), "n"),
         "nodes",
     )
     signed = stored(signatures_.select("doc_id", "node"), "signed")

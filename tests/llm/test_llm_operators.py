@@ -323,6 +323,24 @@ def test_contamination_of_long_and_repetitive_texts():
     assert got == {(0, 1, 2), (0, 2, 2), (1, 3, 0), (2, 4, 0)}
 
 
+def test_buckets_of_equal_members_are_searched_once(spark):
+    a, b, c = (bytes([i]) * 16 for i in range(3))
+    rows = [(a, 2, 20, a), (b, 2, 20, b), (a, 1, 10, a), (b, 1, 10, b)]  # one pair in two bands
+    rows += [(a, 3, 30, a), (b, 3, 30, b), (c, 3, 30, b)]  # other members
+    rows += [(b, 4, 40, b), (c, 4, 40, b)]  # one component
+    members = spark.createDataFrame(rows, "node binary, band int, bucket long, label binary")
+    assert sorted(tuple(r) for r in prob_minhash._open_buckets(members).collect()) == [(10, 1), (30, 1)]
+
+
+def test_shingles_of_repeated_rows_come_once(spark):
+    docs = spark.createDataFrame([(1, "a b c"), (1, "a b c"), (1, "d e f"), (2, "a b c"), (None, "g h i")], "doc_id long, text string")
+    nodes = prob_minhash.sign(docs).groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.count(F.lit(1)).alias("n"))
+    got = prob_minhash._grams_of(nodes, docs, "doc_id", "text")
+    assert got.count() == got.select("node").distinct().count() == 3
+    # shingles of nodes with one row are not grouped
+    assert got._jdf.queryExecution().optimizedPlan().toString().startswith("Union")
+
+
 def test_tokens_of_many_texts_are_those_of_the_library():
     tokens = token_blocks.Tokens(token_blocks.tokenizer_path(token_blocks.TOKENIZER))
     some = [" ", "\n", "a", "b", "é", "—", ".", ",", "1", "\t", "\xa0", " the", " of", "'s", "\r\n", "\0", "<|endoftext|>", "日本", "!!"]
