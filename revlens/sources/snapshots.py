@@ -94,8 +94,10 @@ class SnapshotTable:
                 current = {WHOLE: [version]}
             else:
                 # The part value is kept inside the files as well, so a part
-                # folder can be read on its own.
-                out.withColumn(PART, F.col(self.part_col)).write.option(
+                # folder can be read on its own. The hint puts the rows of a part
+                # together, a large one over several tasks, so that
+                # there are few files a part and not one from every task.
+                out.withColumn(PART, F.col(self.part_col)).hint("rebalance", PART).write.option(
                     "partitionOverwriteMode", "static"
                 ).mode("overwrite").partitionBy(PART).parquet(path)
                 prefix = f"{PART}="

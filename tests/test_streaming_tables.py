@@ -8,11 +8,15 @@ report must equal the one of the same state built operator by operator.
 import csv
 import os
 
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
 from revlens.operators.enrich import refresh_segment
 from revlens.operators.report import REPORT_ORDER, monthly_segment_report
 from revlens.operators.versions import customer_upsert, upsert
 from revlens.plans.queries import NEW_BATCHES_FROM, batch_versions
 from revlens.sources import views as V
+from revlens.sources.snapshots import SnapshotTable
 from revlens.sources.tables import Tables
 from revlens.streaming.incremental import IncrementalReport, Layout
 
@@ -119,3 +123,13 @@ def test_file_name_and_version_take_few_expressions(spark):
         (None, None),
     ]
     assert "regexp_extract" not in out._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_a_part_is_written_by_few_tasks(spark, tmp_path):
+    schema = T.StructType([T.StructField("k", T.StringType()), T.StructField("n", T.LongType())])
+    table = SnapshotTable(spark, str(tmp_path / "t"), schema, part_col="k")
+    rows = spark.range(0, 4000, 1, 8).select((F.col("id") % 5).cast("string").alias("k"), F.col("id").alias("n"))
+    table.write(rows, 0)
+    assert table.read().agg(F.count("n"), F.sum("n")).first() == (4000, sum(range(4000)))
+    for folder in table.paths():
+        assert len([f for f in os.listdir(folder) if f.endswith(".parquet")]) == 1
