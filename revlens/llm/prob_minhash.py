@@ -56,6 +56,8 @@ BANDS, ROWS = 20, 4
 COMPONENTS = BANDS * ROWS
 ROUNDS = 2
 BLOCK = 256
+#: Bits a wanted key, and in all, of the marks that rows are sifted by.
+MARK_BITS, MOST_MARKS = 32, 1 << 28
 _LOW48 = U((1 << 48) - 1)
 
 
@@ -199,16 +201,38 @@ def bands(nodes: DataFrame) -> DataFrame:
     return nodes.select("node", F.posexplode(keys).alias("band", "bucket"))
 
 
+def _likely(table: DataFrame, key: str, wanted: DataFrame) -> DataFrame:
+    """Rows of ``table`` whose key may be among the wanted ones: all that are,
+    and few of the others. Marks of a few bits a key go to the rows, so rows
+    are not shuffled to be left out; beyond ``MOST_MARKS`` bits more of the others
+    stay. What follows joins by the key itself.
+    """
+    size = min(MOST_MARKS, MARK_BITS * max(wanted.count(), 1024))
+    mark = F.pmod(F.xxhash64(key), F.lit(size))
+    row, mask = (free_name(table, n) for n in ("row", "mask"))
+    marks = (
+        wanted.select(mark.alias("mark"))
+        .groupBy(F.bitmap_bucket_number("mark").alias(row))
+        .agg(F.bitmap_construct_agg(F.bitmap_bit_position("mark")).alias(mask))
+    )
+    bit = F.bitmap_bit_position(mark)
+    byte = F.conv(F.hex(F.substring(mask, (F.floor(bit / 8) + 1).cast("int"), F.lit(1))), 16, 10).cast("long")
+    marked = F.getbit(byte, (bit % 8).cast("int")) == 1
+    return table.join(F.broadcast(marks), (F.bitmap_bucket_number(mark) == F.col(row)) & marked, "left_semi")
+
+
 def _star_pairs(members: DataFrame) -> DataFrame:
     """Each bucket's members with its least member: linear in the members."""
-    least = (
+    least = stored(
         members.groupBy("bucket")
         .agg(F.min("node").alias("v"), F.count(F.lit(1)).alias("n"))
         .where(F.col("n") > 1)
-        .select("bucket", "v")
+        .select("bucket", "v"),
+        "least",
     )
     return (
-        members.join(least, "bucket")
+        _likely(members, "bucket", least)
+        .join(least, "bucket")
         .where(F.col("node") != F.col("v"))
         .select(F.col("node").alias("u"), "v")
         .distinct()
@@ -311,13 +335,6 @@ def _small_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
         yield pa.RecordBatch.from_arrays([batch.column("node"), pa.array(small, pa.binary())], ["node", "small"])
 
 
-def _held_by(table: DataFrame, nodes: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(rows of ``table`` of the given nodes, the nodes as a stored table).
-    Spark sees the stored table's size: few nodes are sent to the rows."""
-    wanted = stored(nodes.distinct(), "wanted")
-    return table.join(wanted, "node", "left_semi"), wanted
-
-
 def _open_buckets(labelled: DataFrame) -> DataFrame:
     """(bucket, blocks) of buckets that hold several components. Of buckets
     with the same members only the one of the first band, in which their pairs count."""
@@ -346,7 +363,7 @@ def _cross_pairs(members: DataFrame, labels: DataFrame, nodes: DataFrame, grams:
     several = _open_buckets(labelled)
     block = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
     open_rows = stored(labelled.join(several, "bucket"), "open")
-    held, _ = _held_by(grams, open_rows.select("node"))
+    held = _likely(grams, "node", open_rows.select("node").distinct())
     small = held.mapInArrow(_small_batches, "node binary, small binary")
     dealt = (
         open_rows.withColumn("block", block)
@@ -379,11 +396,10 @@ def verify(pairs: DataFrame, grams: DataFrame) -> DataFrame:
 
 def _verified(pairs: DataFrame, grams: DataFrame) -> DataFrame:
     """Links among later pairs, which concern few nodes; stored."""
-    ends = pairs.select(F.col("u").alias("node")).unionByName(pairs.select(F.col("v").alias("node")))
-    held, wanted = _held_by(grams, ends)
-    held = stored(held, "held")
+    ends = pairs.select(F.explode(F.array("u", "v")).alias("node"))
+    held = stored(_likely(grams, "node", ends), "held")
     links = stored(verify(pairs, held), "links")
-    discard(held, wanted)
+    discard(held)
     return links
 
 
@@ -398,13 +414,10 @@ def _grams_of(wanted: DataFrame, docs: DataFrame, doc_id: str, text: str) -> Dat
 
 def _grams_read(wanted: DataFrame, docs: DataFrame, doc_id: str, text: str) -> DataFrame:
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
-    held = rows.join(
-        wanted.select("doc_id").distinct().withColumn("d", F.col("doc_id")).drop("doc_id"),
-        rows["doc_id"].eqNullSafe(F.col("d")),
-        "left_semi",
-    )
-    made = held.select("text").mapInArrow(
-        _print_batches([], "text", "node", "grams"), "node binary, grams binary"
+    made = (
+        _likely(rows, "doc_id", wanted.select("doc_id"))
+        .select("text")
+        .mapInArrow(_print_batches([], "text", "node", "grams"), "node binary, grams binary")
     )
     return made.join(wanted.select("node"), "node", "left_semi")
 
@@ -423,20 +436,27 @@ def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> tupl
     signed = stored(signatures_.select("doc_id", "node"), "signed")
     discard(signatures_)
     tried = stored(_star_pairs(bands(nodes)), "pairs")
-    wanted = tried.select(F.col("u").alias("node")).unionByName(tried.select(F.col("v").alias("node"))).distinct()
     # whatever shares a bucket is in the first step's pairs
-    shared = stored(nodes.join(wanted, "node", "left_semi"), "shared")
+    wanted = tried.select(F.explode(F.array("u", "v")).alias("node")).distinct()
+    shared = stored(_likely(nodes, "node", wanted).join(wanted, "node", "left_semi"), "shared")
     discard(nodes)
     grams = stored(_grams_of(shared, docs, doc_id, text), "grams")
     members = bands(shared)
     links = stored(verify(tried, grams), "links")
     done = [tried, links]
     labels = stored(components(links), "labels")
+    # components only grow: a bucket that lies in one has nothing left to find
+    labelled = _labelled(members, labels)
+    members = stored(labelled.join(_open_buckets(labelled), "bucket").select(*members.columns), "members")
+    done.append(members)
     for turn in range(ROUNDS + 1):
         more = _round_pairs(members, labels, turn) if turn < ROUNDS else _cross_pairs(members, labels, shared, grams)
         more = stored(more.join(tried, ["u", "v"], "left_anti"), "pairs")
+        done.append(more)
+        if more.isEmpty():
+            continue
         found = _verified(more, grams)
-        done += [more, found]
+        done.append(found)
         tried = tried.unionByName(more)
         if not found.isEmpty():
             links = links.unionByName(found)

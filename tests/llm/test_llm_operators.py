@@ -341,6 +341,44 @@ def test_shingles_of_repeated_rows_come_once(spark):
     assert got._jdf.queryExecution().optimizedPlan().toString().startswith("Union")
 
 
+def test_rows_are_sifted_without_a_shuffle(spark):
+    rows = spark.range(20_000).select(F.when(F.col("id") > 0, F.col("id")).alias("k"), F.lit("x").alias("text"))
+    wanted = rows.where("k is null or k % 40 = 0").select("k")
+    got = prob_minhash._likely(rows, "k", wanted)
+    keys = {r["k"] for r in got.collect()}
+    assert keys >= {r["k"] for r in wanted.collect()} and len(keys) < 3000
+    docs = spark.createDataFrame([(1, "a b c"), (2, "d e f")], "doc_id long, text string")
+    nodes = prob_minhash.sign(docs).withColumn("n", F.lit(1))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:  # as for tables too large to be sent
+        plan = prob_minhash._grams_of(nodes, docs, "doc_id", "text")._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert "hashpartitioning(node" in plan
+    assert not [x for x in plan.splitlines() if "hashpartitioning" in x and "doc_id" in x]
+
+
+def test_components_stop_once_every_node_has_its_label(spark, monkeypatch):
+    from revlens.llm import components
+
+    def node(i):
+        return bytes([i]) * 4
+
+    def labels(pairs):
+        edges = spark.createDataFrame([(node(a), node(b)) for a, b in pairs], "u binary, v binary")
+        return {tuple(bytes(x) for x in r) for r in components.components(edges).collect()}
+
+    assert labels([(i, i + 1) for i in range(1, 9)] + [(20, 30), (30, 30)]) == {
+        *((node(i), node(1)) for i in range(1, 10)), (node(20), node(20)), (node(30), node(20))
+    }
+    assert labels([]) == set()
+    names, stored = [], components.stored
+    monkeypatch.setattr(components, "stored", lambda df, name: names.append(name) or stored(df, name))
+    assert labels([(1, 2), (3, 1)]) == {(node(1), node(1)), (node(2), node(1)), (node(3), node(1))}
+    assert names == ["edges"]
+
+
 def test_tokens_of_many_texts_are_those_of_the_library():
     tokens = token_blocks.Tokens(token_blocks.tokenizer_path(token_blocks.TOKENIZER))
     some = [" ", "\n", "a", "b", "é", "—", ".", ",", "1", "\t", "\xa0", " the", " of", "'s", "\r\n", "\0", "<|endoftext|>", "日本", "!!"]
