@@ -396,6 +396,30 @@ def test_words_before_any_punctuation_are_kept_once():
     assert set(tokens.known) == {"one", " thinnesh", " and", *".,;:!?"}
 
 
+def test_new_words_go_to_the_model_together(monkeypatch):
+    tokens = token_blocks.Tokens(token_blocks.tokenizer_path(token_blocks.TOKENIZER))
+    monkeypatch.setattr(token_blocks.Tokens, "letters", None)  # a call for one word
+    draw = random.Random(4)
+    words = ["".join(draw.choices("abcéßж日", k=draw.randint(1, 9))) for _ in range(20_000)]
+    texts = [" ".join(words[a : a + 25]) for a in range(0, len(words), 25)] + ["né. né, (né)\nné!", "", "é", ".é", "é."]
+    got = list(tokens.encode_all(pa.array(texts, pa.large_string())))
+    assert [x.tolist() for x in got] == [tokens.library.encode(t, add_special_tokens=False).ids for t in texts]
+    assert {" né", "né", "."} <= set(tokens.known) and not {" né.", " né,"} & set(tokens.known)
+
+
+def test_ids_of_words_without_a_byte_to_part_them():
+    tokens = token_blocks.Tokens(token_blocks.tokenizer_path(token_blocks.TOKENIZER))
+    words = [" one", "zwölf", " " + "ab" * 90, "日本"]
+    together, tokens.bound = tokens.words(words), None
+    assert together == tokens.words(words) and tokens.words([]) == []
+
+
+def test_payloads_of_blocks_stay_as_they_were():
+    draw = np.random.default_rng(8)
+    blocks = [(draw.integers(0, 90, n) ** 2 * draw.integers(1, 3, n)).astype(np.uint16) for n in (1, 70, 9000, 40_000)]
+    assert [zlib.crc32(p) for p in token_blocks.encode_blocks(blocks)] == [1341550477, 1781786708, 2173972297, 123977656]
+
+
 def test_token_blocks_round_trip(spark, tmp_path):
     special = ["<|endoftext|>", "a <|endoftext|> b", "<|endoftext|><|endoftext|>\n x <|endoftext |> <|endoftext|>."]
     texts = ["don't I'll \"q\"  x\n\ny a.\nB <|endoftext|>", "!" * 50, "word " * 4000] + special + ODD
